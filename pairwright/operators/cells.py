@@ -168,6 +168,12 @@ def _per_target(candidates: pa.Table, bounds: pa.Table, use: Callable) -> list[d
     return out
 
 
+def _carry(bounds: pa.Table, rows: np.ndarray) -> pa.Array:
+    """The target's carried statistics on the first of its rows, null on the others."""
+    repeat = np.concatenate(([False], rows[1:] == rows[:-1])) if len(rows) else np.empty(0, dtype=bool)
+    return bounds.column("carry").combine_chunks().take(pa.array(rows, mask=repeat))
+
+
 def wanted_values(settings: RetrievalSettings, types: dict[str, pa.DataType]) -> Callable:
     """Part of a split group: the distinct scores in the wanted bins, with their counts."""
 
@@ -181,7 +187,7 @@ def wanted_values(settings: RetrievalSettings, types: dict[str, pa.DataType]) ->
             counts.append(n)
         where = np.concatenate(rows)
         return {"target_id": bounds.column("target_id").take(pa.array(where)), "group": _fill(group, len(where)),
-                "value": np.concatenate(values), "n": np.concatenate(counts)}
+                "value": np.concatenate(values), "n": np.concatenate(counts), "carry": _carry(bounds, where)}
 
     return lambda candidates, bounds: _collect(_per_target(candidates, bounds, use), types)
 
@@ -191,11 +197,11 @@ def best_of_part(limit: int, types: dict[str, pa.DataType]) -> Callable:
     part reach the threshold. The best `limit` of a group are among the best `limit` of its parts."""
 
     def use(group: pa.Scalar, cand_ids: pa.Array, scores: np.ndarray, bounds: pa.Table) -> dict:
-        threshold = bounds.column("threshold").to_numpy()
+        threshold = bounds.column("carry").combine_chunks().field("threshold").to_numpy()
         above = (scores >= threshold[:, None]).sum(axis=1)
         rows, cols, rank = _top(scores, np.full(len(scores), limit))
         return {"target_id": bounds.column("target_id").take(pa.array(rows)), "group": _fill(group, len(rows)),
                 "cand_id": cand_ids.take(pa.array(cols)), "score": scores[rows, cols],
-                "above": np.where(rank == 1, above[rows], 0)}
+                "above": np.where(rank == 1, above[rows], 0), "carry": _carry(bounds, rows)}
 
     return lambda candidates, bounds: _collect(_per_target(candidates, bounds, use), types)

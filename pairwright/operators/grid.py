@@ -117,6 +117,6 @@ def place_bounds(targets: DataFrame, bounds: DataFrame, candidates: DataFrame, g
                  settings: RetrievalSettings) -> DataFrame:
     """Rows of `bounds` (target_id, group, ...) with the target's vector, in every cell of the group."""
     rows = bounds.join(hot_groups(candidates, grid, settings), "group").join(_chunked(targets, grid), "target_id")
-    rows = rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    rows = rows.withColumn("part", _part(grid.hot_parts, "group", "salt")).drop("salt", "salts")
-    return _by_cell(rows.dropDuplicates(["target_id", "group", "part"]), grid)
+    parts = F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda salt: _part(grid.hot_parts, "group", salt))
+    rows = rows.withColumn("part", F.explode(F.array_distinct(parts))).drop("salts")
+    return _by_cell(rows, grid)

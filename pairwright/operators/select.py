@@ -24,7 +24,7 @@ from pairwright.settings import RetrievalSettings
 
 _STATS = {"n_pool": "bigint", "n_above": "bigint", "max_in_group": "double", "delta": "double",
           "threshold": "double"}
-_PAIR = {"cand_id": None, "score": "double", "rank_in_group": "bigint"}
+_PAIR = {"score": "double", "rank_in_group": "bigint"}
 
 
 def _ready(targets: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -40,9 +40,12 @@ def _cogroup(left: DataFrame, right: DataFrame, make, columns: dict[str, str]) -
     return left.groupBy(*CELL).cogroup(right.groupBy(*CELL)).applyInArrow(make(types), empty)
 
 
+def _dtype(df: DataFrame, name: str) -> str:
+    return df.schema[name].dataType.simpleString()
+
+
 def _key_types(targets: DataFrame, candidates: DataFrame) -> dict[str, str]:
-    return {"target_id": targets.schema["target_id"].dataType.simpleString(), "group": "string",
-            "cand_id": candidates.schema["cand_id"].dataType.simpleString()}
+    return {"target_id": _dtype(targets, "target_id"), "group": "string", "cand_id": _dtype(candidates, "cand_id")}
 
 
 def _median_bounds(bins: DataFrame, per_unit: int) -> DataFrame:
@@ -72,39 +75,45 @@ def _median_bounds(bins: DataFrame, per_unit: int) -> DataFrame:
         .withColumn("ring", (F.col("d_hi") >= F.col("r_lo")) & (F.col("d_lo") <= F.col("r_hi")))
     )
     n, bin_ = F.col("n"), F.col("bin")
-    return out.groupBy("target_id", "group", "n_pool", "p1", "p2", "max_in_group").agg(
-        F.sort_array(F.collect_list(F.when(F.col("mid") | F.col("ring"), bin_))).alias("bins"),
+    out = out.groupBy("target_id", "group", "n_pool", "p1", "p2", "max_in_group").agg(
+        F.collect_list(F.when(F.col("mid") | F.col("ring"), bin_)).alias("bins"),
         F.collect_list(F.when(F.col("ring"), bin_)).alias("ring_bins"),
         F.collect_list(F.when(F.col("mid"), bin_)).alias("mid_bins"),
         F.sum(F.when(F.col("hi") <= F.col("m_lo"), n).otherwise(0)).alias("under_mid"),
         F.sum(F.when(F.col("d_hi") < F.col("r_lo"), n).otherwise(0)).alias("under_ring"),
     )
+    return out.select("target_id", "group", "bins", F.struct(
+        "n_pool", "p1", "p2", "max_in_group", "ring_bins", "mid_bins", "under_mid", "under_ring").alias("carry"))
 
 
-def _exact_spread(values: DataFrame, bounds: DataFrame, settings: RetrievalSettings) -> DataFrame:
-    """Median and median distance from the distinct scores of the wanted bins; adds delta and threshold."""
+def _exact_spread(values: DataFrame, settings: RetrievalSettings) -> DataFrame:
+    """Median and median distance from the distinct scores of the wanted bins."""
     key = Window.partitionBy("target_id", "group")
+    rows = values.groupBy("target_id", "group", "value").agg(
+        F.sum("n").alias("n"), F.first("carry", ignorenulls=True).alias("carry"))
+    rows = rows.withColumn("carry", F.first("carry", ignorenulls=True).over(key))
+    rows = rows.select("target_id", "group", "value", "n", "carry.*")
     bin_ = F.floor(F.col("value") * settings.bins_per_unit)
-    mid, ring = F.array_contains("mid_bins", bin_), F.array_contains("ring_bins", bin_)
-    rows = values.groupBy("target_id", "group", "value").agg(F.sum("n").alias("n"))
-    rows = rows.join(bounds, ["target_id", "group"])
 
     def at(value: str, cum: str, position: Column) -> Column:
         return F.min(F.when(F.col(cum) >= position, F.col(value))).over(key)
 
-    def running(flag: Column, order: str) -> Column:
-        return F.sum(F.when(flag, F.col("n")).otherwise(0)).over(key.orderBy(order))
+    def running(flag: str, order: str) -> Column:
+        counted = F.sum(F.when(F.col(flag), F.col("n")).otherwise(0)).over(key.orderBy(order))
+        return F.when(F.col(flag), counted)
 
-    rows = rows.withColumns({"is_mid": mid, "is_ring": ring})
-    rows = rows.withColumn("mid_cum", F.when(F.col("is_mid"), running(F.col("is_mid"), "value")))
-    rows = rows.withColumn("median", (at("value", "mid_cum", F.col("p1") - F.col("under_mid"))
-                                      + at("value", "mid_cum", F.col("p2") - F.col("under_mid"))) / 2)
-    rows = rows.withColumn("distance", F.abs(F.col("value") - F.col("median")))
-    rows = rows.withColumn("ring_cum", F.when(F.col("is_ring"), running(F.col("is_ring"), "distance")))
-    rows = rows.withColumn("mad", (at("distance", "ring_cum", F.col("p1") - F.col("under_ring"))
-                                   + at("distance", "ring_cum", F.col("p2") - F.col("under_ring"))) / 2)
-    delta = F.first("mad") * settings.scale
-    return rows.groupBy("target_id", "group", "n_pool", "max_in_group").agg(delta.alias("delta"))
+    def middle(value: str, cum: str, under: str) -> Column:
+        lower, upper = F.col("p1") - F.col(under), F.col("p2") - F.col(under)
+        return (at(value, cum, lower) + at(value, cum, upper)) / 2
+
+    rows = rows.withColumns({"is_mid": F.array_contains("mid_bins", bin_),
+                             "is_ring": F.array_contains("ring_bins", bin_)})
+    rows = rows.withColumn("mid_cum", running("is_mid", "value"))
+    rows = rows.withColumn("distance", F.abs(F.col("value") - middle("value", "mid_cum", "under_mid")))
+    rows = rows.withColumn("ring_cum", running("is_ring", "distance"))
+    rows = rows.withColumn("mad", middle("distance", "ring_cum", "under_ring"))
+    return rows.groupBy("target_id", "group", "n_pool", "max_in_group").agg(
+        (F.first("mad") * settings.scale).alias("delta"))
 
 
 def _merged_moments(moments: DataFrame, settings: RetrievalSettings) -> DataFrame:
@@ -135,25 +144,28 @@ def _split_groups(targets: DataFrame, candidates: DataFrame, settings: Retrieval
     else:
         columns = keys | {"bin": "bigint", "n": "bigint", "top": "double"}
         bins = _cogroup(placed, everywhere, lambda t: cells.profile(settings, t), columns)
-        bounds = _median_bounds(bins, settings.bins_per_unit)
-        values = _cogroup(placed, in_cells(bounds.select("target_id", "group", "bins")),
-                          lambda t: cells.wanted_values(settings, t), keys | {"value": "double", "n": "bigint"})
-        stats = _exact_spread(values, bounds.drop("bins"), settings)
+        bounds = in_cells(_median_bounds(bins, settings.bins_per_unit))
+        columns = keys | {"value": "double", "n": "bigint", "carry": _dtype(bounds, "carry")}
+        stats = _exact_spread(
+            _cogroup(placed, bounds, lambda t: cells.wanted_values(settings, t), columns), settings)
     stats = stats.withColumn("threshold", F.col("max_in_group") - F.col("delta"))
+    bounds = in_cells(stats.select("target_id", "group", F.struct(
+        "n_pool", "max_in_group", "delta", "threshold").alias("carry")))
 
     limit = settings.max_candidates if pairs else 1
-    found = _cogroup(placed, in_cells(stats.select("target_id", "group", "threshold")),
-                     lambda t: cells.best_of_part(limit, t), ids | {"score": "double", "above": "bigint"})
+    columns = ids | {"score": "double", "above": "bigint", "carry": _dtype(bounds, "carry")}
+    found = _cogroup(placed, bounds, lambda t: cells.best_of_part(limit, t), columns)
     if not pairs:
-        above = found.groupBy("target_id", "group").agg(F.sum("above").alias("n_above"))
-        return stats.join(above, ["target_id", "group"])
+        return found.groupBy("target_id", "group").agg(
+            F.sum("above").alias("n_above"), F.first("carry", ignorenulls=True).alias("carry")
+        ).select("target_id", "group", "n_above", "carry.*")
     key = Window.partitionBy("target_id", "group")
-    found = found.select(
+    return found.select(
         "target_id", "group", "cand_id", "score",
         F.sum("above").over(key).alias("n_above"),
-        F.row_number().over(key.orderBy(F.desc("score"), "cand_id")).cast("bigint").alias("rank_in_group"))
-    found = found.join(stats, ["target_id", "group"])
-    return found.where(F.col("rank_in_group") <= selected_count(settings))
+        F.first("carry", ignorenulls=True).over(key).alias("carry"),
+        F.row_number().over(key.orderBy(F.desc("score"), "cand_id")).cast("bigint").alias("rank_in_group"),
+    ).select("*", "carry.*").where(F.col("rank_in_group") <= selected_count(settings))
 
 
 def selected_count(settings: RetrievalSettings) -> Column:
@@ -176,11 +188,9 @@ def _both(targets: DataFrame, candidates: DataFrame, settings: RetrievalSettings
           pairs: bool) -> tuple[DataFrame, Grid]:
     targets, candidates = _ready(targets, candidates)
     grid = grid or plan_grid(targets, candidates, settings)
-    columns = _key_types(targets, candidates) | _PAIR | _STATS if pairs else \
-        {k: v for k, v in _key_types(targets, candidates).items() if k != "cand_id"} | _STATS
-    columns["target_id"] = _key_types(targets, candidates)["target_id"]
-    if pairs:
-        columns["cand_id"] = _key_types(targets, candidates)["cand_id"]
+    columns = _key_types(targets, candidates) | (_PAIR if pairs else {}) | _STATS
+    if not pairs:
+        del columns["cand_id"]
     names, out = list(columns), []
     if grid.has_small or not grid.has_hot:
         out.append(_cogroup(place_candidates(candidates, grid, settings, hot=False),
