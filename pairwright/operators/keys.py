@@ -19,7 +19,8 @@ def with_content_key(df: DataFrame, identity: Sequence[str], name: str, order: S
     """
     columns = df.columns
     rest = list(order) or [F.col(c) for c in columns if c not in identity]
-    text = F.to_json(F.struct(*identity), {"ignoreNullFields": "false"})
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity]
+    text = F.concat(*[F.concat(F.length(p), F.lit(":"), p) for p in parts])
     rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_identity", F.sha2(text, 256))
     if rest:
         variant = F.row_number().over(Window.partitionBy("_identity").orderBy(*rest))

@@ -75,13 +75,16 @@ def assign_batches(pending: DataFrame, settings: LabelSettings) -> DataFrame:
     return rows.withColumn("batch_no", F.floor((F.col("position") - 1) / settings.batch_size).cast("bigint"))
 
 
-def target_headers(batched: DataFrame) -> DataFrame:
+def target_headers(pending: DataFrame) -> DataFrame:
     """Name and category of a code, from its best-scored pending row."""
-    head = F.min_by(F.struct("target_name", "target_category"), F.col("position"))
-    return batched.groupBy("target_code").agg(head.alias("head")).select("target_code", "head.*")
+    place = F.struct(F.coalesce(-F.col("score"), F.lit(float("inf"))), F.col("row_key"))
+    head = F.min_by(F.struct("target_name", "target_category"), place)
+    return pending.where(F.col("target_code").isNotNull()).groupBy("target_code").agg(head.alias("head")).select(
+        "target_code", "head.*")
 
 
-def build_requests(batched: DataFrame, settings: LabelSettings, template: str = REQUEST_TEMPLATE) -> DataFrame:
+def build_requests(batched: DataFrame, headers: DataFrame, settings: LabelSettings,
+                   template: str = REQUEST_TEMPLATE) -> DataFrame:
     """One row per batch: its row keys, the candidates as JSON and the request text."""
     fields = [(F.col(c).cast(_NUMBERS[c]) if c in _NUMBERS else clean(F.col(c))).alias(name)
               for name, c in REQUEST_FIELDS]
@@ -90,7 +93,7 @@ def build_requests(batched: DataFrame, settings: LabelSettings, template: str =
     payload = F.to_json(F.col("rows.item"), {"ignoreNullFields": "false"})
     requests = grouped.select(*BATCH, F.size("rows").cast("bigint").alias("n_rows"),
                               F.col("rows.row_key").alias("row_keys"), payload.alias("payload"))
-    requests = requests.join(target_headers(batched), "target_code")
+    requests = requests.join(headers, "target_code")
     return requests.withColumn("request", _fill_template(template, settings))
 
 

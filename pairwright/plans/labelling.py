@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pairwright.operators.merge import final_rank, merge_labels
 from pairwright.operators.pairs import first_targets, load_pairs
 from pairwright.operators.replies import ask, classify
-from pairwright.operators.requests import assign_batches, build_requests
+from pairwright.operators.requests import assign_batches, build_requests, target_headers
 from pairwright.settings import LabelSettings
 from pairwright.sources.tables import append_log, next_run_seq, read_log, write_inspection, write_table
 from pairwright.streaming.runlog import latest_results, pending
@@ -19,7 +19,8 @@ from pairwright.streaming.runlog import latest_results, pending
 def open_requests(pairs: DataFrame, log: DataFrame, settings: LabelSettings) -> DataFrame:
     """Requests for the pairs that still need a label."""
     rows = pairs if settings.first_targets is None else first_targets(pairs, settings.first_targets)
-    return build_requests(assign_batches(pending(rows, log, settings), settings), settings)
+    rows = pending(rows, log, settings)
+    return build_requests(assign_batches(rows, settings), target_headers(rows), settings)
 
 
 def label(pairs: DataFrame, log: DataFrame, settings: LabelSettings) -> DataFrame:
