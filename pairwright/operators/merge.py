@@ -9,7 +9,7 @@ from pairwright import settings as S
 from pairwright.functions.labels import final_label, is_exact_diagnosis, is_related, lookup
 from pairwright.functions.numbers import to_number
 from pairwright.operators.columns import ensure_columns
-from pairwright.operators.ranking import spread_row_number
+from pairwright.operators.ranking import row_number_within
 from pairwright.settings import LabelSettings
 from pairwright.sources.names import LABEL_COLUMNS
 
@@ -50,7 +50,7 @@ def merge_labels(pairs: DataFrame, results: DataFrame, settings: LabelSettings)
     return with_derived(rows.withColumn("score", score), settings)
 
 
-def final_rank(merged: DataFrame) -> DataFrame:
+def final_rank(merged: DataFrame, settings: LabelSettings) -> DataFrame:
     """Adds `final_rank` within the code: priority, relation, category, score, stage-one rank. Null codes get none."""
     rows = ensure_rank_columns(merged)
     coded = rows.where(F.col("target_code").isNotNull())
@@ -62,7 +62,7 @@ def final_rank(merged: DataFrame) -> DataFrame:
     fine = [F.coalesce(-score, F.lit(float("inf"))),
             F.coalesce(F.floor(place / 1024), F.lit(2**62)),
             F.when(place.isNull(), F.substring("row_key", 1, 3)).otherwise(F.lit(""))]
-    ranked = spread_row_number(coded, ["target_code"], [coarse, fine], order, "final_rank")
+    ranked = row_number_within(coded, ["target_code"], [coarse, fine], order, "final_rank", settings.window_rows)
     rest = rows.where(F.col("target_code").isNull()).withColumn("final_rank", F.lit(None).cast("bigint"))
     return ranked.unionByName(rest)
 

@@ -39,10 +39,9 @@ def top_per_target(df: DataFrame, n: int) -> DataFrame:
     return best.unionByName(df.where(F.col("target_code").isNull()))
 
 
-def context_group(study: Column, dataset: Column, name: Column, description: Column, row_key: Column) -> Column:
+def context_group(study: Column, dataset: Column, base: Column, text: Column, row_key: Column) -> Column:
     """Which rows belong together: same study and base name, same dataset and base name, same description, or
-    none. Fixed values: the key texts, since the id is a hash over them."""
-    study, dataset, base, text = key_form(study), key_form(dataset), base_name(name), key_form(description)
+    none. Takes key forms. Fixed values: the key texts, since the id is a hash over them."""
     key = (F.when((study != "") & (base != ""), F.concat(F.lit("same_study_base::"), study, F.lit("::"), base))
            .when((dataset != "") & (base != ""), F.concat(F.lit("same_dataset_base::"), dataset, F.lit("::"), base))
            .when(F.length(text) >= MIN_DESCRIPTION, F.concat(F.lit("same_description::"), text))
@@ -51,8 +50,10 @@ def context_group(study: Column, dataset: Column, name: Column, description: Col
 
 
 def with_context_group(df: DataFrame) -> DataFrame:
-    columns = [F.col(c) for c in ("study", "dataset_name", "name", "description", "row_key")]
-    return df.withColumn("context_group", context_group(*columns))
+    forms = {"_study": key_form(F.col("study")), "_dataset": key_form(F.col("dataset_name")),
+             "_base": base_name(F.col("name")), "_text": key_form(F.col("description"))}
+    rows = df.withColumns(forms)
+    return rows.withColumn("context_group", context_group(*map(F.col, forms), F.col("row_key"))).drop(*forms)
 
 
 def load_pairs(df: DataFrame, settings: LabelSettings) -> DataFrame:

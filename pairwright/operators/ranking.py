@@ -8,6 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def row_number_within(df: DataFrame, keys: Sequence[str], tiers: Sequence[Sequence[Column]],
+                      order: Sequence[Column], name: str, limit: int) -> DataFrame:
+    """`row_number` over `keys` in `order`: one window while no key has more than `limit` rows, else spread.
+
+    The check is a count by key; give it a written or checkpointed table.
+    """
+    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if largest > limit:
+        return spread_row_number(df, keys, tiers, order, name)
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+
+
 def spread_row_number(df: DataFrame, keys: Sequence[str], tiers: Sequence[Sequence[Column]],
                       order: Sequence[Column], name: str) -> DataFrame:
     """`row_number` over `keys` in `order` without bringing a key into one task.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairwright.functions.text import clean
-from pairwright.operators.ranking import spread_row_number
+from pairwright.operators.ranking import row_number_within
 from pairwright.settings import LabelSettings
 
 BATCH = ("target_code", "batch_no")
@@ -71,7 +71,7 @@ def assign_batches(pending: DataFrame, settings: LabelSettings) -> DataFrame:
     coarse = [F.coalesce(-F.floor(score * _BINS), F.lit(2**62))]
     fine = [F.coalesce(-score, last), F.substring("row_key", 1, 3)]
     rows = pending.where(F.col("target_code").isNotNull())
-    rows = spread_row_number(rows, ["target_code"], [coarse, fine], order, "position")
+    rows = row_number_within(rows, ["target_code"], [coarse, fine], order, "position", settings.window_rows)
     return rows.withColumn("batch_no", F.floor((F.col("position") - 1) / settings.batch_size).cast("bigint"))
 
 

@@ -11,6 +11,7 @@ from pairwright.operators.merge import final_rank, merge_labels
 from pairwright.operators.pairs import first_targets, load_pairs
 from pairwright.operators.replies import ask, classify
 from pairwright.operators.requests import assign_batches, build_requests, target_headers
+from pairwright.plans.lineage import cut
 from pairwright.settings import LabelSettings
 from pairwright.sources.tables import append_log, next_run_seq, read_log, write_inspection, write_table
 from pairwright.streaming.runlog import latest_results, pending
@@ -25,7 +26,7 @@ def open_requests(pairs: DataFrame, log: DataFrame, settings: LabelSettings) ->
 
 def label(pairs: DataFrame, log: DataFrame, settings: LabelSettings) -> DataFrame:
     """Pairs with the latest labels of the log, derived columns and final ranks."""
-    return final_rank(merge_labels(pairs, latest_results(log), settings))
+    return final_rank(cut(merge_labels(pairs, latest_results(log), settings)), settings)
 
 
 @dataclass(frozen=True)
@@ -61,7 +62,7 @@ def run_labelling(selected: DataFrame, settings: LabelSettings, out: str,
     merged = merge_labels(pairs, latest_results(read_log(spark, log_path)), settings)
     write_table(merged, f"{out}/merged")
     merged = spark.read.parquet(f"{out}/merged")
-    write_table(final_rank(merged), f"{out}/ranked")
+    write_table(final_rank(merged, settings), f"{out}/ranked")
     ranked = spark.read.parquet(f"{out}/ranked")
     if fmt != "parquet":
         write_table(merged, f"{out}/merged_{fmt}", fmt, file_headers)

@@ -206,8 +206,9 @@ passed_p AS (SELECT * FROM raw_p WHERE lower(passed) IN ('true', '1', '1.0', 'ye
              OR NOT (SELECT bool_or(lower(passed) IN ('true', '1', '1.0', 'yes')) FROM raw_p)),
 typed AS (SELECT nullif({code('target_code')}, '') AS target_code, {', '.join(f'{clean(c)} AS {c}' for c in _GIVEN)},
                  TRY_CAST(score AS DOUBLE) AS score, TRY_CAST(target_rank AS DOUBLE) AS target_rank, passed, pass_label
-          FROM passed_p{best}),
-pairs AS (SELECT *, sha256({_SHA} || ':1:1') AS row_key FROM typed),
+          FROM passed_p),
+best_p AS (SELECT * FROM typed{best}),
+pairs AS (SELECT *, sha256({_SHA} || ':1:1') AS row_key FROM best_p),
 grouped_p AS (SELECT *, 'G_' || substr(md5(CASE
         WHEN {key_form('study')} <> '' AND {base_name('name')} <> ''
             THEN 'same_study_base::' || {key_form('study')} || '::' || {base_name('name')}
@@ -316,7 +317,10 @@ ORACLE: dict[str, str] = {
         target_code, target_name, target_category, md5(description) AS description, study, "database", 1 AS passed,
         'not_hard_negative' AS pass_label, 'phecode_Database' AS scope, 'Database' AS group_column, 'mad' AS spread,
         3.0::DOUBLE AS scale, 10 AS min_candidates, 30 AS max_candidates FROM wide""",
-    "target_summary": f"WITH {SUMMARY} SELECT * FROM by_target",
+    "target_summary": f"""WITH {SUMMARY} SELECT * REPLACE (CAST(min_in_one_group AS DOUBLE) AS min_in_one_group,
+        CAST(max_in_one_group AS DOUBLE) AS max_in_one_group, CAST(min_candidates AS DOUBLE) AS min_candidates,
+        CAST(max_candidates AS DOUBLE) AS max_candidates, CAST(n_min_padded AS DOUBLE) AS n_min_padded,
+        CAST(n_max_capped AS DOUBLE) AS n_max_capped) FROM by_target""",
     "group_summary": f"WITH {SUMMARY} SELECT * FROM by_group",
     "count_describe": f"""WITH {SUMMARY} SELECT count(*) AS count, round(avg(n_candidates), 6) AS mean,
         round(stddev_samp(n_candidates), 6) AS std, CAST(min(n_candidates) AS DOUBLE) AS min,
@@ -384,13 +388,13 @@ ORACLE: dict[str, str] = {
     "label_ranks": f"""WITH x AS (SELECT doc_id, {_REL} AS r, {_CAT} AS c {_DOC_LABELS})
         SELECT doc_id, CAST({relation_rank('r')} AS BIGINT) AS relation_rank,
         CAST({category_rank('c')} AS BIGINT) AS category_rank FROM x""",
-    "final_rank": f"WITH {MERGED} SELECT target_code, row_key, label, final_rank FROM ranked",
+    "final_rank": f"WITH {MERGED} SELECT target_code, row_key, label, CAST(final_rank AS DOUBLE) AS final_rank FROM ranked",
     "label_run": f"""WITH {MERGED} SELECT row_key, target_code, target_name, target_category, accession, name,
         md5(description) AS description, study, dataset_name, round(score, 6) AS score, target_rank, passed,
         pass_label, context_group, label_category, label_relation, label_keep,
         CAST(label_priority AS BIGINT) AS label_priority, label_reason, label_status, label_error, label,
         is_exact_diagnosis, is_related_lab, is_related_medication, CAST(relation_rank AS BIGINT) AS relation_rank,
-        CAST(category_rank AS BIGINT) AS category_rank, final_rank FROM ranked""",
+        CAST(category_rank AS BIGINT) AS category_rank, CAST(final_rank AS DOUBLE) AS final_rank FROM ranked""",
     "label_counts": f"WITH {MERGED} " + _counts(
         ("label_category", "label_relation", "label", "label_keep", "label_status"), "merged"),
     "label_totals": f"""WITH {MERGED} SELECT count(*) FILTER (is_exact_diagnosis) AS is_exact_diagnosis,

@@ -26,6 +26,7 @@ from pairwright.operators.summary import (
     count_buckets, count_describe, count_quantiles, group_buckets, group_summary, inspect_by_group, inspect_top,
     target_summary, top_groups, top_targets, value_counts,
 )
+from pairwright.plans.lineage import cut
 from pairwright.plans.retrieval import retrieve
 from pairwright.settings import CATEGORY_RANKS, RELATION_RANKS, UNKNOWN_RANK, LabelSettings, RetrievalSettings
 from pairwright.sources.names import CANDIDATE_COLUMNS, LABEL_COLUMNS, TARGET_COLUMNS
@@ -35,6 +36,8 @@ from registry import fragments as frag
 MAD = RetrievalSettings(min_candidates=10, max_candidates=30)
 SD = RetrievalSettings(min_candidates=10, max_candidates=30, spread="sd")
 LABEL = LabelSettings()
+NULLABLE_COUNTS = ("min_in_one_group", "max_in_one_group", "min_candidates", "max_candidates", "n_min_padded",
+                   "n_max_capped")
 WANTED = ("7", "010", "12.0", "250.1")
 
 
@@ -194,7 +197,8 @@ def by_group(spark, sf):
 
 
 def q_target_summary(spark, sf):
-    return rounded(by_target(spark, sf), "max_for_target")
+    rows = rounded(by_target(spark, sf), "max_for_target")
+    return rows.withColumns({c: F.col(c).cast("double") for c in NULLABLE_COUNTS})
 
 
 def q_group_summary(spark, sf):
@@ -242,11 +246,8 @@ def q_value_counts(spark, sf):
 # --- stage two ------------------------------------------------------------------------------------------------------
 
 def loaded(spark, sf):
-    return load_pairs(raw_pairs(spark, sf), LABEL)
-
-
-def batched(spark, sf):
-    return assign_batches(loaded(spark, sf), LABEL)
+    """The keyed pairs, cut once: everything below reads them several times."""
+    return cut(load_pairs(raw_pairs(spark, sf), LABEL))
 
 
 def stand_in_replies(spark, sf, rows):
@@ -269,21 +270,25 @@ def stand_in_replies(spark, sf, rows):
     return groups.withColumn("kind", F.expr(frag.REPLY_KIND)).select(*BATCH, reply.alias("reply"))
 
 
-def requests_of(spark, sf):
+def asked(spark, sf):
+    """Keyed pairs, their requests, and a reply to each request."""
     rows = loaded(spark, sf)
-    return build_requests(assign_batches(rows, LABEL), target_headers(rows), LABEL)
+    batches = assign_batches(rows, LABEL)
+    return rows, build_requests(batches, target_headers(rows), LABEL), stand_in_replies(spark, sf, batches)
 
 
 def results(spark, sf):
-    return classify(requests_of(spark, sf), stand_in_replies(spark, sf, batched(spark, sf)), LABEL)
+    _, requests, replies = asked(spark, sf)
+    return classify(requests, replies, LABEL)
 
 
 def merged(spark, sf):
-    return merge_labels(loaded(spark, sf), results(spark, sf), LABEL)
+    rows, requests, replies = asked(spark, sf)
+    return merge_labels(rows, classify(requests, replies, LABEL), LABEL)
 
 
 def q_load_candidates(spark, sf):
-    return loaded(spark, sf).withColumn("description", F.md5("description"))
+    return load_pairs(raw_pairs(spark, sf), LABEL).withColumn("description", F.md5("description"))
 
 
 def q_coerce_numeric(spark, sf):
@@ -293,11 +298,11 @@ def q_coerce_numeric(spark, sf):
 
 
 def q_row_key(spark, sf):
-    return loaded(spark, sf).select("accession", "row_key")
+    return load_pairs(raw_pairs(spark, sf), LABEL).select("accession", "row_key")
 
 
 def q_context_group(spark, sf):
-    return loaded(spark, sf).select("row_key", "context_group", short_hash(F.col("description")).alias("text_hash"))
+    return load_pairs(raw_pairs(spark, sf), LABEL).select("row_key", "context_group", short_hash(F.col("description")).alias("text_hash"))
 
 
 def q_norm_key(spark, sf):
@@ -330,39 +335,39 @@ def q_first_n_targets(spark, sf):
 
 
 def q_assign_batches(spark, sf):
-    return batched(spark, sf).select("target_code", "row_key", "position", "batch_no")
+    return assign_batches(loaded(spark, sf), LABEL).select("target_code", "row_key", "position", "batch_no")
 
 
 def q_build_requests(spark, sf):
-    rows = requests_of(spark, sf)
+    rows = asked(spark, sf)[1]
     return rows.select(*BATCH, "n_rows", F.array_join("row_keys", ",").alias("row_keys"), "target_name",
                        "target_category")
 
 
 def q_request_text(spark, sf):
-    return requests_of(spark, sf).select(*BATCH, "payload", "request")
+    return asked(spark, sf)[1].select(*BATCH, "payload", "request")
 
 
 def q_parse_replies(spark, sf):
-    parsed = parse_replies(stand_in_replies(spark, sf, batched(spark, sf)))
+    parsed = parse_replies(asked(spark, sf)[2])
     return parsed.select(*BATCH, F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"))
 
 
 def q_reply_status(spark, sf):
-    parsed = parse_replies(stand_in_replies(spark, sf, batched(spark, sf)))
+    parsed = parse_replies(asked(spark, sf)[2])
     return parsed.groupBy("reply_error").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_validate_items(spark, sf):
-    parsed = parse_replies(stand_in_replies(spark, sf, batched(spark, sf)))
+    parsed = parse_replies(asked(spark, sf)[2])
     return validate_items(parsed).drop("item_no")
 
 
 def q_stray_items(spark, sf):
     """Replies handed to the neighbour batch: everything in them is stray."""
-    replies = stand_in_replies(spark, sf, batched(spark, sf))
+    _, requests, replies = asked(spark, sf)
     moved = replies.withColumn("batch_no", F.col("batch_no") + 1)
-    return stray_items(requests_of(spark, sf), parse_replies(moved)).select(*BATCH, "row_key")
+    return stray_items(requests, parse_replies(moved)).select(*BATCH, "row_key")
 
 
 def q_status(status, spark, sf):
@@ -400,14 +405,16 @@ def q_label_ranks(spark, sf):
 
 
 def q_final_rank(spark, sf):
-    return final_rank(merged(spark, sf)).select("target_code", "row_key", "label", "final_rank")
+    rows = final_rank(cut(merged(spark, sf)), LABEL)
+    return rows.select("target_code", "row_key", "label", F.col("final_rank").cast("double").alias("final_rank"))
 
 
 def q_label_run(spark, sf):
-    rows = final_rank(merged(spark, sf)).drop("form_name", "table_name", "visit", "visit_name", "collection_event",
+    rows = final_rank(cut(merged(spark, sf)), LABEL).drop("form_name", "table_name", "visit", "visit_name", "collection_event",
                                               "dataset_accession", "database", "type")
     rows = rows.withColumn("description", F.md5("description"))
     ints = {c: F.col(c).cast("bigint") for c in ("label_priority", "relation_rank", "category_rank")}
+    ints["final_rank"] = F.col("final_rank").cast("double")
     return rounded(rows.withColumns(ints), "score")
 
 
@@ -446,7 +453,7 @@ def q_resume_pending(spark, sf):
 
 def q_log_union(spark, sf):
     """Two runs in one log, the second one over the rows that failed in the first."""
-    first = results(spark, sf).drop(*BATCH)
+    first = cut(results(spark, sf).drop(*BATCH))
     failed = first.where(F.col("label_status") != "ok")
     again = failed.withColumns({"label_status": F.lit("ok"), "label_reason": F.lit("second try"),
                                 "label_error": F.lit("")})
