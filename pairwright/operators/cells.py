@@ -19,7 +19,7 @@ def _matrix(table: pa.Table) -> np.ndarray:
     lengths = pc.unique(pc.list_value_length(column)).to_pylist()
     if len(lengths) > 1 or None in lengths:
         raise ValueError(f"vectors must have one common length, found {lengths}")
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def _scores(targets: np.ndarray, columns: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -29,11 +29,11 @@ def _scores(targets: np.ndarray, columns: np.ndarray) -> Iterator[tuple[int, np.
     wide = columns if n > 1 else np.repeat(columns, 2, axis=1)
     step = max(1, _SLAB // n)
     for row in range(0, len(targets), step):
-        block = targets[row:row + step]
+        block = targets[row:row + step].astype(np.float64)
         out = np.empty((len(block), wide.shape[1]))
         for col in range(0, wide.shape[1], _COLUMNS):
-            first = min(col, wide.shape[1] - 2)
-            np.einsum("ik,kj->ij", block, wide[:, first:col + _COLUMNS], out=out[:, first:col + _COLUMNS])
+            part = slice(min(col, wide.shape[1] - 2), col + _COLUMNS)
+            out[:, part] = np.einsum("ik,kj->ij", block, wide[:, part].astype(np.float64))
         out = out[:, :n]
         if not np.isfinite(out).all():
             raise ValueError("a score is not finite")

@@ -27,6 +27,7 @@ class Grid:
     n_candidates: int
     n_groups: int
     n_hot_groups: int
+    cell_rows: int
     parts: int
     hot_parts: int
     chunks: int
@@ -41,16 +42,19 @@ class Grid:
         return self.n_hot_groups > 0
 
 
-def group_sizes(candidates: DataFrame, settings: RetrievalSettings) -> DataFrame:
+def group_sizes(candidates: DataFrame, cell_rows: int) -> DataFrame:
     """(group, n, salts): how many candidates a group has and over how many cells it is spread."""
     sizes = candidates.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.withColumn("salts", F.ceil(F.col("n") / settings.cell_rows).cast("int"))
+    return sizes.withColumn("salts", F.ceil(F.col("n") / cell_rows).cast("int"))
 
 
 def plan_grid(targets: DataFrame, candidates: DataFrame, settings: RetrievalSettings) -> Grid:
     """Count both sides (one column each) and size the grid from the counts."""
+    sample = candidates.select(F.size("embedding").alias("width")).first()
+    widest = settings.cell_values // max(sample.width if sample else 1, 1)
+    cell_rows, cell_targets = min(settings.cell_rows, widest), min(settings.cell_targets, widest)
     hot = F.col("salts") > 1
-    row = group_sizes(candidates, settings).agg(
+    row = group_sizes(candidates, cell_rows).agg(
         F.count(F.lit(1)).alias("groups"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count_if(hot).alias("hot_groups"),
@@ -65,16 +69,17 @@ def plan_grid(targets: DataFrame, candidates: DataFrame, settings: RetrievalSett
         n_candidates=row.rows,
         n_groups=row.groups,
         n_hot_groups=row.hot_groups,
-        parts=max(ceil(row.small_rows / settings.cell_rows), min(small_groups, 4 * width), 1),
+        cell_rows=cell_rows,
+        parts=max(ceil(row.small_rows / cell_rows), min(small_groups, 4 * width), 1),
         hot_parts=max(int(row.hot_cells), 1),
-        chunks=max(ceil(n_targets / settings.cell_targets), 1),
+        chunks=max(ceil(n_targets / cell_targets), 1),
         partitions=width,
     )
 
 
 def hot_groups(candidates: DataFrame, grid: Grid, settings: RetrievalSettings) -> DataFrame:
     """(group, salts) of the groups that span several cells; broadcast only while there are few of them."""
-    found = group_sizes(candidates, settings).where("salts > 1").select("group", "salts")
+    found = group_sizes(candidates, grid.cell_rows).where("salts > 1").select("group", "salts")
     return F.broadcast(found) if grid.n_hot_groups <= settings.broadcast_rows else found
 
 

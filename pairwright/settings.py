@@ -66,9 +66,11 @@ class RetrievalSettings:
     missing_tokens: tuple[str, ...] = MISSING_TOKENS
 
     # Physical limits. A cell is the unit of work of one Python call: at most about `cell_rows` candidates
-    # against at most about `cell_targets` targets. Groups above `cell_rows` are split over several cells.
+    # against at most about `cell_targets` targets, and about `cell_values` vector elements on either side.
+    # Groups above the limit are split over several cells.
     cell_rows: int = 65_536
     cell_targets: int = 16_384
+    cell_values: int = 33_554_432
     bins_per_unit: int = 2_048
     broadcast_rows: int = 100_000
     window_rows: int = 1_000_000

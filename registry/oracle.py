@@ -366,6 +366,11 @@ ORACLE: dict[str, str] = {
         string_agg(row_key, ',' ORDER BY position) AS row_keys, max(head_name) AS target_name,
         max(head_category) AS target_category FROM batched JOIN heads USING (target_code)
         GROUP BY target_code, batch_no""",
+    "request_text": f"""WITH {BATCHED} SELECT target_code, row_key AS row_id, context_group AS context_group_id,
+        accession AS variable_accession, name AS variable_name, md5(description) AS variable_description, type, study,
+        '' AS "database", '' AS dataset_accession, dataset_name, '' AS form_name, '' AS table_name, '' AS visit,
+        '' AS visit_name, '' AS collection_event, round(score, 6) AS cosine_similarity, target_rank AS step1_rank,
+        pass_label AS step1_label FROM batched""",
     "parse_replies": f"""WITH {ANSWERS} SELECT target_code, batch_no,
         count(*) FILTER (status = 'ok') AS n_items FROM judged GROUP BY ALL""",
     "reply_status": f"""WITH {ANSWERS}, b AS (SELECT target_code, batch_no, max(failure) AS reply_error FROM judged

@@ -20,7 +20,7 @@ from pairwright.operators.pairs import first_targets, keep_passed, load_pairs, t
 from pairwright.operators.prepare import first_rows, prepare_candidates, prepare_targets
 from pairwright.operators.replies import classify, parse_replies, stray_items, validate_items
 from pairwright.operators.report import failed_targets, label_counts, label_totals, target_rollup
-from pairwright.operators.requests import BATCH, assign_batches, build_requests, target_headers
+from pairwright.operators.requests import BATCH, REQUEST_FIELDS, assign_batches, build_requests, target_headers
 from pairwright.operators.select import adaptive_select, group_statistics, select_and_rank
 from pairwright.operators.summary import (
     count_buckets, count_describe, count_quantiles, group_buckets, group_summary, inspect_by_group, inspect_top,
@@ -345,7 +345,16 @@ def q_build_requests(spark, sf):
 
 
 def q_request_text(spark, sf):
-    return asked(spark, sf)[1].select(*BATCH, "payload", "request")
+    """Every candidate of every request, read back from the text that would be sent."""
+    item = "array<struct<" + ", ".join(
+        f"{name}: {'double' if column == 'score' else 'bigint' if column == 'target_rank' else 'string'}"
+        for name, column in REQUEST_FIELDS) + ">>"
+    sent = F.substring_index("request", "Variables:\n", -1)
+    rows = asked(spark, sf)[1].select("target_code", F.explode(F.from_json(sent, item)).alias("r")).select(
+        "target_code", "r.*")
+    return rows.withColumns({"variable_description": F.md5("variable_description"),
+                             "cosine_similarity": F.round("cosine_similarity", 6),
+                             "step1_rank": F.col("step1_rank").cast("double")})
 
 
 def q_parse_replies(spark, sf):
