@@ -31,7 +31,7 @@ class Grid:
     parts: int
     hot_parts: int
     chunks: int
-    partitions: int
+    width: int
 
     @property
     def has_small(self) -> bool:
@@ -41,6 +41,11 @@ class Grid:
     def has_hot(self) -> bool:
         return self.n_hot_groups > 0
 
+    def partitions(self, hot: bool) -> int:
+        """Enough for the cells to spread, and no more than the session's shuffle width."""
+        cells = (self.hot_parts if hot else self.parts) * self.chunks
+        return min(self.width, 4 * cells)
+
 
 def group_sizes(candidates: DataFrame, cell_rows: int) -> DataFrame:
     """(group, n, salts): how many candidates a group has and over how many cells it is spread."""
@@ -73,7 +78,7 @@ def plan_grid(targets: DataFrame, candidates: DataFrame, settings: RetrievalSett
         parts=max(ceil(row.small_rows / cell_rows), min(small_groups, 4 * width), 1),
         hot_parts=max(int(row.hot_cells), 1),
         chunks=max(ceil(n_targets / cell_targets), 1),
-        partitions=width,
+        width=width,
     )
 
 
@@ -83,8 +88,8 @@ def hot_groups(candidates: DataFrame, grid: Grid, settings: RetrievalSettings) -
     return F.broadcast(found) if grid.n_hot_groups <= settings.broadcast_rows else found
 
 
-def _by_cell(df: DataFrame, grid: Grid) -> DataFrame:
-    return df.repartition(grid.partitions, *CELL)
+def _by_cell(df: DataFrame, grid: Grid, hot: bool) -> DataFrame:
+    return df.repartition(grid.partitions(hot), *CELL)
 
 
 def _part(parts: int, *keys) -> Column:
@@ -102,7 +107,7 @@ def place_candidates(candidates: DataFrame, grid: Grid, settings: RetrievalSetti
             rows = rows.join(hot_groups(candidates, grid, settings).select("group"), "group", "left_anti")
         part = _part(grid.parts, "group", F.lit(0))
     chunk = F.explode(F.sequence(F.lit(0), F.lit(grid.chunks - 1))) if grid.chunks > 1 else F.lit(0)
-    return _by_cell(rows.select(part, chunk.alias("chunk"), "group", "cand_id", "embedding"), grid)
+    return _by_cell(rows.select(part, chunk.alias("chunk"), "group", "cand_id", "embedding"), grid, hot)
 
 
 def _chunked(targets: DataFrame, grid: Grid) -> DataFrame:
@@ -113,9 +118,9 @@ def _chunked(targets: DataFrame, grid: Grid) -> DataFrame:
 def place_targets(targets: DataFrame, grid: Grid, hot: bool) -> DataFrame:
     """Every target in every part of its chunk."""
     parts = grid.hot_parts if hot else grid.parts
-    spread = _chunked(targets, grid).repartition(grid.partitions, "target_id")
+    spread = _chunked(targets, grid).repartition(grid.partitions(hot), "target_id")
     spread = spread.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return _by_cell(spread.select("part", "chunk", "target_id", "embedding"), grid)
+    return _by_cell(spread.select("part", "chunk", "target_id", "embedding"), grid, hot)
 
 
 def place_bounds(targets: DataFrame, bounds: DataFrame, candidates: DataFrame, grid: Grid,
@@ -124,4 +129,4 @@ def place_bounds(targets: DataFrame, bounds: DataFrame, candidates: DataFrame, g
     rows = bounds.join(hot_groups(candidates, grid, settings), "group").join(_chunked(targets, grid), "target_id")
     parts = F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda salt: _part(grid.hot_parts, "group", salt))
     rows = rows.withColumn("part", F.explode(F.array_distinct(parts))).drop("salts")
-    return _by_cell(rows, grid)
+    return _by_cell(rows, grid, hot=True)

@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pairwright.deploy import ship  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,6 +22,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    ship(session)
     yield session
     session.stop()
 
