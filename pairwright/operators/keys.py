@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_COPIES_PER_ROW = 100_000
+_COPIES_PER_PILE = 100_000
 
 
 def with_content_key(df: DataFrame, identity: Sequence[str], name: str, order: Sequence = ()) -> DataFrame:
     """Adds a key: SHA-2 over the identity columns, the variant and the copy number.
 
     Rows that agree in every column are interchangeable copies: they are counted (combined before the shuffle) and
-    written out again with copy numbers, so that no task receives a pile of copies. Rows that agree in the identity
+    written out again with copy numbers, large numbers of them in piles spread over the tasks. Rows that agree in the identity
     only are variants, numbered in `order`; where no `order` is given, by their remaining columns.
     """
     columns = df.columns
@@ -27,10 +27,13 @@ def with_content_key(df: DataFrame, identity: Sequence[str], name: str, order: S
     else:
         variant = F.lit(1)
     rows = rows.withColumn("_variant", variant)
-    pile = F.ceil(F.col("_copies") / _COPIES_PER_ROW).cast("bigint")
-    rows = rows.withColumn("_pile", F.explode(F.sequence(F.lit(0).cast("bigint"), pile - 1)))
-    first = F.col("_pile") * _COPIES_PER_ROW + 1
-    last = F.least(F.col("_copies"), (F.col("_pile") + 1) * _COPIES_PER_ROW)
+    few, many = F.col("_copies") <= _COPIES_PER_PILE, F.col("_copies") > _COPIES_PER_PILE
+    one = rows.where(few).withColumn("_pile", F.lit(0).cast("bigint"))
+    piles = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {_COPIES_PER_PILE}"))
+    several = rows.where(many).withColumn("_pile", F.explode(piles)).repartition("_identity", "_variant", "_pile")
+    rows = one.unionByName(several)
+    first = F.col("_pile") * _COPIES_PER_PILE + 1
+    last = F.least(F.col("_copies"), (F.col("_pile") + 1) * _COPIES_PER_PILE)
     rows = rows.withColumn("_copy", F.explode(F.sequence(first, last)))
     key = F.sha2(F.concat_ws(":", "_identity", "_variant", "_copy"), 256)
     return rows.select(*columns, key.alias(name))

@@ -29,6 +29,17 @@ def label(pairs: DataFrame, log: DataFrame, settings: LabelSettings) -> DataFram
     return final_rank(cut(merge_labels(pairs, latest_results(log), settings)), settings)
 
 
+def write_requests(selected: DataFrame, settings: LabelSettings, out: str) -> DataFrame:
+    """The requests a run over `out` would make now, for a service that answers elsewhere. Keys come from content,
+    so the later `run_labelling` over the same rows and log asks for the same batches."""
+    log = read_log(selected.sparkSession, f"{out}/log")
+    write_table(load_pairs(selected, settings), f"{out}/pairs")
+    pairs = selected.sparkSession.read.parquet(f"{out}/pairs")
+    path = f"{out}/requests/run_seq={next_run_seq(log)}"
+    write_table(open_requests(pairs, log, settings), path)
+    return selected.sparkSession.read.parquet(path)
+
+
 @dataclass(frozen=True)
 class Labelling:
     merged: DataFrame
@@ -49,13 +60,11 @@ def run_labelling(selected: DataFrame, settings: LabelSettings, out: str,
     log_path = f"{out}/log"
     log = read_log(spark, log_path)
     run_seq = next_run_seq(log)
-    write_table(load_pairs(selected, settings), f"{out}/pairs")
-    pairs = spark.read.parquet(f"{out}/pairs")
-    requests_path, replies_path = f"{out}/requests/run_seq={run_seq}", f"{out}/replies/run_seq={run_seq}"
-    write_table(open_requests(pairs, log, settings), requests_path)
-    requests = spark.read.parquet(requests_path)
     if replies is None and load_classifier is None:
         raise ValueError("give either a reply table or a classifier")
+    requests = write_requests(selected, settings, out)
+    pairs = spark.read.parquet(f"{out}/pairs")
+    replies_path = f"{out}/replies/run_seq={run_seq}"
     answers = replies(requests) if replies is not None else ask(requests, load_classifier)
     write_table(answers, replies_path)
     append_log(classify(requests, spark.read.parquet(replies_path), settings), log_path, run_seq)

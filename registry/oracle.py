@@ -314,7 +314,7 @@ ORACLE: dict[str, str] = {
     "global_rank": f"""WITH {picked('mad')} SELECT target_id, cand_id, grp AS "group", rank_in_group, target_rank,
         round(max_for_target, 6) AS max_for_target FROM picked""",
     "retrieve": f"""WITH {WIDE} SELECT {SELECT_COLUMNS}, target_rank, round(max_for_target, 6) AS max_for_target,
-        target_code, target_name, target_category, md5(description) AS description, study, "database", 1 AS passed,
+        target_code, target_name, target_category, length(description) AS description, study, "database", 1 AS passed,
         'not_hard_negative' AS pass_label, 'phecode_Database' AS scope, 'Database' AS group_column, 'mad' AS spread,
         3.0::DOUBLE AS scale, 10 AS min_candidates, 30 AS max_candidates FROM wide""",
     "target_summary": f"""WITH {SUMMARY} SELECT * REPLACE (CAST(min_in_one_group AS DOUBLE) AS min_in_one_group,

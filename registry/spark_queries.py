@@ -78,21 +78,15 @@ def vectors(spark, sf):
             e.select(F.col("vec_id").alias("cand_id"), F.col("label").cast("string").alias("group"), "embedding"))
 
 
-def wide_vectors(spark, sf):
-    """The same with the columns of part and documents that go with an id."""
-    t, c = vectors(spark, sf)
-    parts = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("target_id"), F.col("p_name").alias("target_name"),
-        F.col("p_type").alias("target_category"))
-    t = t.join(parts, "target_id", "left").withColumn("target_code", F.col("target_id").cast("string"))
-    docs = table(spark, sf, "documents").select(
-        F.col("doc_id").alias("cand_id"), F.col("text").alias("description"), F.col("source").alias("study"),
-        F.col("lang").alias("database"))
-    return t, c.join(docs, "cand_id", "left")
-
-
 def selected(spark, sf):
-    return retrieve(*wide_vectors(spark, sf), MAD)
+    """Retrieval over all vectors, with the columns of part and documents that go with an id."""
+    part, docs = table(spark, sf, "part"), table(spark, sf, "documents")
+    details = part.select(F.col("p_partkey").alias("target_id"), F.col("p_name").alias("target_name"),
+                          F.col("p_type").alias("target_category"))
+    texts = docs.select(F.col("doc_id").alias("cand_id"), F.col("text").alias("description"),
+                        F.col("source").alias("study"), F.col("lang").alias("database"))
+    rows = retrieve(*vectors(spark, sf), MAD, details, texts)
+    return rows.withColumn("target_code", F.col("target_id").cast("string"))
 
 
 # --- stage one ------------------------------------------------------------------------------------------------------
@@ -177,7 +171,7 @@ def q_global_rank(spark, sf):
 
 
 def q_retrieve(spark, sf):
-    rows = selected(spark, sf).withColumn("description", F.md5("description"))
+    rows = selected(spark, sf).withColumn("description", F.length("description").cast("bigint"))
     return rounded(rows, "score", "max_in_group", "max_for_target", "delta", "threshold")
 
 

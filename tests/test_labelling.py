@@ -151,6 +151,7 @@ def test_content_keys_of_copies_and_variants(spark):
     rows = [("a", 1)] * 5 + [("a", 2)] * 2 + [("b", 1)]
     df = spark.createDataFrame(rows, "k string, v int")
     keyed = with_content_key(df, ["k"], "key").collect()
+    assert set(with_content_key(df, ["k"], "key").columns) == {"k", "v", "key"}
     assert len(keyed) == 8 and len({r.key for r in keyed}) == 8
     assert Counter((r.k, r.v) for r in keyed) == Counter(rows)
     again = with_content_key(df.repartition(5).orderBy("v"), ["k"], "key").collect()
@@ -159,6 +160,13 @@ def test_content_keys_of_copies_and_variants(spark):
     assert other in {r.key for r in keyed}
 
 
+def test_piles_of_copies_keep_their_keys(spark, monkeypatch):
+    df = spark.range(25).select(F.lit("a").alias("k"))
+    whole = {r.key for r in with_content_key(df, ["k"], "key").collect()}
+    monkeypatch.setattr("pairwright.operators.keys._COPIES_PER_PILE", 4)
+    assert {r.key for r in with_content_key(df, ["k"], "key").collect()} == whole and len(whole) == 25
+
+
 @pytest.mark.parametrize("limit", [1_000_000, 1])
 def test_batches(spark, limit):
     settings = LabelSettings(batch_size=4, window_rows=limit)

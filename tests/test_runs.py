@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from pairwright.cli import main
 from pairwright.operators.embed import embed_with
 from pairwright.operators.prepare import prepare_candidates, prepare_targets
 from pairwright.plans.labelling import label, run_labelling
@@ -200,3 +201,20 @@ def test_cut_keeps_rows(spark):
     df = cut(spark.range(10))
     assert df.count() == 10 and spark.sparkContext.getCheckpointDir() is not None
     assert json.dumps([r.id for r in df.orderBy("id").collect()]) == json.dumps(list(range(10)))
+
+
+def test_command_line(spark, files, tmp_path):
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    main(["retrieve", "--targets", str(files / "targets.csv"), "--candidates", str(files / "candidates.csv"), "--out", one,
+          "--min-candidates", "2", "--max-candidates", "4", "--inspect", "008", "--format", "csv"])
+    n = spark.read.parquet(f"{one}/selected").count()
+    assert n and spark.read.parquet(f"{one}/report/sample").where("target_code <> '8'").count() == 0
+    assert spark.read.parquet(f"{one}/report/target_buckets").first().over_20 == 0
+    main(["requests", "--selected", f"{one}/selected_csv", "--selected-format", "csv", "--out", two])
+    requests = spark.read.parquet(f"{two}/requests/run_seq=0")
+    write_table(replies_from(requests), str(tmp_path / "replies"))
+    main(["label", "--selected", f"{one}/selected_csv", "--selected-format", "csv", "--out", two,
+          "--replies", str(tmp_path / "replies")])
+    ranked = spark.read.parquet(f"{two}/ranked")
+    assert ranked.count() == n and ranked.where("label_status <> 'ok'").count() == 0
+    assert spark.read.parquet(f"{two}/report/by_target").agg(F.sum("n_candidates")).first()[0] == n
