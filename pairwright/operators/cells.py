@@ -51,6 +51,23 @@ def _groups(table: pa.Table) -> Iterator[tuple[pa.Scalar, pa.Array, np.ndarray]]
         start = end
 
 
+def _median(values: np.ndarray) -> np.ndarray:
+    """Row medians. One partition point is enough: the lower middle is the largest value left of it."""
+    half = values.shape[1] // 2
+    split = np.partition(values, half, axis=1)
+    upper = split[:, half]
+    return upper if values.shape[1] % 2 else (split[:, :half].max(axis=1) + upper) / 2
+
+
+def _count(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys below `size` and how often each occurs."""
+    if size > 2 * keys.size:
+        return np.unique(keys, return_counts=True)
+    counts = np.bincount(keys.ravel(), minlength=size)
+    found = np.flatnonzero(counts)
+    return found, counts[found]
+
+
 def _top(scores: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, column, rank) of the k[row] best scores per row, ties by column."""
     n, most = scores.shape[1], int(min(k.max(initial=0), scores.shape[1]))
@@ -98,8 +115,7 @@ def whole_groups(settings: RetrievalSettings, types: dict[str, pa.DataType], pai
                     if settings.spread == "sd":
                         spread = scores.std(axis=1)
                     else:
-                        middle = np.median(scores, axis=1)
-                        spread = np.median(np.abs(scores - middle[:, None]), axis=1)
+                        spread = _median(np.abs(scores - _median(scores)[:, None]))
                     delta = settings.scale * spread
                     threshold = best - delta
                     above = (scores >= threshold[:, None]).sum(axis=1)
@@ -146,7 +162,7 @@ def profile(settings: RetrievalSettings, types: dict[str, pa.DataType]) -> Calla
                         low = bins.min()
                         span = int(bins.max() - low) + 1
                         flat = np.arange(len(bins))[:, None] * span + (bins - low)
-                        keys, counts = np.unique(flat, return_counts=True)
+                        keys, counts = _count(flat, span * len(bins))
                         rows = keys // span
                         line = {"n": counts, "bin": keys % span + low}
                     out.append(line | {"target_id": ids.take(pa.array(rows + row)),
