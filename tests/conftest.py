@@ -13,7 +13,7 @@ from pairwright.deploy import ship  # noqa: E402
 def spark():
     session = (
         SparkSession.builder.master("local[*]").appName("pairwright-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")

@@ -103,7 +103,7 @@ def test_one_hot_group_beside_small_ones(spark):
     check(spark, targets, rows, RetrievalSettings(min_candidates=3, max_candidates=8, cell_rows=20))
 
 
-@hyp(max_examples=8, deadline=None)
+@hyp(max_examples=5, deadline=None)
 @given(st.lists(st.integers(-8, 8), min_size=1, max_size=40), st.integers(1, 6), st.sampled_from([1, 4, 16]))
 def test_split_groups_match_on_any_scores(spark, values, cell_rows, bins):
     rows = [(i, "g", [v / 8]) for i, v in enumerate(values)]
