@@ -190,20 +190,42 @@ def _carry(bounds: pa.Table, rows: np.ndarray) -> pa.Array:
     return bounds.column("carry").combine_chunks().take(pa.array(rows, mask=repeat))
 
 
-def wanted_values(settings: RetrievalSettings, types: dict[str, pa.DataType]) -> Callable:
-    """Part of a split group: the distinct scores in the wanted bins, with their counts."""
+def _wanted(scores: np.ndarray, bounds: pa.Table, unit: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, distinct scores in the wanted bins of width 1/unit, their counts)."""
+    bins = np.floor(scores * unit).astype(np.int64)
+    for i, wanted in enumerate(bounds.column("bins").to_pylist()):
+        yield i, *np.unique(scores[i][np.isin(bins[i], wanted)], return_counts=True)
+
+
+def finer_bins(unit: int, finer: int, types: dict[str, pa.DataType]) -> Callable:
+    """Part of a split group: the wanted bins counted again in finer ones, with the number of distinct scores."""
 
     def use(group: pa.Scalar, _: pa.Array, scores: np.ndarray, bounds: pa.Table) -> dict:
-        bins = np.floor(scores * settings.bins_per_unit).astype(np.int64)
-        rows, values, counts = [], [], []
-        for i, wanted in enumerate(bounds.column("bins").to_pylist()):
-            found, n = np.unique(scores[i][np.isin(bins[i], wanted)], return_counts=True)
+        rows, bins, counts, distinct = [], [], [], []
+        for i, values, n in _wanted(scores, bounds, unit):
+            found, first, several = np.unique(np.floor(values * finer).astype(np.int64), return_index=True,
+                                              return_counts=True)
             rows.append(np.full(len(found), i))
-            values.append(found)
-            counts.append(n)
+            bins.append(found)
+            counts.append(np.add.reduceat(n, first) if len(found) else n)
+            distinct.append(several)
         where = np.concatenate(rows)
         return {"target_id": bounds.column("target_id").take(pa.array(where)), "group": _fill(group, len(where)),
-                "value": np.concatenate(values), "n": np.concatenate(counts), "carry": _carry(bounds, where)}
+                "bin": np.concatenate(bins), "n": np.concatenate(counts), "several": np.concatenate(distinct),
+                "carry": _carry(bounds, where)}
+
+    return lambda candidates, bounds: _collect(_per_target(candidates, bounds, use), types)
+
+
+def wanted_values(unit: int, types: dict[str, pa.DataType]) -> Callable:
+    """Part of a split group: the distinct scores in the wanted bins, with their counts."""
+
+    def use(group: pa.Scalar, _: pa.Array, scores: np.ndarray, bounds: pa.Table) -> dict:
+        found = list(_wanted(scores, bounds, unit))
+        where = np.concatenate([np.full(len(values), i) for i, values, _ in found])
+        return {"target_id": bounds.column("target_id").take(pa.array(where)), "group": _fill(group, len(where)),
+                "value": np.concatenate([values for _, values, _ in found]),
+                "n": np.concatenate([n for _, _, n in found]), "carry": _carry(bounds, where)}
 
     return lambda candidates, bounds: _collect(_per_target(candidates, bounds, use), types)
 

@@ -5,12 +5,14 @@ threshold = best score - scale * spread; the scores at or above it are kept, pad
 
 A group that fits one cell is solved there. A split group takes three passes over the same shuffled cells:
 bins of all scores -> exact median and spread from the few bins that can hold them -> count at the threshold and best
-pairs. Every pass ships counts or bounded lists, never the pairs.
+pairs. Where these few bins still hold very many distinct scores (near-copies), they are counted again in finer bins
+first. Every pass ships counts or bounded lists, never the pairs.
 """
 
 from __future__ import annotations
 
-import pyarrow as pa
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -20,6 +22,7 @@ from pairwright.operators.grid import (
     CELL, Grid, place_bounds, place_candidates, place_targets, plan_grid,
 )
 from pairwright.operators.ranking import spread_row_number
+from pairwright.plans.lineage import cut
 from pairwright.settings import RetrievalSettings
 
 _STATS = {"n_pool": "bigint", "n_above": "bigint", "max_in_group": "double", "delta": "double",
@@ -40,6 +43,10 @@ def _cogroup(left: DataFrame, right: DataFrame, make, columns: dict[str, str]) -
     return left.groupBy(*CELL).cogroup(right.groupBy(*CELL)).applyInArrow(make(types), empty)
 
 
+def _most(df: DataFrame, column: str) -> int:
+    return df.agg(F.max(column)).first()[0] or 0
+
+
 def _dtype(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
@@ -48,52 +55,87 @@ def _key_types(targets: DataFrame, candidates: DataFrame) -> dict[str, str]:
     return {"target_id": _dtype(targets, "target_id"), "group": "string", "cand_id": _dtype(candidates, "cand_id")}
 
 
-def _median_bounds(bins: DataFrame, per_unit: int) -> DataFrame:
-    """From score histograms: which bins can hold the median score and the median distance from it.
+_FINER = 4_096
+_FINEST = 2**47
+
+
+def _first_bins(profiles: DataFrame) -> DataFrame:
+    """All bins of a group, each of them still a place for the median and for the distance."""
+    key = Window.partitionBy("target_id", "group")
+    bins = profiles.groupBy("target_id", "group", "bin").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
+    bins = bins.withColumns({"n_pool": F.sum("n").over(key), "max_in_group": F.max("top").over(key)})
+    return bins.withColumns({
+        "p1": F.expr("(n_pool + 1) div 2"), "p2": F.expr("n_pool div 2 + 1"), "several": F.col("n"),
+        "was_mid": F.lit(True), "was_ring": F.lit(True),
+        "under_mid": F.lit(0).cast("bigint"), "under_ring": F.lit(0).cast("bigint")})
+
+
+def _next_bins(finer: DataFrame) -> DataFrame:
+    """The finer bins inside those that were wanted before."""
+    key = Window.partitionBy("target_id", "group")
+    bins = finer.groupBy("target_id", "group", "bin").agg(
+        F.sum("n").alias("n"), F.sum("several").alias("several"), F.first("carry", ignorenulls=True).alias("carry"))
+    bins = bins.withColumn("carry", F.first("carry", ignorenulls=True).over(key))
+    bins = bins.select("target_id", "group", "bin", "n", "several", "carry.*")
+    before = F.floor(F.col("bin") / _FINER)
+    return bins.withColumns({"was_mid": F.array_contains("mid_bins", before),
+                             "was_ring": F.array_contains("ring_bins", before)})
+
+
+def _median_bounds(bins: DataFrame, unit: int) -> DataFrame:
+    """Which bins of width 1/unit can hold the median score and the median distance from it.
 
     With the median inside [m_lo, m_hi], a score in [lo, hi) is at a distance between d_lo and d_hi from it. Counting
     by d_hi bounds the wanted distance from above, counting by d_lo bounds it from below.
     """
     key = Window.partitionBy("target_id", "group")
-    upto = lambda *order: F.sum("n").over(key.orderBy(*order))
-    width = F.lit(1.0 / per_unit)
-    held = (F.col("cum") - F.col("n") < F.col("p1")) & (F.col("p1") <= F.col("cum"))
-    held2 = (F.col("cum") - F.col("n") < F.col("p2")) & (F.col("p2") <= F.col("cum"))
+
+    def upto(flag: str, order: str) -> Column:
+        return F.sum(F.when(F.col(flag), F.col("n")).otherwise(0)).over(key.orderBy(order))
+
+    def holds(position: str) -> Column:
+        place = F.col(position) - F.col("under_mid")
+        return F.col("was_mid") & (F.col("cum") - F.col("n") < place) & (place <= F.col("cum"))
+
+    def reach(cum: str, position: str, value: str) -> Column:
+        enough = F.col("was_ring") & (F.col(cum) >= F.col(position) - F.col("under_ring"))
+        return F.min(F.when(enough, F.col(value))).over(key)
+
     out = (
-        bins.groupBy("target_id", "group", "bin").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
-        .withColumns({"n_pool": F.sum("n").over(key), "max_in_group": F.max("top").over(key), "cum": upto("bin")})
-        .withColumns({"p1": F.expr("(n_pool + 1) div 2"), "p2": F.expr("n_pool div 2 + 1"),
-                      "lo": F.col("bin") * width, "hi": (F.col("bin") + 1) * width})
-        .withColumns({"mid": held | held2,
-                      "m_lo": F.min(F.when(held, F.col("lo"))).over(key),
-                      "m_hi": F.max(F.when(held2, F.col("hi"))).over(key)})
+        bins.withColumns({"cum": upto("was_mid", "bin"), "lo": F.col("bin") / unit, "hi": (F.col("bin") + 1) / unit})
+        .withColumns({"held": holds("p1"), "held2": holds("p2")})
+        .withColumns({"m_lo": F.min(F.when(F.col("held"), F.col("lo"))).over(key),
+                      "m_hi": F.max(F.when(F.col("held2"), F.col("hi"))).over(key)})
         .withColumns({"d_lo": F.greatest(F.col("lo") - F.col("m_hi"), F.col("m_lo") - F.col("hi"), F.lit(0.0)),
                       "d_hi": F.greatest(F.col("hi") - F.col("m_lo"), F.col("m_hi") - F.col("lo"))})
-        .withColumns({"by_lo": upto("d_lo"), "by_hi": upto("d_hi")})
-        .withColumns({"r_lo": F.min(F.when(F.col("by_lo") >= F.col("p1"), F.col("d_lo"))).over(key),
-                      "r_hi": F.min(F.when(F.col("by_hi") >= F.col("p2"), F.col("d_hi"))).over(key)})
-        .withColumn("ring", (F.col("d_hi") >= F.col("r_lo")) & (F.col("d_lo") <= F.col("r_hi")))
+        .withColumns({"by_lo": upto("was_ring", "d_lo"), "by_hi": upto("was_ring", "d_hi")})
+        .withColumns({"r_lo": reach("by_lo", "p1", "d_lo"), "r_hi": reach("by_hi", "p2", "d_hi")})
+        .withColumns({"mid": F.col("held") | F.col("held2"),
+                      "ring": F.col("was_ring") & (F.col("d_hi") >= F.col("r_lo")) & (F.col("d_lo") <= F.col("r_hi"))})
     )
-    n, bin_ = F.col("n"), F.col("bin")
+    n, bin_, wanted = F.col("n"), F.col("bin"), F.col("mid") | F.col("ring")
+    below_mid = F.col("was_mid") & (F.col("hi") <= F.col("m_lo"))
+    below_ring = F.col("was_ring") & (F.col("d_hi") < F.col("r_lo"))
     out = out.groupBy("target_id", "group", "n_pool", "p1", "p2", "max_in_group").agg(
-        F.collect_list(F.when(F.col("mid") | F.col("ring"), bin_)).alias("bins"),
+        F.collect_list(F.when(wanted, bin_)).alias("bins"),
+        F.sum(F.when(wanted, F.col("several")).otherwise(0)).alias("n_wanted"),
         F.collect_list(F.when(F.col("ring"), bin_)).alias("ring_bins"),
         F.collect_list(F.when(F.col("mid"), bin_)).alias("mid_bins"),
-        F.sum(F.when(F.col("hi") <= F.col("m_lo"), n).otherwise(0)).alias("under_mid"),
-        F.sum(F.when(F.col("d_hi") < F.col("r_lo"), n).otherwise(0)).alias("under_ring"),
+        (F.max("under_mid") + F.sum(F.when(below_mid, n).otherwise(0))).alias("under_mid"),
+        (F.max("under_ring") + F.sum(F.when(below_ring, n).otherwise(0))).alias("under_ring"),
     )
-    return out.select("target_id", "group", "bins", F.struct(
+    return out.select("target_id", "group", "bins", "n_wanted", F.struct(
         "n_pool", "p1", "p2", "max_in_group", "ring_bins", "mid_bins", "under_mid", "under_ring").alias("carry"))
 
 
-def _exact_spread(values: DataFrame, settings: RetrievalSettings) -> DataFrame:
+def _exact_spread(values: DataFrame, unit: int, settings: RetrievalSettings) -> DataFrame:
     """Median and median distance from the distinct scores of the wanted bins."""
     key = Window.partitionBy("target_id", "group")
     rows = values.groupBy("target_id", "group", "value").agg(
         F.sum("n").alias("n"), F.first("carry", ignorenulls=True).alias("carry"))
     rows = rows.withColumn("carry", F.first("carry", ignorenulls=True).over(key))
     rows = rows.select("target_id", "group", "value", "n", "carry.*")
-    bin_ = F.floor(F.col("value") * settings.bins_per_unit)
+    bin_ = F.floor(F.col("value") * unit)
 
     def at(value: str, cum: str, position: Column) -> Column:
         return F.min(F.when(F.col(cum) >= position, F.col(value))).over(key)
@@ -144,10 +186,17 @@ def _split_groups(targets: DataFrame, candidates: DataFrame, settings: Retrieval
     else:
         columns = keys | {"bin": "bigint", "n": "bigint", "top": "double"}
         bins = _cogroup(placed, everywhere, lambda t: cells.profile(settings, t), columns)
-        bounds = in_cells(_median_bounds(bins, settings.bins_per_unit))
+        unit, bounds = settings.bins_per_unit, cut(_median_bounds(_first_bins(bins), settings.bins_per_unit))
+        while unit * _FINER <= _FINEST and _most(bounds, "n_wanted") > settings.value_rows:
+            placed_bounds, coarse = in_cells(bounds.drop("n_wanted")), unit
+            columns = keys | {"bin": "bigint", "n": "bigint", "several": "bigint",
+                              "carry": _dtype(placed_bounds, "carry")}
+            finer = _cogroup(placed, placed_bounds, partial(cells.finer_bins, coarse, coarse * _FINER), columns)
+            unit = coarse * _FINER
+            bounds = cut(_median_bounds(_next_bins(finer), unit))
+        bounds = in_cells(bounds.drop("n_wanted"))
         columns = keys | {"value": "double", "n": "bigint", "carry": _dtype(bounds, "carry")}
-        stats = _exact_spread(
-            _cogroup(placed, bounds, lambda t: cells.wanted_values(settings, t), columns), settings)
+        stats = _exact_spread(_cogroup(placed, bounds, partial(cells.wanted_values, unit), columns), unit, settings)
     stats = stats.withColumn("threshold", F.col("max_in_group") - F.col("delta"))
     bounds = in_cells(stats.select("target_id", "group", F.struct(
         "n_pool", "max_in_group", "delta", "threshold").alias("carry")))

@@ -72,6 +72,7 @@ class RetrievalSettings:
     cell_targets: int = 16_384
     cell_values: int = 33_554_432
     bins_per_unit: int = 2_048
+    value_rows: int = 1_000_000
     broadcast_rows: int = 100_000
     window_rows: int = 1_000_000
 
