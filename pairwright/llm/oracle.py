@@ -1,6 +1,19 @@
 """SQL counterparts of the registered queries of this folder, where SQL can express them."""
 
 ORACLE = {
+    "op8_topk": r"""
+        WITH v AS (
+            SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+            FROM v q JOIN v d ON d.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
     "op9_chat": r"""
         WITH given AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairwright.llm import chat, mixing, secrets, simhash, tokens
+from pairwright.llm import chat, decontaminate, mixing, pages, repeats, secrets, simhash, tokens, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,6 +19,14 @@ def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def q_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(_read(spark, sf_dir, "pages"))
+
+
 def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"), width=4, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -28,6 +36,21 @@ def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def q_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_read(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, toxicity.grades_of(_read(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model)
+
+
+def q_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_read(spark, sf_dir, "embeddings"))
+
+
 #: Fixed value: the conversation that the contract adds.
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
@@ -44,8 +67,13 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": q_mixing,
+    "op2_decontaminate": q_decontaminate,
+    "op3_pages": q_pages,
     "op4_simhash": q_simhash,
     "op5_tokens": q_tokens,
+    "op6_repeats": q_repeats,
+    "op7_toxicity": q_toxicity,
+    "op8_topk": q_topk,
     "op9_chat": q_chat,
     "op10_secrets": q_secrets,
 }
