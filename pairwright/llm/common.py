@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
@@ -91,3 +92,30 @@ def local_path(uri: str) -> str | None:
         rest = uri[5:]
         return "/" + rest.lstrip("/")
     return uri if os.path.isabs(uri) else None
+
+
+def rows_where(docs: DataFrame, text: str, masks: Callable[[Iterable[pa.Array]], Iterator[pa.Array]]) -> DataFrame:
+    """The rows of `docs` whose text passes, all columns as they are, without a shuffle. `masks` gets batches of texts."""
+    place = docs.columns.index(text)
+    names = docs.columns
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def texts() -> Iterator[pa.Array]:
+            for batch in pieces(batches, 512):
+                held.append(batch)
+                yield batch.column(place)
+
+        for mask in masks(texts()):
+            kept = held.pop(0).filter(mask)
+            yield pa.RecordBatch.from_arrays(kept.columns, names=names)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A hash of each 64-bit number."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))

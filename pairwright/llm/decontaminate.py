@@ -8,18 +8,17 @@ are aligned to the item (Smith-Waterman over words), which finds edited and para
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from pairwright.llm.common import pieces, plain
+from pairwright.llm.common import pieces, plain, rows_where
 
 #: Words in a seed; neighbours of which the rarest is taken; n-grams of the items that one pass over the texts looks for.
 WIDTH, NEIGHBOURS, BLOCK_GRAMS = 3, 4, 200_000
@@ -64,23 +63,20 @@ class Items:
         return made
 
 
-def align(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(best local score, place of its last word) of an item against each row of `windows` (-1: no word of the item)."""
+def align(item: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """The best local score of an item against each row of `windows` (-1: no word of the item)."""
     rows, width = windows.shape
     above = np.zeros((rows, width + 1), np.int32)
-    best, where = np.zeros(rows, np.int32), np.zeros(rows, np.int64)
+    best = np.zeros(rows, np.int32)
     slope = -GAP * np.arange(width + 1, dtype=np.int32)
     for word in item:
         now = np.zeros_like(above)
         now[:, 1:] = np.maximum(above[:, :-1] + np.where(windows == word, MATCH, MISMATCH), above[:, 1:] + GAP)
         np.maximum(now, 0, out=now)
         now = np.maximum.accumulate(now + slope, axis=1) - slope
-        at = now.argmax(axis=1)
-        top = now[np.arange(rows), at]
-        where = np.where(top > best, at - 1, where)
-        best = np.maximum(best, top)
+        np.maximum(best, now.max(axis=1), out=best)
         above = now
-    return best, where
+    return best
 
 
 def _counter(held):
@@ -110,47 +106,63 @@ def _windows(text: str, hits: list[int], reach: int) -> Iterator[tuple[int, int]
             start = last = at
 
 
-def _finder(held, threshold: float, least: int):
-    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: Items = held.value
-        automaton = block.automaton()
-        codes = {k: {w: c for c, w in enumerate(dict.fromkeys(block.words[k]))} for k in block.words}
-        coded = {k: np.array([codes[k][w] for w in block.words[k]], np.int32) for k in block.words}
-        reach = {k: 60 + int(1.5 * sum(len(w) + 1 for w in words)) for k, words in block.words.items()}
-        for batch in pieces(batches, 256):
-            jobs: dict[int, list[tuple[int, int, list[str]]]] = defaultdict(list)
-            for row, text in enumerate(map(normal, batch.column(1).to_pylist())):
-                hits: dict[int, list[int]] = defaultdict(list)
-                for end, (_, items) in automaton.iter(text):
-                    for k in items:
-                        hits[k].append(end)
-                for k, at in hits.items():
-                    for low, high in _windows(text, at, reach[k]):
-                        jobs[k].append((row, low, text[low:high].split()))
-            best: dict[tuple[int, int], tuple[int, int]] = {}
-            for k, todo in jobs.items():
-                todo.sort(key=lambda j: len(j[2]))
-                code = codes[k]
-                while todo:
-                    n = max(1, bisect_right(range(1, len(todo) + 1), _CELLS, key=lambda m: m * len(todo[m - 1][2])))
-                    part, todo = todo[:n], todo[n:]
-                    table = np.full((n, max(1, len(part[-1][2]))), -1, np.int32)
-                    for r, (_, _, words) in enumerate(part):
-                        table[r, :len(words)] = [code.get(w, -1) for w in words]
-                    scores, ends = align(coded[k], table)
-                    for (row, low, _), score, end in zip(part, scores.tolist(), ends.tolist(), strict=True):
-                        if score >= threshold * len(coded[k]) and score >= min(least, len(coded[k])):
-                            got = best.get((row, k), (0, 0))
-                            best[row, k] = max(got, (score, -low * (1 << 32) - end))
-            found = [(row, k, score) for (row, k), (score, _) in sorted(best.items())]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array([f[0] for f in found], pa.int64())),
-                pa.array([block.ids[f[1]] for f in found], pa.int64()),
-                pa.array([f[2] for f in found], pa.int64()),
-                pa.array([f[2] / (MATCH * len(coded[f[1]])) for f in found], pa.float64()),
-            ], names=["doc_id", "item_id", "words", "score"])
-
-    return find
+class Finder:
+    """Looks for the items of a block in batches of texts."""
+
+    def __init__(self, block: Items, threshold: float, least: int):
+        self.block, self.threshold, self.least = block, threshold, least
+        self.automaton = block.automaton()
+        self.codes = {k: {w: c for c, w in enumerate(dict.fromkeys(own))} for k, own in block.words.items()}
+        self.coded = {k: np.array([self.codes[k][w] for w in own], np.int32) for k, own in block.words.items()}
+        self.reach = {k: 60 + int(1.5 * sum(len(w) + 1 for w in own)) for k, own in block.words.items()}
+
+    def __call__(self, texts: pa.Array) -> list[tuple[int, int, int]]:
+        """(row, place of the item, best score) of what reaches the threshold, in order."""
+        jobs: dict[int, list[tuple[int, list[str]]]] = defaultdict(list)
+        for row, text in enumerate(map(normal, texts.to_pylist())):
+            hits: dict[int, list[int]] = defaultdict(list)
+            for end, (_, items) in self.automaton.iter(text):
+                for k in items:
+                    hits[k].append(end)
+            for k, at in hits.items():
+                jobs[k].extend((row, text[low:high].split()) for low, high in _windows(text, at, self.reach[k]))
+        best: dict[tuple[int, int], int] = {}
+        for k, todo in jobs.items():
+            todo.sort(key=lambda j: len(j[1]))
+            code, size = self.codes[k], len(self.coded[k])
+            while todo:
+                n = max(1, sum(1 for m, j in enumerate(todo, 1) if m * len(j[1]) <= _CELLS))
+                part, todo = todo[:n], todo[n:]
+                table = np.full((n, max(1, len(part[-1][1]))), -1, np.int32)
+                for r, (_, words) in enumerate(part):
+                    table[r, :len(words)] = [code.get(w, -1) for w in words]
+                for (row, _), score in zip(part, align(self.coded[k], table).tolist(), strict=True):
+                    if score >= self.threshold * size and score >= min(self.least, size):
+                        best[row, k] = max(score, best.get((row, k), 0))
+        return [(row, k, score) for (row, k), score in sorted(best.items())]
+
+
+def _blocks(docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, block_grams: int) -> Iterator[Items]:
+    """The items in blocks of bounded size, with the seeds of each. The texts are read once for each, to count n-grams."""
+    context = docs.sparkSession.sparkContext
+    given = items.where(plain(item_id).isNotNull()).select(plain(item_id).cast("long").alias("item_id"), plain(item_text).alias("text"))
+    size = given.select(F.coalesce(F.sum(F.greatest(F.lit(1), F.size(F.split("text", " ")))), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // block_grams))
+    for b in range(blocks if size else 0):
+        rows = given.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).distinct().collect()
+        rows = sorted((r for r in rows if normal(r["text"]).split()), key=lambda r: (r["item_id"], r["text"]))
+        if not rows:
+            continue
+        words = {k: normal(r["text"]).split() for k, r in enumerate(rows)}
+        of = {k: grams(w) for k, w in words.items()}
+        held = context.broadcast(Items({}, {g: [] for k in of for g in of[k]}, []))
+        counted = docs.select(plain(text).alias("text")).mapInArrow(_counter(held), "gram string, n bigint")
+        frequency = Counter({r["gram"]: r["n"] for r in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect()})  # n-grams of this block
+        patterns: dict[str, list[int]] = defaultdict(list)
+        for k, own in of.items():
+            for g in seeds(own, frequency):
+                patterns[g].append(k)
+        yield Items(words, dict(patterns), [r["item_id"] for r in rows])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, least: int = 6, id: str = "doc_id", text: str = "text",
@@ -162,41 +174,47 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, leas
     of texts. Null and empty texts and items match nothing; an item of fewer than WIDTH words matches as a whole; very
     long texts are read whole; repeated rows of documents each give rows, repeated items give one; an item that a third
     of all texts hold costs one alignment in each. A null id of a document stays null; items with a null id are left out.
+    Empty tables give an empty table; further columns are ignored.
     """
     context = docs.sparkSession.sparkContext
     read = docs.select(plain(id).alias("doc_id"), plain(text).alias("text"))
-    given = items.where(plain(item_id).isNotNull()).select(plain(item_id).cast("long").alias("item_id"), plain(item_text).alias("text"))
-    size = given.select(F.coalesce(F.sum(F.greatest(F.lit(1), F.size(F.split("text", " ")))), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // block_grams))
-    out = None
-    for b in range(blocks):
-        rows = given.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).distinct().collect() if size else []
-        rows = sorted((r for r in rows if normal(r["text"]).split()), key=lambda r: (r["item_id"], r["text"]))
-        words = {k: normal(r["text"]).split() for k, r in enumerate(rows)}
-        of = {k: grams(w) for k, w in words.items()}
-        ids = [r["item_id"] for r in rows]
-        every = Items({}, {g: [] for k in of for g in of[k]}, [])
-        frequency: Counter = Counter()
-        if every.patterns:
-            held = context.broadcast(every)
-            counted = read.select("text").mapInArrow(_counter(held), "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-            frequency.update({r["gram"]: r["n"] for r in counted.collect()})  # at most the n-grams of this block
-        patterns: dict[str, list[int]] = defaultdict(list)
-        for k, own in of.items():
-            for g in seeds(own, frequency):
-                patterns[g].append(k)
-        kind = read.schema["doc_id"].dataType.simpleString()
-        found = read.mapInArrow(_finder(context.broadcast(Items(words, dict(patterns), ids)), threshold, least),
-                                f"doc_id {kind}, item_id bigint, words bigint, score double") if rows else None
-        out = found if out is None else out.union(found) if found is not None else out
-    if out is None:
-        return read.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(None).cast("long").alias("words"),
-                           F.lit(None).cast("double").alias("score")).where("false")
+    kind = read.schema["doc_id"].dataType.simpleString()
+
+    def finder(held):
+        def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            look = Finder(held.value, threshold, least)
+            for batch in pieces(batches, 256):
+                found = look(batch.column(1))
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(pa.array([f[0] for f in found], pa.int64())),
+                    pa.array([look.block.ids[f[1]] for f in found], pa.int64()),
+                    pa.array([f[2] for f in found], pa.int64()),
+                    pa.array([f[2] / (MATCH * len(look.coded[f[1]])) for f in found], pa.float64()),
+                ], names=["doc_id", "item_id", "words", "score"])
+
+        return find
+
+    parts = [
+        read.mapInArrow(finder(context.broadcast(block)), f"doc_id {kind}, item_id bigint, words bigint, score double")
+        for block in _blocks(docs, items, text, item_id, item_text, block_grams)
+    ]
+    none = read.where("false").select("doc_id", *[F.lit(None).cast(t).alias(c) for c, t in (("item_id", "long"), ("words", "long"), ("score", "double"))])
+    return reduce(DataFrame.union, parts) if parts else none
+
+
+def clean(docs: DataFrame, items: DataFrame, threshold: float = 0.5, least: int = 6, text: str = "text", item_id: str = "item_id",
+          item_text: str = "text", block_grams: int = BLOCK_GRAMS) -> DataFrame:
+    """The rows of `docs` that hold no item, all columns as they are. No shuffle."""
+    out = docs
+    for block in _blocks(docs, items, text, item_id, item_text, block_grams):
+        held = docs.sparkSession.sparkContext.broadcast(block)
+
+        def masks(texts: Iterable[pa.Array], held=held) -> Iterator[pa.Array]:
+            look = Finder(held.value, threshold, least)
+            for part in texts:
+                mask = np.ones(len(part), bool)
+                mask[[f[0] for f in look(part)]] = False
+                yield pa.array(mask)
+
+        out = rows_where(out, text, masks)
     return out
-
-
-def without_contaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """The rows of `docs` whose id has no contaminated text. A row with a null id stays."""
-    id = how.get("id", "doc_id")
-    bad = contaminated(docs, items, **how).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs[f"`{id}`"] == bad["_bad"], "left_anti")

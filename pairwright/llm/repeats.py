@@ -21,11 +21,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from pairwright.llm.common import cut, pieces, plain
+from pairwright.llm.common import cut, mixed, pieces, plain
 
 #: Runs of one bucket that are compared at once; a bucket with more is split by the identifiers of its strings.
 BUCKET = 1024
@@ -52,12 +51,6 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0]
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
-
-
 def gram_ids(data: np.ndarray, gram: int) -> np.ndarray:
     """The identifier of the q-gram at each place."""
     up, down = powers(len(data) + 1)
@@ -111,7 +104,7 @@ def runs(ids: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
 _RUNS = "doc_id {0}, body bigint, first bigint, last bigint, bucket bigint, kind bigint"
 
 
-def _find_runs(length: int, gram: int, doc_kind: pa.DataType):
+def _find_runs(length: int, gram: int):
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 256):
             rows, made = [], []
@@ -271,9 +264,8 @@ def repeated_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
     each kind on one side, which may be split; texts are shuffled for the documents' own rows only, compressed.
     """
     kind_of = docs.schema["doc_id"].dataType.simpleString()
-    all_runs = cut(docs.mapInArrow(_find_runs(length, gram, None), _RUNS.format(kind_of)))
-    kinds = all_runs.groupBy("bucket", "kind").agg(F.count(F.lit(1)).alias("n"), F.min("body").alias("chosen"))
-    kinds = cut(kinds)
+    all_runs = cut(docs.mapInArrow(_find_runs(length, gram), _RUNS.format(kind_of)))
+    kinds = cut(all_runs.groupBy("bucket", "kind").agg(F.count(F.lit(1)).alias("n"), F.min("body").alias("chosen")))
     buckets = kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_kinds")).where("n_kinds > 1")
     told = kinds.join(buckets, "bucket", "left").where("n > 1 or n_kinds > 1")
     alive = cut(all_runs.join(told, ["bucket", "kind"]).select(

@@ -2,12 +2,14 @@
 
 Fingerprints are split into blocks. Two that differ in at most `distance` bits agree in all but `distance` blocks, so
 they agree in at least one choice of `blocks - distance` blocks; each choice is a key. The fingerprints of one key are
-compared within a task, and only a spanning forest of the links leaves it.
+compared within a task, and only a spanning forest of the links leaves it. `near_fingerprints` does this for 64 bits and a
+few differing ones, without missing a link; `near_duplicates` for a share of common shingles, on longer fingerprints.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -15,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pairwright.llm.common import cut, pieces, plain, words_of
+from pairwright.llm.common import cut, mixed, pieces, plain, words_of
 from pairwright.llm.components import components
 
 #: The hash and its seed are those of the query contract.
@@ -149,14 +151,15 @@ def near_links(distinct: DataFrame, distance: int, blocks: int) -> DataFrame:
     return dealt.select("fp", "choice", "part").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, distance: int = 4, id: str = "doc_id", text: str = "text",
-                    blocks: int | None = None) -> DataFrame:
+def near_fingerprints(docs: DataFrame, width: int = 4, distance: int = 4, id: str = "doc_id", text: str = "text",
+                      blocks: int | None = None) -> DataFrame:
     """doc_id, fp, component_id: the smallest id reachable over links of at most `distance` bits, itself included.
 
-    Null and empty texts have fingerprint 0 and link like any other; a very long text is read whole; ties and repeated
-    rows share a fingerprint and a component; a null id counts only where a component has no other. An empty table gives
-    an empty table, and further columns are ignored. Documents are grouped by fingerprint before anything is compared,
-    so copies cost one fingerprint; only fingerprints, links and roots are shuffled, never texts.
+    Every such link counts: blocks are chosen so that no pair can be missed. Null and empty texts have fingerprint 0 and
+    link like any other; a very long text is read whole; ties and repeated rows share a fingerprint and a component; a
+    null id counts only where a component has no other. An empty table gives an empty table, and further columns are
+    ignored. Documents are grouped by fingerprint before anything is compared, so copies cost one fingerprint; only
+    fingerprints, links and roots are shuffled, never texts.
     """
     marked = cut(fingerprints(docs.select(plain(id).alias("doc_id"), plain(text).alias("text")), width))
     distinct = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
@@ -168,13 +171,138 @@ def near_duplicates(docs: DataFrame, width: int = 5, distance: int = 4, id: str
     return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 5, distance: int = 4, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose id is the smallest of their component, once each.
+def bit_share(similarity: float) -> float:
+    """The share of bits in which two texts differ that have this share of their shingles in common (Jaccard)."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
-    Of rows with that id in one component (repeated rows), the one with the smallest text stays; rows with a null id
-    stay where their component has no other id.
+
+@dataclass(frozen=True)
+class Plan:
+    """A fingerprint of `count` blocks of `bits` bits, padded to whole words; links have at most `distance` bits."""
+
+    bits: int
+    count: int
+    distance: int
+
+    @property
+    def words(self) -> int:
+        return -(-self.bits * self.count // 64)
+
+
+def plan(rows: int, similarity: float, slack: float = 0.05, missed: float = 0.01) -> Plan:
+    """Blocks so wide that few unlike texts share one, and so many that a pair at `similarity` shares none with
+    probability `missed`. Links reach to the bits expected at `similarity - slack`, since the bits of a pair scatter."""
+    bits = int(min(32, max(12, np.ceil(np.log2(max(rows, 2))) - 5)))
+    count = int(np.ceil(np.log(missed) / np.log(1 - (1 - bit_share(similarity)) ** bits)))
+    return Plan(bits, count, int(64 * -(-bits * count // 64) * bit_share(similarity - slack)))
+
+
+def wide_fingerprint(hashes: np.ndarray, words: int) -> np.ndarray:
+    """Bits of as many words, each word from another hash of the shingles; zeros without shingles."""
+    counts = np.zeros(64 * words, np.int64)
+    salts = np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for start in range(0, len(hashes), 4096):
+        part = mixed(hashes[start:start + 4096, None] + salts[None, :])
+        counts += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
+    return np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")
+
+
+def _wide_groups(shape: Plan):
+    def linked(nodes: np.ndarray, values: np.ndarray) -> pa.RecordBatch | None:
+        left, right = wide_forest(values, shape.distance)
+        return pa.RecordBatch.from_arrays([pa.array(nodes[left]), pa.array(nodes[right])], names=["a", "b"]) if len(left) else None
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted by block: fingerprints that agree in it are compared."""
+        last, nodes, values = None, [], []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            choice, part, node = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            fp = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u8").reshape(-1, shape.words)
+            edges = [0, *(np.flatnonzero((np.diff(choice) != 0) | (np.diff(part) != 0)) + 1).tolist(), batch.num_rows]
+            for s, e in zip(edges, edges[1:], strict=False):
+                key = (int(choice[s]), int(part[s]))
+                if key != last:
+                    if sum(map(len, nodes)) > 1 and (m := linked(np.concatenate(nodes), np.concatenate(values))) is not None:
+                        yield m
+                    last, nodes, values = key, [], []
+                nodes.append(node[s:e].copy())
+                values.append(fp[s:e].copy())
+        if sum(map(len, nodes)) > 1 and (m := linked(np.concatenate(nodes), np.concatenate(values))) is not None:
+            yield m
+
+    return run
+
+
+def _apart(values: np.ndarray, value: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(values ^ value).sum(axis=-1, dtype=np.int32)
+
+
+def wide_forest(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """As `forest`, for fingerprints of several words: small groups are compared at once, most of which have no link."""
+    n = len(values)
+    none = np.empty(0, np.int64)
+    if n <= 256:
+        near = _apart(values[:, None, :], values[None, :, :]) <= distance
+        if near.sum() == n:
+            return none, none
+    left, right, rest = [], [], np.arange(n)
+    while len(rest) > 1:
+        queue, rest = [int(rest[0])], rest[1:]
+        while queue and len(rest):
+            at = queue.pop()
+            close = near[at, rest] if n <= 256 else _apart(values[rest], values[at]) <= distance
+            if close.any():
+                found = rest[close]
+                rest = rest[~close]
+                left.append(np.full(len(found), at))
+                right.append(found)
+                queue.extend(found.tolist())
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, component_id: documents linked by fingerprints as near as those of texts with `similarity` of their shingles.
+
+    The fingerprint is long enough for the bits of a pair to tell its similarity, and is cut into the blocks of `plan`;
+    pairs that share a block are compared in all bits. A pair at `similarity` shares no block once in a hundred times, a
+    nearer one more rarely. Rows, nulls and skew are treated as by `near_fingerprints`.
     """
-    groups = near_duplicates(docs, width, distance, id, text)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(stay, docs[f"`{id}`"].eqNullSafe(stay.doc_id), "left_semi")
-    return kept.dropDuplicates([id])
+    shape = plan(docs.count(), similarity)
+    words = shape.words
+
+    def marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 256):
+            made = [wide_fingerprint(shingle_hashes(words_of(t.as_py()), width), words).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["doc_id", "fp"])
+
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = np.int64(1) << np.arange(shape.bits, dtype=np.int64)
+        for batch in pieces(batches, 1024):
+            raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            bits = np.unpackbits(raw, axis=1, bitorder="little")[:, :shape.bits * shape.count]
+            part = bits.reshape(batch.num_rows, shape.count, shape.bits).astype(np.int64) @ powers
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), shape.count))
+            choice = np.tile(np.arange(shape.count, dtype=np.int32), batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(choice), pa.array(part.ravel()), batch.column(0).take(rows), batch.column(1).take(rows)],
+                                             names=["choice", "part", "node", "fp"])
+
+    read = docs.select(plain(id).cast("long").alias("doc_id"), plain(text).alias("text"))
+    marked = cut(read.mapInArrow(marks, "doc_id bigint, fp binary").withColumn("node", F.xxhash64("fp")))
+    distinct = cut(marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("fp").alias("fp")))
+    dealt = distinct.select("node", "fp").mapInArrow(keyed, "choice int, part bigint, node bigint, fp binary")
+    links = dealt.repartition("choice", "part").sortWithinPartitions("choice", "part").mapInArrow(_wide_groups(shape), "a bigint, b bigint")
+    roots = components(links.distinct())
+    classes = distinct.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
+    least = classes.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return marked.join(cut(classes.join(least, "root").select("node", "component_id")), "node").select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of each component the row with its smallest id, all columns as they are. Of repeated rows one stays; a row with a
+    null id stays. Texts pass one shuffle, by id."""
+    groups = near_duplicates(docs, width, similarity, id, text)
+    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
+    kept = docs.join(stay, docs[f"`{id}`"] == stay["_id"], "left_semi").dropDuplicates([id])
+    return kept.union(docs.where(plain(id).isNull()))

@@ -28,7 +28,7 @@ def q_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(_read(spark, sf_dir, "documents"), width=4, distance=4)
+    found = simhash.near_fingerprints(_read(spark, sf_dir, "documents"), width=4, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

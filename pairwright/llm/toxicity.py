@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from pairwright.llm.common import pieces, plain
+from pairwright.llm.common import pieces, plain, rows_where
 
 #: Documents that the fit reads at most: the labelled ones with the smallest hash of their id.
 SAMPLE = 6_000
@@ -167,46 +167,64 @@ def train(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id: str = "d
     return model
 
 
+class Scorer:
+    """Severities of batches of texts by one model; weights of words that were met are kept, up to a bound."""
+
+    def __init__(self, model: Ordinal):
+        self.model = model
+        self.known: dict[str, float] = {}
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(severity, whether the text is rejected)."""
+        words, offsets = split_words(texts)
+        coded = words.dictionary_encode()
+        entries = coded.dictionary.to_pylist()
+        if len(self.known) > CACHED:
+            self.known.clear()
+        known, weights = self.known, self.model.weights
+        of, real = np.zeros(len(entries)), np.ones(len(entries), bool)
+        for k, word in enumerate(entries):
+            if word:
+                got = known.get(word)
+                if got is None:
+                    got = known[word] = float(weights[features_of(word)].sum())
+                of[k] = got
+            else:
+                real[k] = False
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        total, count = (np.concatenate([[0.0], np.cumsum(x[codes])]) for x in (of, real))
+        n = count[offsets[1:]] - count[offsets[:-1]]
+        raw = (total[offsets[1:]] - total[offsets[:-1]]) / (n + PADDING)
+        severity = np.where(n > 0, self.model.severity(raw), 0.0)
+        return severity, (severity >= self.model.reject) & (n > 0)
+
+
 def score(docs: DataFrame, model: Ordinal, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, severity (expected grade), toxic (whether it is rejected), for every row. No shuffle.
 
     Null and empty texts have severity zero and are never rejected; very long texts are read whole; repeated rows each
-    get a row; further columns are ignored. The model has a fixed size, whatever it was fitted on.
+    get a row; an empty table gives an empty table; further columns are ignored. The model has a fixed size, whatever it
+    was fitted on.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
-        known: dict[str, float] = {"": 0.0}
-        weights = model.weights
+        scorer = Scorer(held.value)
         for batch in pieces(batches, 1024):
-            words, offsets = split_words(batch.column(1))
-            coded = words.dictionary_encode()
-            entries = coded.dictionary.to_pylist()
-            if len(known) > CACHED:
-                known = {"": 0.0}
-            of = np.empty(len(entries))
-            for k, word in enumerate(entries):
-                got = known.get(word)
-                if got is None:
-                    got = known[word] = float(weights[features_of(word)].sum())
-                of[k] = got
-            codes = coded.indices.to_numpy(zero_copy_only=False)
-            real = np.array([w != "" for w in entries], bool)[codes]
-            bounds = lambda x: np.concatenate([[0.0], np.cumsum(x)])
-            total, count = bounds(of[codes]), bounds(real)
-            n = count[offsets[1:]] - count[offsets[:-1]]
-            raw = (total[offsets[1:]] - total[offsets[:-1]]) / (n + PADDING)
-            severity = np.where(n > 0, model.severity(raw), 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(severity), pa.array((severity >= model.reject) & (n > 0))],
-                                             names=["doc_id", "severity", "toxic"])
+            severity, toxic = scorer(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(severity), pa.array(toxic)], names=["doc_id", "severity", "toxic"])
 
     read = docs.select(plain(id).alias("doc_id"), plain(text).alias("text"))
     kind = read.schema["doc_id"].dataType.simpleString()
     return read.mapInArrow(run, f"doc_id {kind}, severity double, toxic boolean")
 
 
-def clean(docs: DataFrame, model: Ordinal, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` whose id has no rejected text. A row with a null id stays."""
-    bad = score(docs, model, id, text).where("toxic").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs[f"`{id}`"] == bad["_bad"], "left_anti")
+def clean(docs: DataFrame, model: Ordinal, text: str = "text") -> DataFrame:
+    """The rows of `docs` whose text is not rejected, all columns as they are. No shuffle."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def masks(texts: Iterable[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(held.value)
+        return (pa.array(~scorer(t)[1]) for t in texts)
+
+    return rows_where(docs, text, masks)
