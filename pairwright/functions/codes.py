@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairwright.functions.text import clean
@@ -26,6 +26,13 @@ def normalize_code(code: Column) -> Column:
     return F.when(text.rlike(_WHOLE), short).when(text.rlike(_DECIMAL), trimmed).otherwise(text)
 
 
+def with_codes(df: DataFrame, column: str, wanted: Iterable[str]) -> DataFrame:
+    """Rows whose code is in a list of any length, both sides in normal form: one semi-join."""
+    table = df.sparkSession.createDataFrame([(str(value),) for value in wanted], "wanted string")
+    table = table.select(normalize_code(F.col("wanted")).alias("_wanted")).distinct()
+    return df.join(table, normalize_code(F.col(column)) == F.col("_wanted"), "left_semi")
+
+
 def in_codes(code: Column, wanted: Iterable[str]) -> Column:
     """Membership in a short list of codes, both sides in normal form."""
     options = [normalize_code(F.lit(str(value))) for value in wanted]

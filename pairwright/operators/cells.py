@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pairwright.settings import RetrievalSettings
 
 _SLAB = 1_048_576  # scores held at once
 _COLUMNS = 1_024
+_SCALE = float(1 << 40)
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
@@ -59,6 +61,30 @@ def _median(values: np.ndarray) -> np.ndarray:
     return upper if values.shape[1] % 2 else (split[:, :half].max(axis=1) + upper) / 2
 
 
+def _sums(scores: np.ndarray) -> tuple[list[int], list[int]]:
+    """Exact sums and sums of squares of each row, of scores rounded to 2^-40. Whole numbers add up to the same in any
+    order and any split, so a group has one deviation however it is placed."""
+    if np.abs(scores).max(initial=0) > 8:
+        raise ValueError("a deviation needs vectors of about unit norm")
+    first, second = [0] * len(scores), [0] * len(scores)
+    for col in range(0, scores.shape[1], 65_536):
+        q = np.rint(scores[:, col:col + 65_536] * _SCALE).astype(np.int64)
+        high, low = q >> 20, q & 0xFFFFF
+        parts = (q.sum(axis=1), (high * high).sum(axis=1), (high * low).sum(axis=1), (low * low).sum(axis=1))
+        for i, (s, hh, hl, ll) in enumerate(zip(*(p.tolist() for p in parts), strict=True)):
+            first[i] += s
+            second[i] += (hh << 40) + (hl << 21) + ll
+    return first, second
+
+
+def _deviation(scores: np.ndarray) -> np.ndarray:
+    """Population standard deviation; the same steps in double as for split groups."""
+    n = scores.shape[1]
+    mean, square = (np.array([float(x) for x in part]) / n for part in _sums(scores))
+    mean, square = mean / _SCALE, square / _SCALE / _SCALE
+    return np.sqrt(np.maximum(square - mean * mean, 0.0))
+
+
 def _count(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys below `size` and how often each occurs."""
     if size > 2 * keys.size:
@@ -113,7 +139,7 @@ def whole_groups(settings: RetrievalSettings, types: dict[str, pa.DataType], pai
                 for row, scores in _scores(vectors, columns):
                     best = scores.max(axis=1)
                     if settings.spread == "sd":
-                        spread = scores.std(axis=1)
+                        spread = _deviation(scores)
                     else:
                         spread = _median(np.abs(scores - _median(scores)[:, None]))
                     delta = settings.scale * spread
@@ -154,9 +180,9 @@ def profile(settings: RetrievalSettings, types: dict[str, pa.DataType]) -> Calla
                     best = scores.max(axis=1)
                     if settings.spread == "sd":
                         rows = np.arange(len(scores))
-                        mean = scores.mean(axis=1)
-                        line = {"n": np.full(len(scores), scores.shape[1]), "mean": mean,
-                                "m2": np.square(scores - mean[:, None]).sum(axis=1)}
+                        first, second = _sums(scores)
+                        line = {"n": np.full(len(scores), scores.shape[1]), "s1": [Decimal(x) for x in first],
+                                "s2": [Decimal(x) for x in second]}
                     else:
                         bins = np.floor(scores * settings.bins_per_unit).astype(np.int64)
                         low = bins.min()

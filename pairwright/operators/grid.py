@@ -1,19 +1,20 @@
 """Where each candidate and each target meet: cells of bounded size.
 
 Every target has to be scored against every candidate, but the pairs are never rows of a table. Candidates are
-placed in cells by their group; a group with more than `cell_rows` candidates is salted over several. Targets are
+placed in numbered cells by their group; a group with more than `cell_rows` candidates is salted over several. Targets are
 copied to the cells they meet, and both sides are hash partitioned by the cell key, so that each Python call sees one
 cell. Only what a cell derives from its scores (selected pairs, counts, bounds) leaves it.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairwright.plans.lineage import cut
 from pairwright.settings import RetrievalSettings
 
 CELL = ("part", "chunk")
@@ -21,7 +22,11 @@ CELL = ("part", "chunk")
 
 @dataclass(frozen=True)
 class Grid:
-    """Sizes the placement needs, from one narrow count of each side."""
+    """Sizes the placement needs, from one narrow count of each side, and which cells a group has.
+
+    `places` has (group, n, salts, part): the first cell of a group. Cells are numbered without gaps, split groups and
+    whole ones apart; a split group has `salts` cells of its own, and whole groups share one while their rows fit.
+    """
 
     n_targets: int
     n_candidates: int
@@ -31,7 +36,9 @@ class Grid:
     parts: int
     hot_parts: int
     chunks: int
+    hot_chunks: int
     width: int
+    places: DataFrame = field(compare=False, repr=False)
 
     @property
     def has_small(self) -> bool:
@@ -43,7 +50,7 @@ class Grid:
 
     def partitions(self, hot: bool) -> int:
         """Enough for the cells to spread, and no more than the session's shuffle width."""
-        cells = (self.hot_parts if hot else self.parts) * self.chunks
+        cells = self.hot_parts * self.hot_chunks if hot else self.parts * self.chunks
         return min(self.width, 4 * cells)
 
 
@@ -54,12 +61,17 @@ def group_sizes(candidates: DataFrame, cell_rows: int) -> DataFrame:
 
 
 def plan_grid(targets: DataFrame, candidates: DataFrame, settings: RetrievalSettings) -> Grid:
-    """Count both sides (one column each) and size the grid from the counts."""
+    """Count both sides (one column each), once, and size and number the cells from the counts.
+
+    Cells are as many as three for each partition of the session, as far as there are groups, and their targets so few
+    that one call returns about `cell_output` pairs at most.
+    """
     sample = candidates.select(F.size("embedding").alias("width")).first()
     widest = settings.cell_values // max(sample.width if sample else 1, 1)
     cell_rows, cell_targets = min(settings.cell_rows, widest), min(settings.cell_targets, widest)
+    sizes = cut(group_sizes(candidates, cell_rows))
     hot = F.col("salts") > 1
-    row = group_sizes(candidates, cell_rows).agg(
+    row = sizes.agg(
         F.count(F.lit(1)).alias("groups"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count_if(hot).alias("hot_groups"),
@@ -68,65 +80,66 @@ def plan_grid(targets: DataFrame, candidates: DataFrame, settings: RetrievalSett
     ).first()
     n_targets = targets.count()
     width = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    small_groups = row.groups - row.hot_groups
+    share = max(1, min(cell_rows, ceil(row.small_rows / (3 * width))))
+    before = Window.partitionBy(hot).orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    rows_before = F.coalesce(F.sum("n").over(before), F.lit(0))
+    cells_before = F.coalesce(F.sum("salts").over(before), F.lit(0))
+    part = F.when(hot, cells_before).otherwise(F.floor(rows_before / share)).cast("int")
+    places = cut(sizes.withColumn("part", part))
+    kept = F.sum(F.least("n", F.lit(settings.max_candidates)))
+    most = places.where("salts = 1").groupBy("part").agg(kept.alias("kept")).agg(F.max("kept"), F.max("part")).first()
+    chunks = lambda out: max(ceil(n_targets / cell_targets), ceil(n_targets * out / settings.cell_output), 1)
     return Grid(
         n_targets=n_targets,
         n_candidates=row.rows,
         n_groups=row.groups,
         n_hot_groups=row.hot_groups,
         cell_rows=cell_rows,
-        parts=max(ceil(row.small_rows / cell_rows), min(small_groups, 4 * width), 1),
+        parts=(most[1] or 0) + 1,
         hot_parts=max(int(row.hot_cells), 1),
-        chunks=max(ceil(n_targets / cell_targets), 1),
+        chunks=chunks(most[0] or 0),
+        hot_chunks=chunks(max(settings.max_candidates, 2 * settings.bins_per_unit)),
         width=width,
+        places=places,
     )
 
 
-def hot_groups(candidates: DataFrame, grid: Grid, settings: RetrievalSettings) -> DataFrame:
-    """(group, salts) of the groups that span several cells; broadcast only while there are few of them."""
-    found = group_sizes(candidates, grid.cell_rows).where("salts > 1").select("group", "salts")
-    return F.broadcast(found) if grid.n_hot_groups <= settings.broadcast_rows else found
+def _places(grid: Grid, settings: RetrievalSettings, hot: bool) -> DataFrame:
+    """(group, salts, part) of the split groups or of the others; broadcast only while there are few of them."""
+    found = grid.places.where("salts > 1" if hot else "salts = 1").select("group", "salts", F.col("part").alias("first"))
+    few = (grid.n_hot_groups if hot else grid.n_groups - grid.n_hot_groups) <= settings.broadcast_rows
+    return F.broadcast(found) if few else found
 
 
 def _by_cell(df: DataFrame, grid: Grid, hot: bool) -> DataFrame:
     return df.repartition(grid.partitions(hot), *CELL)
 
 
-def _part(parts: int, *keys) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias("part")
-
-
 def place_candidates(candidates: DataFrame, grid: Grid, settings: RetrievalSettings, hot: bool) -> DataFrame:
     """One row per candidate and target chunk: cell key, group, id and vector."""
     rows = candidates.select("group", "cand_id", F.col("embedding").cast("array<float>").alias("embedding"))
-    if hot:
-        rows = rows.join(hot_groups(candidates, grid, settings), "group")
-        part = _part(grid.hot_parts, "group", F.pmod(F.xxhash64("cand_id"), F.col("salts")).cast("int"))
-    else:
-        if grid.has_hot:
-            rows = rows.join(hot_groups(candidates, grid, settings).select("group"), "group", "left_anti")
-        part = _part(grid.parts, "group", F.lit(0))
-    chunk = F.explode(F.sequence(F.lit(0), F.lit(grid.chunks - 1))) if grid.chunks > 1 else F.lit(0)
+    rows = rows.join(_places(grid, settings, hot), "group")
+    part = (F.col("first") + F.pmod(F.xxhash64("cand_id"), F.col("salts"))).cast("int").alias("part")
+    chunks = grid.hot_chunks if hot else grid.chunks
+    chunk = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))) if chunks > 1 else F.lit(0)
     return _by_cell(rows.select(part, chunk.alias("chunk"), "group", "cand_id", "embedding"), grid, hot)
 
 
-def _chunked(targets: DataFrame, grid: Grid) -> DataFrame:
-    chunk = F.pmod(F.xxhash64("target_id"), F.lit(grid.chunks)).cast("int").alias("chunk")
+def _chunked(targets: DataFrame, chunks: int) -> DataFrame:
+    chunk = F.pmod(F.xxhash64("target_id"), F.lit(chunks)).cast("int").alias("chunk")
     return targets.select("target_id", chunk, F.col("embedding").cast("array<float>").alias("embedding"))
 
 
 def place_targets(targets: DataFrame, grid: Grid, hot: bool) -> DataFrame:
     """Every target in every part of its chunk."""
-    parts = grid.hot_parts if hot else grid.parts
-    spread = _chunked(targets, grid).repartition(grid.partitions(hot), "target_id")
+    parts, chunks = (grid.hot_parts, grid.hot_chunks) if hot else (grid.parts, grid.chunks)
+    spread = _chunked(targets, chunks).repartition(grid.partitions(hot), "target_id")
     spread = spread.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return _by_cell(spread.select("part", "chunk", "target_id", "embedding"), grid, hot)
 
 
-def place_bounds(targets: DataFrame, bounds: DataFrame, candidates: DataFrame, grid: Grid,
-                 settings: RetrievalSettings) -> DataFrame:
+def place_bounds(targets: DataFrame, bounds: DataFrame, grid: Grid, settings: RetrievalSettings) -> DataFrame:
     """Rows of `bounds` (target_id, group, ...) with the target's vector, in every cell of the group."""
-    rows = bounds.join(hot_groups(candidates, grid, settings), "group").join(_chunked(targets, grid), "target_id")
-    parts = F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda salt: _part(grid.hot_parts, "group", salt))
-    rows = rows.withColumn("part", F.explode(F.array_distinct(parts))).drop("salts")
-    return _by_cell(rows, grid, hot=True)
+    rows = bounds.join(_places(grid, settings, hot=True), "group").join(_chunked(targets, grid.hot_chunks), "target_id")
+    rows = rows.withColumn("part", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("salts") - 1)))
+    return _by_cell(rows.drop("first", "salts"), grid, hot=True)

@@ -2,31 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _COPIES_PER_PILE = 100_000
 
 
-def with_content_key(df: DataFrame, identity: Sequence[str], name: str, order: Sequence = ()) -> DataFrame:
+def with_content_key(df: DataFrame, identity: Sequence[str], name: str, variant: Sequence[Column] | None = None) -> DataFrame:
     """Adds a key: SHA-2 over the identity columns, the variant and the copy number.
 
-    Rows that agree in every column are interchangeable copies: they are counted (combined before the shuffle) and
-    written out again with copy numbers, large numbers of them in piles spread over the tasks. Rows that agree in the identity
-    only are variants, numbered in `order`; where no `order` is given, by their remaining columns.
+    Rows that agree in every column are interchangeable copies: they are counted (combined before the one wide shuffle)
+    and written out again with copy numbers, large numbers of them in piles spread over the tasks. Rows that agree in the
+    identity only are variants, told apart by the texts in `variant` (all other columns if none are given), so the key
+    of a row does not depend on which other rows there are.
     """
     columns = df.columns
-    rest = list(order) or [F.col(c) for c in columns if c not in identity]
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity]
-    text = F.concat(*[F.concat(F.length(p), F.lit(":"), p) for p in parts])
-    rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_identity", F.sha2(text, 256))
-    if rest:
-        variant = F.row_number().over(Window.partitionBy("_identity").orderBy(*rest))
-    else:
-        variant = F.lit(1)
-    rows = rows.withColumn("_variant", variant)
+    rest = [F.col(c) for c in columns if c not in identity] if variant is None else list(variant)
+    rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    rows = rows.withColumns({"_identity": F.sha2(_joined(map(F.col, identity)), 256), "_variant": F.sha2(_joined(rest), 256)})
     few, many = F.col("_copies") <= _COPIES_PER_PILE, F.col("_copies") > _COPIES_PER_PILE
     one = rows.where(few).withColumn("_pile", F.lit(0).cast("bigint"))
     piles = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {_COPIES_PER_PILE}"))
@@ -37,3 +32,9 @@ def with_content_key(df: DataFrame, identity: Sequence[str], name: str, order: S
     rows = rows.withColumn("_copy", F.explode(F.sequence(first, last)))
     key = F.sha2(F.concat_ws(":", "_identity", "_variant", "_copy"), 256)
     return rows.select(*columns, key.alias(name))
+
+
+def _joined(columns: Iterable[Column]) -> Column:
+    """The texts with their lengths before them; null as empty."""
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    return F.concat(F.lit(""), *[F.concat(F.length(p), F.lit(":"), p) for p in parts])

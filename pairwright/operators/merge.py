@@ -9,7 +9,7 @@ from pairwright import settings as S
 from pairwright.functions.labels import final_label, is_exact_diagnosis, is_related, lookup
 from pairwright.functions.numbers import to_number
 from pairwright.operators.columns import ensure_columns
-from pairwright.operators.ranking import row_number_within
+from pairwright.operators.ranking import descending_bins, row_number_within
 from pairwright.settings import LabelSettings
 from pairwright.sources.names import LABEL_COLUMNS
 
@@ -58,9 +58,9 @@ def final_rank(merged: DataFrame, settings: LabelSettings) -> DataFrame:
     order = [F.col("label_priority"), F.col("relation_rank"), F.col("category_rank"), score.desc_nulls_last(),
              place.asc_nulls_last(), F.col("row_key")]
     coarse = [F.col("label_priority"), F.col("relation_rank"), F.col("category_rank"),
-              F.coalesce(-F.floor(score * _BINS), F.lit(2**62))]
+              descending_bins(score, _BINS)]
     fine = [F.coalesce(-score, F.lit(float("inf"))),
-            F.coalesce(F.floor(place / 1024), F.lit(2**62)),
+            F.coalesce(F.greatest(F.least(F.floor(place / 1024), F.lit(2**61)), F.lit(-(2**61))), F.lit(2**62)),
             F.when(place.isNull(), F.substring("row_key", 1, 3)).otherwise(F.lit(""))]
     ranked = row_number_within(coded, ["target_code"], [coarse, fine], order, "final_rank", settings.window_rows)
     rest = rows.where(F.col("target_code").isNull()).withColumn("final_rank", F.lit(None).cast("bigint"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairwright.functions.codes import in_codes, normalize_code
+from pairwright.functions.codes import normalize_code, with_codes
 from pairwright.functions.numbers import to_number
 from pairwright.functions.text import base_name, clean, key_form, short_hash
 from pairwright.operators.columns import ensure_columns, require_columns
@@ -22,6 +22,9 @@ IDENTITY = ("target_code", "target_name", "target_category", *CANDIDATE_COLUMNS)
 PASS_TEXTS = ("true", "1", "1.0", "yes")
 MIN_DESCRIPTION = 12
 
+# Numbers that agree to this share of one are one variant of a row.
+_SCALE = 1e9
+
 
 def keep_passed(df: DataFrame, column: str = "passed") -> DataFrame:
     """Rows marked as passed; all rows where none is marked."""
@@ -63,7 +66,7 @@ def load_pairs(df: DataFrame, settings: LabelSettings) -> DataFrame:
     code = normalize_code(F.col("target_code"))
     rows = rows.withColumn("target_code", F.when(code != "", code))
     if settings.target_codes is not None:
-        rows = rows.where(in_codes(F.col("target_code"), settings.target_codes))
+        rows = with_codes(rows, "target_code", settings.target_codes)
     rows = rows.withColumns({
         "score": to_number(F.col("score")),
         "target_rank": to_number(F.col("target_rank")),
@@ -71,9 +74,8 @@ def load_pairs(df: DataFrame, settings: LabelSettings) -> DataFrame:
     })
     if settings.top_n is not None:
         rows = top_per_target(rows, settings.top_n)
-    rows = with_content_key(rows, IDENTITY, "row_key",
-                            [F.col("score").desc_nulls_last(), F.col("target_rank").asc_nulls_last(),
-                             F.col("passed").asc_nulls_last(), F.col("pass_label").asc_nulls_last()])
+    numbers = [F.round(F.col(c) * _SCALE).try_cast("decimal(38,0)") for c in ("score", "target_rank")]
+    rows = with_content_key(rows, IDENTITY, "row_key", [*numbers, F.col("passed"), F.col("pass_label")])
     return with_context_group(rows)
 
 

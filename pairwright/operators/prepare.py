@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairwright.functions.codes import in_codes, keep_code, normalize_code
+from pairwright.functions.codes import keep_code, normalize_code, with_codes
 from pairwright.functions.text import template
 from pairwright.operators.columns import clean_columns, fill_group
 from pairwright.operators.keys import with_content_key
@@ -50,7 +50,7 @@ def prepare_targets(df: DataFrame, settings: RetrievalSettings) -> DataFrame:
     rows = rows.where(keep_code(F.col("target_code")))
     rows = rows.withColumn("target_code", normalize_code(F.col("target_code")))
     if settings.target_codes is not None:
-        rows = rows.where(in_codes(F.col("target_code"), settings.target_codes))
+        rows = with_codes(rows, "target_code", settings.target_codes)
     rows = _with_id(rows, TARGET_COLUMNS, "target_id")
     rows = rows.withColumn("target_text", template(TARGET_TEXT))
     if settings.first_targets is not None:

@@ -45,5 +45,12 @@ def spread_row_number(df: DataFrame, keys: Sequence[str], tiers: Sequence[Sequen
     return out.drop(*coarse, *fine, "_before", "_before_block")
 
 
+def descending_bins(score: Column, bins: int) -> Column:
+    """A coarse tier for `score` descending, nulls last: whole numbers, also for infinite scores, and NaN before all."""
+    edge = F.lit(2**61)
+    bin_ = F.greatest(F.least(F.floor(score * bins), edge), -edge)
+    return F.when(score.isNull(), F.lit(2**62)).when(F.isnan(score), F.lit(-(2**62))).otherwise(-bin_)
+
+
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(right, list(keys))

@@ -85,14 +85,24 @@ def stray_items(requests: DataFrame, parsed: DataFrame) -> DataFrame:
     return rows.where(~F.coalesce(F.array_contains("row_keys", F.col("row_key")), F.lit(False))).drop("row_keys")
 
 
+def best_replies(replies: DataFrame) -> DataFrame:
+    """One parsed reply per batch: a readable one before others, then the smallest by reply and error text."""
+    known = replies.select(*BATCH, "reply", *[c for c in ("error",) if c in replies.columns])
+    parsed = parse_replies(known)
+    order = F.struct(F.col("reply_error").isNotNull(), F.coalesce("reply", F.lit("")), F.coalesce("reply_error", F.lit("")))
+    best = F.min_by(F.struct("items", "reply_error", F.lit(1).alias("reply_no")), order)
+    return parsed.groupBy(*BATCH).agg(best.alias("best")).select(*BATCH, "best.*")
+
+
 def classify(requests: DataFrame, replies: DataFrame, settings: LabelSettings) -> DataFrame:
     """One result per requested row: the last matching item, or a fallback with its status.
 
-    `replies` has (target_code, batch_no, reply) and optionally `error`; a batch without a reply has failed.
+    `replies` has (target_code, batch_no, reply) and optionally `error`; a batch without a reply has failed, and of
+    several replies to a batch the best readable one counts.
     """
     asked = requests.select(*BATCH, "row_keys")
-    known = replies.select(*BATCH, "reply", *[c for c in ("error",) if c in replies.columns])
-    parsed = parse_replies(asked.join(known, list(BATCH), "left"))
+    parsed = asked.join(best_replies(replies), list(BATCH), "left")
+    parsed = parsed.withColumn("reply_error", F.when(F.col("reply_no").isNull(), NO_REPLY).otherwise(F.col("reply_error")))
     checked = F.transform("items", _checked)
     rows = parsed.withColumn("items", checked).withColumn("row_key", F.explode("row_keys"))
     mine = F.filter("items", lambda item: item["row_key"] == F.col("row_key"))

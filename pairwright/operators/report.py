@@ -23,11 +23,15 @@ def label_totals(merged: DataFrame) -> DataFrame:
                       F.count_if(F.col("target_code").isNull()).alias("n_without_code"))
 
 
-def failed_targets(merged: DataFrame, n: int = 30) -> DataFrame:
-    """The first n codes and names with failed rows."""
+def failed_targets(merged: DataFrame) -> DataFrame:
+    """All codes and names with failed rows."""
     failed = merged.where(F.col("label_status") == S.FAILED)
-    names = failed.select("target_code", "target_name").dropDuplicates()
-    return names.orderBy("target_code", "target_name").limit(n)
+    return failed.select("target_code", "target_name").dropDuplicates()
+
+
+def failed_preview(merged: DataFrame, n: int = 30) -> DataFrame:
+    """The first n of them, for a look."""
+    return failed_targets(merged).orderBy("target_code", "target_name").limit(n)
 
 
 def target_rollup(merged: DataFrame) -> DataFrame:

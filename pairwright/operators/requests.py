@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairwright.functions.text import clean
-from pairwright.operators.ranking import row_number_within
+from pairwright.operators.ranking import descending_bins, row_number_within
 from pairwright.settings import LabelSettings
 
 BATCH = ("target_code", "batch_no")
@@ -68,7 +68,7 @@ def assign_batches(pending: DataFrame, settings: LabelSettings) -> DataFrame:
     score = F.col("score")
     order = [score.desc_nulls_last(), F.col("row_key")]
     last = F.lit(float("inf"))
-    coarse = [F.coalesce(-F.floor(score * _BINS), F.lit(2**62))]
+    coarse = [descending_bins(score, _BINS)]
     fine = [F.coalesce(-score, last), F.substring("row_key", 1, 3)]
     rows = pending.where(F.col("target_code").isNotNull())
     rows = row_number_within(rows, ["target_code"], [coarse, fine], order, "position", settings.window_rows)

@@ -21,7 +21,7 @@ from pairwright.operators import cells
 from pairwright.operators.grid import (
     CELL, Grid, place_bounds, place_candidates, place_targets, plan_grid,
 )
-from pairwright.operators.ranking import spread_row_number
+from pairwright.operators.ranking import descending_bins, spread_row_number
 from pairwright.plans.lineage import cut
 from pairwright.settings import RetrievalSettings
 
@@ -159,14 +159,13 @@ def _exact_spread(values: DataFrame, unit: int, settings: RetrievalSettings) ->
 
 
 def _merged_moments(moments: DataFrame, settings: RetrievalSettings) -> DataFrame:
-    """Population standard deviation from the moments of the parts."""
-    key = Window.partitionBy("target_id", "group")
-    total = F.sum("n").over(key)
-    rows = moments.withColumn("grand", F.sum(F.col("n") * F.col("mean")).over(key) / total)
-    off = F.col("mean") - F.col("grand")
-    return rows.groupBy("target_id", "group").agg(
-        F.sum("n").alias("n_pool"), F.max("top").alias("max_in_group"),
-        (F.sqrt(F.sum(F.col("m2") + F.col("n") * off * off) / F.sum("n")) * settings.scale).alias("delta"))
+    """Population standard deviation from the exact sums of the parts."""
+    n, scale = F.sum("n"), F.lit(float(1 << 40))
+    mean = F.sum("s1").cast("double") / n / scale
+    square = F.sum("s2").cast("double") / n / scale / scale
+    spread = F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))
+    return moments.groupBy("target_id", "group").agg(
+        n.alias("n_pool"), F.max("top").alias("max_in_group"), (spread * settings.scale).alias("delta"))
 
 
 def _split_groups(targets: DataFrame, candidates: DataFrame, settings: RetrievalSettings, grid: Grid,
@@ -177,10 +176,10 @@ def _split_groups(targets: DataFrame, candidates: DataFrame, settings: Retrieval
     everywhere = place_targets(targets, grid, hot=True)
 
     def in_cells(bounds: DataFrame) -> DataFrame:
-        return place_bounds(targets, bounds, candidates, grid, settings)
+        return place_bounds(targets, bounds, grid, settings)
 
     if settings.spread == "sd":
-        columns = keys | {"n": "bigint", "top": "double", "mean": "double", "m2": "double"}
+        columns = keys | {"n": "bigint", "top": "double", "s1": "decimal(38,0)", "s2": "decimal(38,0)"}
         stats = _merged_moments(
             _cogroup(placed, everywhere, lambda t: cells.profile(settings, t), columns), settings)
     else:
@@ -208,13 +207,14 @@ def _split_groups(targets: DataFrame, candidates: DataFrame, settings: Retrieval
         return found.groupBy("target_id", "group").agg(
             F.sum("above").alias("n_above"), F.first("carry", ignorenulls=True).alias("carry")
         ).select("target_id", "group", "n_above", "carry.*")
-    key = Window.partitionBy("target_id", "group")
-    return found.select(
-        "target_id", "group", "cand_id", "score",
-        F.sum("above").over(key).alias("n_above"),
-        F.first("carry", ignorenulls=True).over(key).alias("carry"),
-        F.row_number().over(key.orderBy(F.desc("score"), "cand_id")).cast("bigint").alias("rank_in_group"),
-    ).select("*", "carry.*").where(F.col("rank_in_group") <= selected_count(settings))
+    found = cut(found)
+    counts = found.groupBy("target_id", "group").agg(
+        F.sum("above").alias("n_above"), F.first("carry", ignorenulls=True).alias("carry"))
+    key = Window.partitionBy("target_id", "group").orderBy(F.desc("score"), "cand_id")
+    best = found.select("target_id", "group", "cand_id", "score", F.row_number().over(key).alias("rank_in_group"))
+    best = best.where(F.col("rank_in_group") <= limit).withColumn("rank_in_group", F.col("rank_in_group").cast("bigint"))
+    return best.join(counts, ["target_id", "group"]).select("*", "carry.*").where(
+        F.col("rank_in_group") <= selected_count(settings))
 
 
 def selected_count(settings: RetrievalSettings) -> Column:
@@ -280,7 +280,7 @@ def rank_over_groups(selected: DataFrame, settings: RetrievalSettings, n_groups:
             "target_rank": F.row_number().over(key.orderBy(*order)).cast("bigint"),
         })
     best = selected.groupBy("target_id").agg(F.max("max_in_group").alias("max_for_target"))
-    coarse = [-F.floor(F.col("score") * settings.bins_per_unit)]
+    coarse = [descending_bins(F.col("score"), settings.bins_per_unit)]
     fine = [-F.col("score"), F.col("group")]
     ranked = spread_row_number(selected, ["target_id"], [coarse, fine], order, "target_rank")
     return ranked.join(best, "target_id")

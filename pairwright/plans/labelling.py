@@ -20,7 +20,7 @@ from pairwright.streaming.runlog import latest_results, pending
 def open_requests(pairs: DataFrame, log: DataFrame, settings: LabelSettings) -> DataFrame:
     """Requests for the pairs that still need a label."""
     rows = pairs if settings.first_targets is None else first_targets(pairs, settings.first_targets)
-    rows = pending(rows, log, settings)
+    rows = cut(pending(rows, log, settings))
     return build_requests(assign_batches(rows, settings), target_headers(rows), settings)
 
 

@@ -41,6 +41,7 @@ def labelling_report(ranked: DataFrame) -> dict[str, DataFrame]:
         "label_counts": report.label_counts(ranked),
         "label_totals": report.label_totals(ranked),
         "failed_targets": report.failed_targets(ranked),
+        "failed_targets_preview": report.failed_preview(ranked),
         "by_target": report.target_rollup(ranked),
         "by_target_preview": report.target_rollup(ranked).orderBy("target_code").limit(20),
     }

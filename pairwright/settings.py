@@ -66,11 +66,13 @@ class RetrievalSettings:
     missing_tokens: tuple[str, ...] = MISSING_TOKENS
 
     # Physical limits. A cell is the unit of work of one Python call: at most about `cell_rows` candidates
-    # against at most about `cell_targets` targets, and about `cell_values` vector elements on either side.
+    # against at most about `cell_targets` targets, about `cell_values` vector elements on either side, and about
+    # `cell_output` rows of output.
     # Groups above the limit are split over several cells.
     cell_rows: int = 65_536
     cell_targets: int = 16_384
     cell_values: int = 33_554_432
+    cell_output: int = 16_777_216
     bins_per_unit: int = 2_048
     value_rows: int = 1_000_000
     broadcast_rows: int = 100_000

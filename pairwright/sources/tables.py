@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.functions.codes import in_codes
+from pairwright.functions.codes import with_codes
 from pairwright.functions.text import blank_missing
 from pairwright.settings import MISSING_TOKENS
 from pairwright.sources.names import ALL_HEADERS, CANDIDATE_HEADERS, LABEL_HEADERS, TARGET_HEADERS
@@ -77,6 +77,8 @@ def next_run_seq(log: DataFrame) -> int:
 
 
 def write_inspection(ranked: DataFrame, path: str, codes: Iterable[str]) -> None:
-    """One folder per wanted target; targets without rows get none."""
-    rows = ranked.where(in_codes(F.col("target_code"), codes))
+    """One folder per wanted target, rows in order of rank; targets without rows get none."""
+    rows = with_codes(ranked, "target_code", codes)
+    if "final_rank" in rows.columns:
+        rows = rows.repartition("target_code").sortWithinPartitions("target_code", "final_rank")
     rows.write.mode("overwrite").partitionBy("target_code").option("header", True).option("escape", '"').csv(path)

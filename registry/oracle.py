@@ -195,6 +195,10 @@ def _piece(name: str) -> str:
 _SHA = "sha256(" + " || ".join(
     _piece("coalesce(target_code, '')" if c == "target_code" else c if c in _GIVEN else "''") for c in _IDENTITY) + ")"
 
+_TEXTS = ("CAST(CAST(round(score * 1e9) AS BIGINT) AS VARCHAR)", "CAST(CAST(round(target_rank * 1e9) AS BIGINT) AS VARCHAR)",
+          "passed", "pass_label")
+_VARIANT = " || ".join(f"length(coalesce({t}, '')) || ':' || coalesce({t}, '')" for t in _TEXTS)
+
 
 def pairs(top_n: int | None = None) -> str:
     best = "" if top_n is None else f"""
@@ -208,7 +212,7 @@ typed AS (SELECT nullif({code('target_code')}, '') AS target_code, {', '.join(f'
                  TRY_CAST(score AS DOUBLE) AS score, TRY_CAST(target_rank AS DOUBLE) AS target_rank, passed, pass_label
           FROM passed_p),
 best_p AS (SELECT * FROM typed{best}),
-pairs AS (SELECT *, sha256({_SHA} || ':1:1') AS row_key FROM best_p),
+pairs AS (SELECT *, sha256({_SHA} || ':' || sha256({_VARIANT}) || ':1') AS row_key FROM best_p),
 grouped_p AS (SELECT *, 'G_' || substr(md5(CASE
         WHEN {key_form('study')} <> '' AND {base_name('name')} <> ''
             THEN 'same_study_base::' || {key_form('study')} || '::' || {base_name('name')}
@@ -414,7 +418,7 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (label_status = 'llm_failed') AS n_failed
         FROM merged WHERE target_code IS NOT NULL GROUP BY target_code""",
     "failed_targets": f"""WITH {MERGED} SELECT DISTINCT target_code, target_name FROM merged
-        WHERE label_status = 'llm_failed' ORDER BY target_code, target_name LIMIT 30""",
+        WHERE label_status = 'llm_failed'""",
     "latest_per_key": f"WITH {_LATEST} SELECT row_key, label_status, value, event_id FROM latest",
     "resume_pending": f"""WITH {_LATEST} SELECT CAST(c_custkey AS VARCHAR) AS row_key FROM customer
         WHERE NOT EXISTS (SELECT 1 FROM latest WHERE latest.row_key = CAST(c_custkey AS VARCHAR)

@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.functions.codes import in_codes, keep_code, normalize_code
+from pairwright.functions.codes import keep_code, normalize_code, with_codes
 from pairwright.functions.labels import final_label, is_exact_diagnosis, is_related, lookup
 from pairwright.functions.numbers import to_number
 from pairwright.functions.text import base_name, clean, key_form, short_hash, squeeze
@@ -113,7 +113,7 @@ def q_code_filter(spark, sf):
 
 
 def q_allow_list(spark, sf):
-    rows = raw_targets(spark, sf).where(in_codes(F.col("target_code"), WANTED))
+    rows = with_codes(raw_targets(spark, sf), "target_code", WANTED)
     return rows.select("target_id", normalize_code(F.col("target_code")).alias("code"))
 
 
@@ -252,7 +252,7 @@ def stand_in_replies(spark, sf, rows):
         F.col("row_key").alias("row_id"), F.expr(frag.ANSWER_CATEGORY).alias("clinical_category"),
         F.expr(frag.ANSWER_RELATION).alias("relation_level"), F.concat(F.lit(" doc  "), "doc_id").alias("reason")))
     groups = facts.groupBy(*BATCH).agg(F.array_sort(F.collect_list(F.struct("position", item.alias("item")))).alias("l"))
-    items = F.when(F.col("kind") == 7, F.slice("l.item", 2, 1_000)).otherwise(F.col("l.item"))
+    items = F.when(F.col("kind") == 7, F.slice("l.item", F.lit(2), F.size("l.item"))).otherwise(F.col("l.item"))
     body = F.concat(F.lit('{"results": ['), F.array_join(items, ", "), F.lit("]}"))
     reply = (F.when(F.col("kind") == 1, F.concat(F.lit("```JSON\n"), body, F.lit("\n```")))
              .when(F.col("kind") == 2, F.concat(F.lit("Here you are: "), body, F.lit(" Anything else?")))
