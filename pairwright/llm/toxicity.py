@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from pairwright.llm.common import pieces, plain, rows_where
 
 #: Documents that the fit reads at most: the labelled ones with the smallest hash of their id.
-SAMPLE = 6_000
+SAMPLE = 5_000
 BUCKETS = 1 << 18
 BEGINNINGS = (3, 4, 5, 6, 7)
 #: Words added to the length of a text, so that a single word in a short text does not weigh like many in a long one.
@@ -59,39 +59,39 @@ class Ordinal:
         return self.above(score).sum(axis=1)
 
 
-def fit(rows: np.ndarray, buckets: np.ndarray, values: np.ndarray, grades: np.ndarray, top: int, steps: int = 150,
-        ridge: float = 1e-7, rate: float = 4.0) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds by gradient steps with momentum on all rows, in a fixed order, so that reruns agree.
+def fit(lengths: np.ndarray, buckets: np.ndarray, values: np.ndarray, grades: np.ndarray, top: int, learn: np.ndarray | None = None,
+        steps: int = 150, ridge: float = 1e-7, rate: float = 4.0) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds by gradient steps with momentum on the rows to learn from, in a fixed order, so that reruns agree.
 
-    `rows` is sorted; every row of the table has an entry. Thresholds are the first and sums of positive steps.
+    The entries of row k are the next `lengths[k]`, at least one, of `buckets` and `values`. Thresholds are the first and
+    sums of positive steps.
     """
-    n, width = len(grades), BUCKETS
-    starts = np.searchsorted(rows, np.arange(n))
-    used, buckets = np.unique(buckets, return_inverse=True)
-    w = np.zeros(len(used))
-    counts = np.array([max((grades > k).mean(), 1e-3) for k in range(top)])
+    n = len(grades)
+    learn = np.ones(n, bool) if learn is None else learn
+    share = learn / learn.sum()
+    starts = np.cumsum(lengths) - lengths
+    w = np.zeros(BUCKETS)
+    counts = np.array([max(float(share @ (grades > k)), 1e-3) for k in range(top)])
     first = np.log((1 - counts) / counts)
     free = np.concatenate([first[:1], np.log(np.maximum(np.diff(first), 0.1))])
     m, v = np.zeros(len(w) + top), np.zeros(len(w) + top)
+    at = np.arange(n)
     for step in range(1, steps + 1):
         thresholds = np.concatenate([free[:1], free[0] + np.cumsum(np.exp(free[1:]))])
-        score = np.add.reduceat(w[buckets] * values, starts)
+        score = np.add.reduceat(w.astype(np.float32)[buckets] * values, starts, dtype=np.float64)
         upper = np.concatenate([np.ones((n, 1)), Ordinal(w, thresholds, 0).above(score), np.zeros((n, 1))], axis=1)
-        at = np.arange(n)
         p = np.maximum(upper[at, grades] - upper[at, grades + 1], 1e-9)
         slope = upper * (1 - upper)
-        left, right = slope[at, grades] / p, slope[at, grades + 1] / p  # of log-likelihood by the score at either side
-        by_score = right - left
-        g_w = np.bincount(buckets, by_score[rows] * values, len(w)) / n + ridge * w
-        g_t = np.array([(left * (grades == k + 1) - right * (grades == k)).mean() for k in range(top)])
+        left, right = share * slope[at, grades] / p, share * slope[at, grades + 1] / p  # of the log-likelihood, by the score at either side
+        by_score = (right - left).astype(np.float32)
+        g_w = np.bincount(buckets, np.repeat(by_score, lengths) * values, len(w)) + ridge * w
+        g_t = np.array([(left * (grades == k + 1) - right * (grades == k)).sum() for k in range(top)])
         g_free = np.concatenate([[g_t.sum()], [g_t[k:].sum() * np.exp(free[k]) for k in range(1, top)]])
         g = np.concatenate([g_w, g_free])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, free = w - move[:len(w)], free - move[len(w):] * 0.2
-    weights = np.zeros(width, np.float32)
-    weights[used] = w
-    return weights, np.concatenate([free[:1], free[0] + np.cumsum(np.exp(free[1:]))])
+    return w.astype(np.float32), np.concatenate([free[:1], free[0] + np.cumsum(np.exp(free[1:]))])
 
 
 def best_reject(severity: np.ndarray, grades: np.ndarray) -> float:
@@ -148,22 +148,18 @@ def train(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id: str = "d
     top = int(grade.max()) if len(grade) else 0
     if top < 1:
         return Ordinal(np.zeros(BUCKETS, np.float32), np.array([60.0]), np.inf)
-    buckets = [np.frombuffer(r["buckets"], "<i4").astype(np.int64) for r in found]
-    values = [np.frombuffer(r["values"], "<f4").astype(float) for r in found]
-
-    def stacked(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return (np.repeat(np.arange(len(rows)), [len(buckets[r]) for r in rows]),
-                np.concatenate([buckets[r] for r in rows]), np.concatenate([values[r] for r in rows]))
-
-    held = np.arange(len(found)) % 5 == 4
-    learn, test = np.flatnonzero(~held), np.flatnonzero(held)
-    if not (grade[test] > 0).any() or not (grade[learn] > 0).any():
-        learn = test = np.arange(len(found))
-    weights, thresholds = fit(*stacked(learn), grade[learn], top)
+    lengths = np.array([len(r["buckets"]) // 4 for r in found])
+    buckets = np.frombuffer(b"".join([r["buckets"] for r in found]), "<i4").astype(np.intp)
+    values = np.frombuffer(b"".join([r["values"] for r in found]), "<f4")
+    del found
+    held = np.arange(len(grade)) % 5 == 4
+    if not (grade[held] > 0).any() or not (grade[~held] > 0).any():
+        held[:] = False
+    weights, thresholds = fit(lengths, buckets, values, grade, top, ~held)
     model = Ordinal(weights, thresholds, np.inf)
-    at, b, v = stacked(test)
-    scores = np.bincount(at, weights[b] * v, len(test))
-    model.reject = best_reject(model.severity(scores), grade[test])
+    scores = np.add.reduceat(weights[buckets] * values, np.cumsum(lengths) - lengths, dtype=np.float64)
+    test = held if held.any() else ~held
+    model.reject = best_reject(model.severity(scores[test]), grade[test])
     return model
 
 
