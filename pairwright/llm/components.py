@@ -23,7 +23,7 @@ def _small(links: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of the links (a, b); root is the smallest node that it reaches.
+    """(node, root) for every node of the links (a, b) that reaches a smaller one; root is the smallest. The rest are roots.
 
     Each pass is two aggregations that combine before their shuffle and two plain joins with one row per node on one
     side; each result is written. The passes end when the links stay the same; a check of two sums and a count tells.

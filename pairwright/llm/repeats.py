@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -128,7 +129,8 @@ def _find_runs(length: int, gram: int):
 def _find_strings(length: int, gram: int):
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        names = ["bucket", "slot", "doc_id", "body", "whole", "ids", "places"]
+        names = ["bucket", "slot", "doc_id", "body", "whole", "ids", "first", "steps"]
+        step = _steps(length - gram)
         for batch in pieces(batches, 64):
             out: list[list] = [[] for _ in names]
             for row in range(batch.num_rows):
@@ -150,24 +152,29 @@ def _find_strings(length: int, gram: int):
                         for slot in np.unique(slots).tolist() if run["slots"] > 1 else [0]:
                             own = slots == slot
                             for k, x in enumerate((run["bucket"], slot, batch.column(0)[row], batch.column(1)[row].as_py(), run["whole"],
-                                                   found[own].tobytes(), places[own].tobytes())):
+                                                   found[own].tobytes(), run["first"], (places[own] - run["first"]).astype(step).tobytes())):
                                 out[k].append(x)
                         run = next(todo, None)
             if out[0]:
-                kinds = [pa.int64(), pa.int64(), batch.column(0).type, pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
+                kinds = [pa.int64(), pa.int64(), batch.column(0).type, pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.binary()]
                 out[2] = [x.as_py() for x in out[2]]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
     return find
 
 
+def _steps(most: int) -> np.dtype:
+    """Places within a run are written as steps from its first, in as many bytes as a run's length needs."""
+    return np.dtype("<u2" if most < 1 << 16 else "<u4")
+
+
 def _spans(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first, last) of the runs of neighbouring places."""
     breaks = np.flatnonzero(np.diff(places) != 1)
     return places[np.concatenate([[0], breaks + 1])], places[np.concatenate([breaks, [len(places) - 1]])]
 
 
-def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meet(step: np.dtype, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted by bucket and slot: strings that meet another one. Of each different string seen, one place is held."""
     key: tuple[int, int] | None = None
     seen = seen_place = seen_owner = np.empty(0, np.uint64)
@@ -187,7 +194,8 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for low in range(s, e, BUCKET):
                 part = batch.slice(low, min(BUCKET, e - low))
                 ids = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column(5)]
-                places = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in part.column(6)]).view(np.uint64)
+                firsts = part.column(6).to_pylist()
+                places = np.concatenate([np.frombuffer(x.as_buffer(), step).astype(np.int64) + f for x, f in zip(part.column(7), firsts, strict=True)]).view(np.uint64)
                 new = list(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), part.column(4).to_pylist(), strict=True))
                 owner = np.repeat(np.arange(len(owners), len(owners) + len(new)), [len(x) for x in ids])
                 owners += new
@@ -275,10 +283,10 @@ def repeated_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
         "first", "last", "bucket", "whole", F.ceil(F.col("n_kinds") / BUCKET).cast("long").alias("slots"))).alias("runs"))
     strings = joined(docs, wanted, "inner").select("doc_id", "body", "packed", "runs").mapInArrow(
         _find_strings(length, gram),
-        f"bucket bigint, slot bigint, doc_id {kind_of}, body bigint, whole boolean, ids binary, places binary")
+        f"bucket bigint, slot bigint, doc_id {kind_of}, body bigint, whole boolean, ids binary, first bigint, steps binary")
     met = (
         strings.repartition("bucket", "slot").sortWithinPartitions("bucket", "slot")
-        .mapInArrow(_meet, f"doc_id {kind_of}, body bigint, first bigint, last bigint")
+        .mapInArrow(partial(_meet, _steps(length - gram)), f"doc_id {kind_of}, body bigint, first bigint, last bigint")
     )
     return alive.where("whole").select("doc_id", "body", "first", "last").union(met)
 
