@@ -9,7 +9,7 @@ centres and covering radii allow is below the worst kth score of the queries in
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +19,9 @@ from pyspark.sql.window import Window
 from pairwright.llm.common import cut, plain
 
 #: Pivots, and rows against which a first kth score of each query is found: bounded samples by a hash of the vector.
-PIVOTS, SAMPLE = 32, 2048
+PIVOTS, SAMPLE = 16, 2048
 #: Vectors of a block, queries of a tree, points of a leaf, children of a node.
-BLOCK, BATCH, LEAF, CHILDREN = 4096, 1024, 48, 24
+BLOCK, BATCH, LEAF, CHILDREN = 4096, 1024, 192, 16
 _EXACT = float(1 << 53)
 _LONG = 1 << 63
 
@@ -60,31 +60,35 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Node:
-    """A node covers `points` within `radius` of `center`; a leaf has no children."""
+    """A node covers the points from `start` to `end` of the tree's order within `radius` of `center`; a leaf has no children."""
 
-    points: np.ndarray
+    start: int
+    end: int
     center: np.ndarray
     norm: float
     radius: float
-    children: list[Node] = field(default_factory=list)
+    children: list[Node]
 
 
-def cover_tree(x: np.ndarray) -> Node:
-    """Centres of a level lie more than its scale apart and the scale halves below; where a level would have more than
-    CHILDREN centres, what is left joins the nearest. A node's radius is the farthest of its points, whatever the scale."""
+def cover_tree(x: np.ndarray) -> tuple[np.ndarray, Node]:
+    """(order of the points, root). Centres of a level lie more than its scale apart and the scale halves below; where a
+    level would have more than CHILDREN centres, what is left joins the nearest. A node's radius is the farthest of its
+    points, whatever the scale."""
+    order: list[np.ndarray] = []
 
-    def build(points: np.ndarray, scale: float) -> Node:
-        center = x[points[0]]
-        away = np.sqrt(((x[points] - center) ** 2).sum(axis=1))
-        node = Node(points, center, float(np.sqrt((center**2).sum())), float(away.max()))
+    def build(points: np.ndarray, scale: float, start: int) -> Node:
+        own = x[points]
+        center = own[0]
+        away = np.sqrt(((own - center) ** 2).sum(axis=1))
+        node = Node(start, start + len(points), center, float(np.sqrt((center**2).sum())), float(away.max()), [])
         if len(points) <= LEAF or node.radius == 0:
+            order.append(points)
             return node
         scale = min(scale, node.radius) / 2
         while True:
-            nearest, place = away.copy(), np.zeros(len(points), np.int64)
-            centers = 1
-            while centers < CHILDREN and (far := int(nearest.argmax())) >= 0 and nearest[far] > scale:
-                to = np.sqrt(((x[points] - x[points[far]]) ** 2).sum(axis=1))
+            nearest, place, centers = away.copy(), np.zeros(len(points), np.int64), 1
+            while centers < CHILDREN and nearest[far := int(nearest.argmax())] > scale:
+                to = np.sqrt(((own - own[far]) ** 2).sum(axis=1))
                 closer = to < nearest
                 nearest[closer], place[closer] = to[closer], centers
                 place[far], nearest[far] = centers, 0.0
@@ -93,68 +97,73 @@ def cover_tree(x: np.ndarray) -> Node:
                 break
             scale /= 2
         for k in range(centers):
-            own = np.flatnonzero(place == k)
-            if len(own):
-                lead = own[np.argsort(nearest[own], kind="stable")]
-                node.children.append(build(points[lead], scale))
+            mine = np.flatnonzero(place == k)
+            if len(mine):
+                node.children.append(build(points[mine[np.argsort(nearest[mine], kind="stable")]], scale, start))
+                start += len(mine)
         return node
 
-    return build(np.arange(len(x)), np.inf)
+    root = build(np.arange(len(x)), np.inf, 0)
+    return np.concatenate(order), root
 
 
 class Block:
     """The data of one block, and the search of batches of queries in it."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        self.trees: dict[int, tuple[np.ndarray, Node]] = {}
-
-    def _tree(self, width: int) -> tuple[np.ndarray, Node]:
-        if width not in self.trees:
-            wide = widen(self.vectors, width)
-            self.trees = {width: (wide, cover_tree(wide.astype(float)))}
-        return self.trees[width]
+        self.given = (ids, vectors)
+        self.width = -1
+
+    def _index(self, width: int) -> None:
+        if width != self.width:
+            ids, vectors = self.given
+            wide = widen(vectors, width)
+            order, self.root = cover_tree(wide.astype(float))
+            self.width, self.ids, self.vectors = width, ids[order], wide[order]
+            self.floats = self.vectors.astype(float)
+            self.most = float(np.abs(self.floats).max(initial=0))
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place of the query, place of the vector, score): all that can be among a query's k best, given that its kth
-        best score of all vectors is at least `least`."""
-        width = max(queries.shape[1], self.vectors.shape[1])
-        data, root = self._tree(width)
-        queries = widen(queries, width)
-        kth = least.astype(float).copy()
+        """(place of the query, id of the vector, score): all that can be among a query's k best, given that its kth best
+        score of all vectors is at least `least`."""
+        self._index(max(queries.shape[1], self.given[1].shape[1]))
+        queries = widen(queries, self.width)
+        order, root = cover_tree(queries.astype(float))
+        query_ids, queries, kth = query_ids[order], queries[order], least[order].astype(float)
+        floats = queries.astype(float)
+        exact = float(np.abs(floats).max(initial=0)) * self.most * max(1, self.width) < _EXACT
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def bound(q: Node, d: Node) -> float:
             best = float(q.center @ d.center) + q.radius * d.norm + d.radius * q.norm + q.radius * d.radius
             return best + 1 + 1e-9 * (q.norm + q.radius) * (d.norm + d.radius)
 
-        todo = [(cover_tree(queries.astype(float)), root)]
+        todo = [(bound(root, self.root), root, self.root)]
         while todo:
-            q, d = todo.pop()
-            if bound(q, d) < kth[q.points].min():
+            best, q, d = todo.pop()
+            if best < kth[q.start:q.end].min():
                 continue
-            if not q.children and not d.children:
-                scores = products(queries[q.points], data[d.points])
-                own = query_ids[q.points][:, None] == self.ids[d.points][None, :]
-                near = (scores >= kth[q.points][:, None]) & ~own
-                rows, columns = np.nonzero(near)
-                found.append((q.points[rows], d.points[columns], scores[rows, columns]))
-                if scores.shape[1] > k:
-                    others = np.where(own, np.iinfo(np.int64).min, scores)
-                    kth[q.points] = np.maximum(kth[q.points], np.partition(others, -k, axis=1)[:, -k].astype(float))
-            elif d.children and (not q.children or d.radius >= q.radius):
-                todo.extend(sorted(((q, c) for c in d.children), key=lambda p: bound(*p)))
+            if d.children and (not q.children or d.radius >= q.radius):
+                todo.extend(sorted(((bound(q, c), q, c) for c in d.children), key=lambda t: t[0]))
+            elif q.children:
+                todo.extend((bound(c, d), c, d) for c in q.children)
             else:
-                todo.extend((c, d) for c in q.children)
-        if not found:
-            none = np.empty(0, np.int64)
-            return none, none, none
-        row, column, score = (np.concatenate(f) for f in zip(*found, strict=True))
-        order = np.lexsort((self.ids[column], -score.astype(object) if score.min(initial=0) == -_LONG else -score, row))
-        row, column, score = row[order], column[order], score[order]
-        rank = np.arange(len(row)) - np.searchsorted(row, row)
-        keep = rank < k
-        return row[keep], column[keep], score[keep]
+                a, b = slice(q.start, q.end), slice(d.start, d.end)
+                scores = floats[a] @ self.floats[b].T if exact else products(queries[a], self.vectors[b])
+                own = query_ids[a][:, None] == self.ids[b][None, :]
+                rows, columns = np.nonzero((scores >= kth[a][:, None]) & ~own)
+                found.append((rows + q.start, columns + d.start, scores[rows, columns].astype(np.int64)))
+                if scores.shape[1] > k and len(rows):
+                    others = np.where(own, scores.min(), scores)
+                    kth[a] = np.maximum(kth[a], np.partition(others, -k, axis=1)[:, -k].astype(float))
+        none = np.empty(0, np.int64)
+        row, column, score = (np.concatenate([f[n] for f in found]) if found else none for n in range(3))
+        keep = score >= kth[row]
+        row, column, score = row[keep], column[keep], score[keep]
+        ranked = np.lexsort((self.ids[column], -np.maximum(score, 1 - _LONG), row))
+        row, column, score = row[ranked], column[ranked], score[ranked]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+        return order[row[keep]], self.ids[column[keep]], score[keep]
 
 
 def _cells(pivots: np.ndarray):
@@ -224,9 +233,9 @@ def _search(k: int):
                 for low in range(s, e, BATCH):
                     q = batch.slice(low, min(BATCH, e - low))
                     ids = q.column(3).to_numpy(zero_copy_only=False)
-                    row, column, score = block.search(ids, matrix(q.column(4)), q.column(5).to_numpy(zero_copy_only=False), k)
+                    row, near, score = block.search(ids, matrix(q.column(4)), q.column(5).to_numpy(zero_copy_only=False), k)
                     at = pa.array(row)
-                    yield pa.RecordBatch.from_arrays([q.column(3).take(at), q.column(6).take(at), pa.array(block.ids[column]), pa.array(score)], names=names)
+                    yield pa.RecordBatch.from_arrays([q.column(3).take(at), q.column(6).take(at), pa.array(near), pa.array(score)], names=names)
 
     return run
 
