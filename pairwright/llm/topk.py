@@ -284,6 +284,7 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0,
     sent = queries.join(F.broadcast(pairs), "cell").select(
         F.col("to_cell").alias("cell"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.lit(1).alias("kind"),
         "vec_id", "v", "least", F.xxhash64("v").alias("key"))
-    found = blocks.union(sent).repartition("cell", "part").sortWithinPartitions("cell", "part", "kind").mapInArrow(_search(k), out)
+    tasks = max(1, int(given.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # the work is in the pairs, not in the bytes
+    found = blocks.union(sent).repartition(tasks, "cell", "part").sortWithinPartitions("cell", "part", "kind").mapInArrow(_search(k), out)
     best = Window.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
