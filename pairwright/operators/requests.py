@@ -33,6 +33,21 @@ REQUEST_FIELDS = (
     ("step1_rank", "target_rank"),
     ("step1_label", "pass_label"),
 )
+CATEGORY_NOTES = {
+    "diagnosis": "a disease or condition, as found, reported or coded",
+    "lab": "a value measured in blood, urine, tissue or another sample",
+    "medication": "a drug or other substance given or taken as treatment, its dose or use",
+    "procedure": "an operation, intervention or device",
+    "vital": "a bodily measure taken at the person, such as weight, pulse or blood pressure",
+    "imaging": "a finding or measure from scans, X-rays, ultrasound or tracings",
+    "symptom": "a complaint or sign, not yet a diagnosis",
+    "lifestyle": "habits and exposures, such as smoking, food, alcohol or exercise",
+    "survey": "an item or score of a questionnaire on health, mood or quality of life",
+    "demographic": "who the person is: age, sex, origin, education, work",
+    "administrative": "keys, dates, consent, form handling and the like",
+    "other": "clinical, but none of these",
+    "unrelated": "nothing clinical",
+}
 _NUMBERS = {"score": "double", "target_rank": "bigint"}
 
 REQUEST_TEMPLATE = """Decide how each listed cohort variable relates to one target diagnosis.
@@ -42,7 +57,8 @@ Target name: {name}
 Target category: {category}
 
 Give every variable
-- clinical_category, one of: {categories};
+- clinical_category, one of: {categories}.
+{definitions}
 - relation_level, one of: {relations}.
   exact_same: the variable records the diagnosis itself.
   directly_related: a standard measurement, medication or procedure for the diagnosis, but not the diagnosis.
@@ -103,6 +119,7 @@ def _fill_template(template: str, settings: LabelSettings) -> Column:
         "variables": F.col("payload"),
         "categories": F.lit(", ".join(settings.category_ranks)),
         "relations": F.lit(", ".join(settings.relation_ranks)),
+        "definitions": F.lit("\n".join(f"  {name}: {CATEGORY_NOTES[name]}." for name in settings.category_ranks if name in CATEGORY_NOTES)),
     }
     marks = {name: f"\x00{name}\x00" for name in values}
     pieces = template.format(**marks).split("\x00")

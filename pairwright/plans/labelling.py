@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pairwright.operators.merge import final_rank, merge_labels
 from pairwright.operators.pairs import first_targets, load_pairs
 from pairwright.operators.replies import ask, classify
-from pairwright.operators.requests import assign_batches, build_requests, target_headers
+from pairwright.operators.requests import BATCH, assign_batches, build_requests, target_headers
 from pairwright.plans.lineage import cut
 from pairwright.settings import LabelSettings
-from pairwright.sources.tables import append_log, next_run_seq, read_log, write_inspection, write_table
+from pairwright.sources.tables import append_log, next_run_seq, read_log, read_replies, write_inspection, write_table
 from pairwright.streaming.runlog import latest_results, pending
 
 
@@ -40,6 +41,20 @@ def write_requests(selected: DataFrame, settings: LabelSettings, out: str) -> Da
     return selected.sparkSession.read.parquet(path)
 
 
+def log_left_over(spark: SparkSession, settings: LabelSettings, out: str) -> None:
+    """Answers that a run wrote but did not live to log are logged now, under that run's number, and never asked for again."""
+    replies = read_replies(spark, f"{out}/replies")
+    last = replies.agg(F.max("run_seq")).first()[0]
+    if last is None:
+        return
+    replies = replies.where(F.col("run_seq") == last)
+    asked = spark.read.parquet(f"{out}/requests/run_seq={last}").join(replies.select(*BATCH).distinct(), list(BATCH), "left_semi")
+    logged = read_log(spark, f"{out}/log").where(F.col("run_seq") == last).select("row_key")
+    lost = cut(classify(asked, replies, settings).join(logged, "row_key", "left_anti"))
+    if not lost.isEmpty():
+        append_log(lost, f"{out}/log", last)
+
+
 @dataclass(frozen=True)
 class Labelling:
     merged: DataFrame
@@ -53,21 +68,23 @@ def run_labelling(selected: DataFrame, settings: LabelSettings, out: str,
     """Load, ask for what is pending, log, merge, rank and write under `out`.
 
     Answers come from `load_classifier` or from `replies`, which turns the requests into a reply table. They are
-    written before they are used, then the log is read back, so that no answer is asked for twice by a lost task
-    further down.
+    asked for, written and logged in slices of about `batches_per_commit` batches, so a run that dies loses one slice at
+    most, and what it wrote without logging is logged by the next run.
     """
     spark = selected.sparkSession
     log_path = f"{out}/log"
-    log = read_log(spark, log_path)
-    run_seq = next_run_seq(log)
     if replies is None and load_classifier is None:
         raise ValueError("give either a reply table or a classifier")
+    log_left_over(spark, settings, out)
+    run_seq = next_run_seq(read_log(spark, log_path))
     requests = write_requests(selected, settings, out)
     pairs = spark.read.parquet(f"{out}/pairs")
-    replies_path = f"{out}/replies/run_seq={run_seq}"
-    answers = replies(requests) if replies is not None else ask(requests, load_classifier)
-    write_table(answers, replies_path)
-    append_log(classify(requests, spark.read.parquet(replies_path), settings), log_path, run_seq)
+    slices = max(1, -(-requests.count() // settings.batches_per_commit))
+    for k in range(slices):
+        part = requests.where(F.pmod(F.xxhash64(*BATCH), F.lit(slices)) == k)
+        path = f"{out}/replies/run_seq={run_seq}/slice={k}"
+        write_table(replies(part) if replies is not None else ask(part, load_classifier), path)
+        append_log(classify(part, spark.read.parquet(path), settings), log_path, run_seq)
     merged = merge_labels(pairs, latest_results(read_log(spark, log_path)), settings)
     write_table(merged, f"{out}/merged")
     merged = spark.read.parquet(f"{out}/merged")

@@ -92,6 +92,7 @@ class LabelSettings:
     """Stage two: which pairs are sent, in what batches, and how replies are read."""
 
     batch_size: int = 25
+    batches_per_commit: int = 10_000
     target_codes: tuple[str, ...] | None = None
     first_targets: int | None = None
     top_n: int | None = None

@@ -71,6 +71,17 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], LOG_SCHEMA)
 
 
+def read_replies(spark: SparkSession, path: str) -> DataFrame:
+    """All replies of all runs and slices; an absent table is an empty one."""
+    schema = "target_code string, batch_no bigint, reply string, error string, run_seq bigint, slice int"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def next_run_seq(log: DataFrame) -> int:
     last = log.agg(F.max("run_seq")).first()[0]
     return 0 if last is None else last + 1

@@ -158,6 +158,9 @@ def test_content_keys_of_copies_and_variants(spark):
     assert {r.key for r in again} == {r.key for r in keyed}
     other = with_content_key(df.where("k = 'b'"), ["k"], "key").first().key
     assert other in {r.key for r in keyed}
+    for gone in (1, 2):  # a key does not move when another variant goes
+        left = {r.key for r in with_content_key(df.where(F.col("v") != gone), ["k"], "key").collect()}
+        assert left == {r.key for r in keyed if r.v != gone}
 
 
 def test_piles_of_copies_keep_their_keys(spark, monkeypatch):
@@ -205,6 +208,33 @@ def test_spread_row_number_with_hot_ties(spark):
     assert [r.n for r in want] == list(range(1, 3_001))
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 1])
+def test_ranks_of_infinite_and_missing_scores(spark, limit):
+    scores = [float("-inf"), float("inf"), None, 0.5, 0.5, -3e300, 3e300, -0.0, 1e-9]
+    rows = [(f"k{i}", "8", x) for i, x in enumerate(scores)]
+    df = spark.createDataFrame(rows, "row_key string, target_code string, score double")
+    got = [r.row_key for r in sorted(assign_batches(df, LabelSettings(window_rows=limit)).collect(), key=lambda r: r.position)]
+    want = sorted(rows, key=lambda r: (r[2] is None, -(r[2] or 0) if r[2] is not None else 0, r[0]))
+    assert got == [r[0] for r in want]
+
+
+def test_two_replies_to_a_batch_count_once(spark):
+    requests = spark.createDataFrame([("8", 0, ["a", "b"]), ("9", 0, ["c"])], "target_code string, batch_no long, row_keys array<string>")
+    good = json.dumps({"results": [{"row_id": "a", "clinical_category": "lab", "relation_level": "unrelated"}]})
+    replies = [("8", 0, "broken"), ("8", 0, good), ("8", 0, good), ("8", 0, None), ("9", 0, None), ("9", 0, "[]")]
+    for order in (replies, replies[::-1]):
+        got = classify(requests, spark.createDataFrame(order, "target_code string, batch_no long, reply string"), LabelSettings()).collect()
+        assert sorted((r.row_key, r.label_status) for r in got) == [("a", "ok"), ("b", "missing_from_llm_output"), ("c", "llm_failed")]
+
+
+def test_ties_in_the_log_have_one_winner(spark):
+    rows = [("a", "lab", "unrelated", False, 4, "", "llm_failed", "x", 1), ("a", "lab", "exact_same", True, 1, "", "ok", "", 1),
+            ("a", "lab", "directly_related", True, 1, "", "ok", "", 1), ("a", "other", "exact_same", True, 1, "", "ok", "", 0)]
+    for order in (rows, rows[::-1]):
+        (r,) = latest_results(spark.createDataFrame(order, LOG)).collect()
+        assert (r.label_category, r.label_relation, r.label_status) == ("lab", "exact_same", "ok")
+
+
 def test_first_targets(spark):
     df = spark.createDataFrame([("b", 1), ("a", 5), ("b", 9), ("c", 2), (None, 0)], "target_code string, pos int")
     assert {r.target_code for r in first_targets(df, 2, F.col("pos")).collect()} == {"b", "c"}

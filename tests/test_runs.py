@@ -131,6 +131,34 @@ def test_labelling_run_and_resume(spark, retrieved, tmp_path):
     assert {(r.row_key, r.final_rank) for r in same.collect()} == {(r.row_key, r.final_rank) for r in rows}
 
 
+def test_a_run_that_dies_loses_one_slice(spark, retrieved, tmp_path, monkeypatch):
+    import pairwright.plans.labelling as labelling
+
+    selected, out = retrieved[0].selected, str(tmp_path / "dying")
+    settings = LabelSettings(batch_size=3, batches_per_commit=1)
+    n, asked, real = selected.count(), [], labelling.append_log
+
+    def replies(requests):
+        asked.append(sum(r.n_rows for r in requests.select("n_rows").collect()))
+        return replies_from(requests)
+
+    def dies(results, path, run_seq):
+        if sum(asked[:-1]) > 0 and asked[-1] > 0:  # its answers are written, but not logged
+            raise RuntimeError("killed")
+        real(results, path, run_seq)
+
+    monkeypatch.setattr(labelling, "append_log", dies)
+    with pytest.raises(RuntimeError):
+        run_labelling(selected, settings, out, replies=replies)
+    monkeypatch.setattr(labelling, "append_log", real)
+    before = sum(asked)
+    assert 0 < before < n and read_log(spark, f"{out}/log").count() < before
+    asked.clear()
+    rows = run_labelling(selected, settings, out, replies=replies).ranked.collect()
+    assert sum(asked) == n - before and len(rows) == n and {r.label_status for r in rows} == {"ok"}
+    assert read_log(spark, f"{out}/log").count() == n
+
+
 def test_labelling_with_a_classifier_and_first_targets(spark, retrieved, tmp_path):
     def load():
         import json as js

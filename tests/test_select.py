@@ -3,9 +3,10 @@
 import numpy as np
 import pytest
 from hypothesis import given, settings as hyp, strategies as st
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from pairwright.operators.select import adaptive_select, group_statistics, select_and_rank
+from pairwright.operators.grid import place_candidates, place_targets, plan_grid
 from pairwright.settings import RetrievalSettings
 
 VECTOR = T.ArrayType(T.FloatType())
@@ -158,3 +159,38 @@ def test_bad_settings_and_vectors(spark):
     with pytest.raises(Exception, match="one common length"):
         adaptive_select(targets_df(spark, [[1.0, 0.0]]),
                         candidates_df(spark, [(1, "g", [1.0, 0.0]), (2, "g", [1.0])]), RetrievalSettings()).collect()
+
+
+def test_deviation_is_the_same_in_whole_and_split_groups(spark):
+    rng = np.random.default_rng(12)
+    unit = lambda x: (x / np.linalg.norm(x, axis=1, keepdims=True)).astype("f4").tolist()
+    targets = spark.createDataFrame([*enumerate(unit(rng.normal(size=(60, 8))))], "target_id long, embedding array<float>")
+    vectors = unit(rng.normal(size=(900, 8)))
+    candidates = spark.createDataFrame([(i, "g", v) for i, v in enumerate(vectors)], "cand_id long, group string, embedding array<float>")
+    found = [
+        {r.target_id: (r.threshold, r.delta) for r in group_statistics(targets, candidates, RetrievalSettings(spread="sd", cell_rows=rows)).collect()}
+        for rows in (10_000, 300, 70)
+    ]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 60
+
+
+def test_many_small_groups_share_bounded_cells(spark):
+    settings = RetrievalSettings(cell_rows=4_000, cell_output=1_000_000)
+    targets = spark.range(500).select(F.col("id").alias("target_id"), F.array(F.lit(1.0), F.lit(0.0)).cast("array<float>").alias("embedding"))
+    candidates = spark.range(100_000).select(F.col("id").alias("cand_id"), (F.col("id") % 10_000).cast("string").alias("group"), F.array(
+        F.lit(0.0), F.lit(1.0)).cast("array<float>").alias("embedding"))
+    grid = plan_grid(targets, candidates, settings)
+    placed = place_candidates(candidates, grid, settings, hot=False)
+    cells = {(r.part, r.chunk): r["count"] for r in placed.groupBy("part", "chunk").count().collect()}
+    per_chunk = {r.chunk: r["count"] for r in place_targets(targets, grid, hot=False).where("part = 0").groupBy("chunk").count().collect()}
+    assert {part for part, _ in cells} == set(range(grid.parts)) and grid.parts * grid.chunks >= 3 * grid.width
+    assert max(n * per_chunk.get(chunk, 0) for (_, chunk), n in cells.items()) <= 2 * settings.cell_output
+    assert placed.select("group", "part").distinct().groupBy("group").count().where("count > 1").isEmpty()
+
+
+def test_last_pass_limits_within_groups(spark):
+    candidates = spark.range(400).select(F.col("id").alias("cand_id"), F.lit("g").alias("group"), F.array(
+        F.rand(1), F.rand(2)).cast("array<float>").alias("embedding"))
+    targets = spark.range(3).select(F.col("id").alias("target_id"), F.array(F.lit(0.5), F.lit(0.5)).cast("array<float>").alias("embedding"))
+    found = adaptive_select(targets, candidates, RetrievalSettings(cell_rows=100))
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
