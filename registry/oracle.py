@@ -386,6 +386,7 @@ ORACLE: dict[str, str] = {
     "missing_fallback": f"WITH {ANSWERS} SELECT {_RESULT} FROM results WHERE label_status = 'missing_from_llm_output'",
     "failure_fallback": f"WITH {ANSWERS} SELECT {_RESULT} FROM results WHERE label_status = 'llm_failed'",
     "classify_batches": f"WITH {ANSWERS} SELECT {_RESULT} FROM results",
+    "classify_doubled": f"WITH {ANSWERS} SELECT {_RESULT} FROM results",
     "merge_labels": f"""WITH {MERGED} SELECT row_key, target_code, round(score, 6) AS score, label_category,
         label_relation, label_keep, label_priority, label_reason, label_status, label_error FROM merged""",
     "derive_label": f"""WITH x AS (SELECT doc_id, {_REL} AS r, {_CAT} AS c {_DOC_LABELS})

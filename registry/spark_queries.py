@@ -381,6 +381,13 @@ def q_classify_batches(spark, sf):
     return results(spark, sf)
 
 
+def q_classify_doubled(spark, sf):
+    """Every reply twice and a broken one besides: the results are those of single replies."""
+    _, requests, replies = asked(spark, sf)
+    broken = replies.withColumn("reply", F.lit("~ broken"))
+    return classify(requests, replies.unionByName(broken).unionByName(replies), LABEL)
+
+
 def q_merge_labels(spark, sf):
     rows = merged(spark, sf)
     return rows.select("row_key", "target_code", F.round("score", 6).alias("score"), *LABEL_COLUMNS)
@@ -514,6 +521,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_fallback": partial(q_status, "missing_from_llm_output"),
     "failure_fallback": partial(q_status, "llm_failed"),
     "classify_batches": q_classify_batches,
+    "classify_doubled": q_classify_doubled,
     "merge_labels": q_merge_labels,
     "derive_label": q_derive_label,
     "derive_flags": q_derive_flags,
