@@ -18,6 +18,9 @@ from pairwright.sources.tables import append_log, next_run_seq, read_log, read_r
 from pairwright.streaming.runlog import latest_results, pending
 
 
+_ORDER = ("target_code", "final_rank", "row_key")
+
+
 def open_requests(pairs: DataFrame, log: DataFrame, settings: LabelSettings) -> DataFrame:
     """Requests for the pairs that still need a label."""
     rows = pairs if settings.first_targets is None else first_targets(pairs, settings.first_targets)
@@ -88,11 +91,11 @@ def run_labelling(selected: DataFrame, settings: LabelSettings, out: str,
     merged = merge_labels(pairs, latest_results(read_log(spark, log_path)), settings)
     write_table(merged, f"{out}/merged")
     merged = spark.read.parquet(f"{out}/merged")
-    write_table(final_rank(merged, settings), f"{out}/ranked")
+    write_table(final_rank(merged, settings), f"{out}/ranked", order=_ORDER)
     ranked = spark.read.parquet(f"{out}/ranked")
     if fmt != "parquet":
         write_table(merged, f"{out}/merged_{fmt}", fmt, file_headers)
-        write_table(ranked, f"{out}/ranked_{fmt}", fmt, file_headers)
+        write_table(ranked, f"{out}/ranked_{fmt}", fmt, file_headers, _ORDER)
     if inspect_codes:
         write_inspection(ranked, f"{out}/inspect", inspect_codes)
     return Labelling(merged, ranked)

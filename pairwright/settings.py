@@ -63,6 +63,7 @@ class RetrievalSettings:
     scale: float = 3.0
     target_codes: tuple[str, ...] | None = None
     first_targets: int | None = None
+    unit_vectors: bool = False  # bring supplied vectors to norm one
     missing_tokens: tuple[str, ...] = MISSING_TOKENS
 
     # Physical limits. A cell is the unit of work of one Python call: at most about `cell_rows` candidates

@@ -17,25 +17,35 @@ LOG_SCHEMA = ("row_key string, label_category string, label_relation string, lab
               "label_priority int, label_reason string, label_status string, label_error string, run_seq bigint")
 
 
-def read_csv(spark: SparkSession, path: str, headers: dict[str, str], tokens: Iterable[str] = MISSING_TOKENS
-             ) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, headers: dict[str, str], tokens: Iterable[str] = MISSING_TOKENS,
+             multi_line: bool = True) -> DataFrame:
     """A CSV file with a header: all columns as text, known headers renamed, missing tokens blanked.
 
-    `input_order` grows with the position in the file and follows from the file splits alone.
+    Cells may hold line breaks; such a file is read by one task, and `input_order` grows with the position in it. With
+    `multi_line=False` files are split over tasks, and there is no `input_order`: ids then come from the content, so they
+    do not depend on the splits.
     """
-    raw = (spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+    raw = (spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
            .option("inferSchema", False).csv(path))
     columns = [blank_missing(F.coalesce(F.col(f"`{c}`"), F.lit("")), tuple(tokens)).alias(headers.get(c, c))
                for c in raw.columns]
-    return raw.select(*columns, F.monotonically_increasing_id().alias("input_order"))
+    return raw.select(*columns, *([F.monotonically_increasing_id().alias("input_order")] if multi_line else []))
 
 
-def read_targets(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, TARGET_HEADERS)
+def _read_inputs(spark: SparkSession, path: str, fmt: str, headers: dict[str, str], multi_line: bool) -> DataFrame:
+    if fmt == "csv":
+        return read_csv(spark, path, headers, multi_line=multi_line)
+    raw = spark.read.parquet(path)
+    return raw.select(*[F.col(f"`{c}`").alias(headers.get(c, c)) for c in raw.columns])
+
+
+def read_targets(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
+    """The target file, as CSV or as Parquet with either set of names."""
+    return _read_inputs(spark, path, fmt, TARGET_HEADERS, multi_line)
 
 
-def read_candidates(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, CANDIDATE_HEADERS)
+def read_candidates(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
+    return _read_inputs(spark, path, fmt, CANDIDATE_HEADERS, multi_line)
 
 
 def read_selected(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -43,8 +53,11 @@ def read_selected(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return spark.read.parquet(path) if fmt == "parquet" else read_csv(spark, path, ALL_HEADERS)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", file_headers: bool = False) -> None:
-    """Replace a table; `file_headers` writes the headers of the files instead of the column names."""
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", file_headers: bool = False, order: Iterable[str] = ()) -> None:
+    """Replace a table; `file_headers` writes the headers of the files instead of the column names. With `order`, the
+    rows of all files in turn are in that order."""
+    if order := [F.col(c).asc_nulls_last() for c in order if c in df.columns]:
+        df = df.orderBy(*order)
     if file_headers:
         names = {v: k for k, v in ALL_HEADERS.items()}
         df = df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])

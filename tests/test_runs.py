@@ -12,7 +12,7 @@ from pairwright.operators.embed import embed_with
 from pairwright.operators.prepare import prepare_candidates, prepare_targets
 from pairwright.plans.labelling import label, run_labelling
 from pairwright.plans.lineage import cut
-from pairwright.plans.retrieval import run_retrieval
+from pairwright.plans.retrieval import retrieve, run_retrieval
 from pairwright.settings import LabelSettings, RetrievalSettings
 from pairwright.sources.names import CANDIDATE_HEADERS, TARGET_HEADERS
 from pairwright.sources.tables import (
@@ -246,3 +246,28 @@ def test_command_line(spark, files, tmp_path):
     ranked = spark.read.parquet(f"{two}/ranked")
     assert ranked.count() == n and ranked.where("label_status <> 'ok'").count() == 0
     assert spark.read.parquet(f"{two}/report/by_target").agg(F.sum("n_candidates")).first()[0] == n
+
+
+def test_inputs_as_parquet_and_split_csv(spark, tmp_path):
+    rows = [(f"{k}", f"name {k}", "c") for k in range(20)]
+    df = spark.createDataFrame(rows, "phecode string, phenotype string, category string")
+    df.write.parquet(str(tmp_path / "p"))
+    df.write.option("header", True).csv(str(tmp_path / "c"))
+    frames = [read_targets(spark, str(tmp_path / "p"), "parquet"), read_targets(spark, str(tmp_path / "c"), multi_line=False)]
+    ids = [{(r.target_code, r.target_id) for r in prepare_targets(f, RetrievalSettings()).collect()} for f in frames]
+    assert ids[0] == ids[1] and len(ids[0]) == 20
+
+
+def test_ranked_output_is_in_order(spark, tmp_path):
+    df = spark.range(200).select(F.concat(F.lit("t"), F.col("id") % 7).alias("target_code"), (200 - F.col("id")).alias("final_rank")).repartition(5)
+    write_table(df, str(tmp_path / "o"), "csv", order=("target_code", "final_rank", "absent"))
+    lines = [x for p in sorted(glob.glob(str(tmp_path / "o" / "part-*"))) for x in open(p).read().split("\n")[1:] if x]
+    found = [(a, int(b)) for a, b in (x.split(",") for x in lines)]
+    assert found == sorted(found) and len(found) == 200
+
+
+def test_supplied_vectors_are_brought_to_norm_one(spark):
+    targets = spark.createDataFrame([(0, [3.0, 4.0])], "target_id long, embedding array<float>")
+    candidates = spark.createDataFrame([(k, "g", [k + 1.0, 10.0]) for k in range(5)], "cand_id long, group string, embedding array<float>")
+    scores = [r.score for r in retrieve(targets, candidates, RetrievalSettings(unit_vectors=True)).collect()]
+    assert len(scores) == 5 and max(scores) <= 1 + 1e-6
