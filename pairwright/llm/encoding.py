@@ -1,12 +1,13 @@
 """Token ids of many texts at once, by the tokenizers library, each different piece of text encoded once.
 
 A byte-level BPE with the usual pattern never joins a character that is no white space to white space behind it, so a
-text may be cut there. Texts are cut at single spaces, the words of a batch are made distinct by Arrow, and only words
+text may be cut there (other tokenizers get whole texts). Texts are cut at single spaces, the words of a batch are made distinct by Arrow, and only words
 that the process has not met are given to the library; the ids are then gathered by their positions.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 
@@ -31,6 +32,15 @@ def _letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
+def _may_be_cut(spec: dict) -> bool:
+    """Whether this is a byte-level BPE with the usual pattern and nothing before it, so that texts may be cut at white space."""
+    first, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    return (
+        spec.get("normalizer") is None and first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True)
+        and model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+    )
+
+
 class BatchEncoder:
     """One for each tokenizer file and process. The cache holds a bounded number of pieces and starts anew when full."""
 
@@ -42,6 +52,7 @@ class BatchEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.cuts = _may_be_cut(json.loads(self.tokenizer.to_str()))
         self._split = regex.compile(public_tokenizers.PATTERN).findall
         self._model = self.tokenizer.model.tokenize
         self._letters = _letters()
@@ -71,6 +82,10 @@ class BatchEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text). Null texts are empty."""
+        if not self.cuts:
+            given = [t or "" for t in texts.to_pylist()]
+            made = [e.ids for e in self.tokenizer.encode_batch(given, add_special_tokens=False)]
+            return np.array([x for ids in made for x in ids], "<u4"), np.array([len(ids) for ids in made], np.int64)
         if len(self._known) > CACHED or len(self._parts) > CACHED:
             self._known.clear()
             self._parts.clear()

@@ -31,6 +31,15 @@ def test_pieces_encode_as_the_whole(spark, sf_dir):
     assert [x.tolist() for x in np.split(made, np.cumsum(counts)[:-1])] == ids_of(texts)
 
 
+def test_other_tokenizers_get_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, texts = Tokenizer.from_file(path), ["Some  Words, more", None, "", "é x"]
+    encoder = BatchEncoder(path)
+    made, counts = encoder.encode(pa.array(texts))
+    assert BatchEncoder(PATH).cuts and not encoder.cuts
+    assert [x.tolist() for x in np.split(made, np.cumsum(counts)[:-1])] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("width", [2, 4])
 def test_files_read_only_what_is_asked_for(width):
     rng = np.random.default_rng(1)
