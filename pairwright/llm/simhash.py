@@ -3,7 +3,8 @@
 Fingerprints are split into blocks. Two that differ in at most `distance` bits agree in all but `distance` blocks, so
 they agree in at least one choice of `blocks - distance` blocks; each choice is a key. The fingerprints of one key are
 compared within a task, and only a spanning forest of the links leaves it. `near_fingerprints` does this for 64 bits and a
-few differing ones, without missing a link; `near_duplicates` for a share of common shingles, on longer fingerprints.
+few differing ones, without missing a link; `near_duplicates` for a share of common shingles: longer fingerprints propose
+pairs, and the shingles of the texts decide them.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pairwright.llm.components import components
 #: The hash and its seed are those of the query contract.
 SEED = 42
 _CHUNK = 1 << 14
+#: Distinct texts of a loose group up to which it is compared as a whole.
+GROUP = 256
 
 
 def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
@@ -189,9 +192,9 @@ class Plan:
         return -(-self.bits * self.count // 64)
 
 
-def plan(rows: int, similarity: float, slack: float = 0.05, missed: float = 0.01) -> Plan:
+def plan(rows: int, similarity: float, slack: float = 0.25, missed: float = 0.0005) -> Plan:
     """Blocks so wide that few unlike texts share one, and so many that a pair at `similarity` shares none with
-    probability `missed`. Links reach to the bits expected at `similarity - slack`, since the bits of a pair scatter."""
+    probability `missed`. Proposals reach to the bits expected at `similarity - slack`, since the bits of a pair scatter."""
     bits = int(min(32, max(12, np.ceil(np.log2(max(rows, 2))) - 5)))
     count = int(np.ceil(np.log(missed) / np.log(1 - (1 - bit_share(similarity)) ** bits)))
     return Plan(bits, count, int(64 * -(-bits * count // 64) * bit_share(similarity - slack)))
@@ -262,20 +265,82 @@ def wide_forest(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarr
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
+def exact_forest(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """As `forest`, for sets without repeats, none of them empty: links are the pairs with a Jaccard similarity that is reached."""
+    none = np.empty(0, np.int64)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    values, codes = np.unique(np.concatenate(sets), return_inverse=True) if sets else (none, none)
+    own = np.split(codes, np.cumsum(sizes)[:-1])
+    mark = np.zeros(len(values), bool)
+    left, right, rest = [], [], np.arange(len(sets))
+    flat, starts = codes, np.cumsum(sizes) - sizes
+
+    def leave(stay: np.ndarray) -> None:
+        nonlocal flat, starts, rest
+        flat, rest = flat[np.repeat(stay, sizes[rest])], rest[stay]
+        starts = np.cumsum(sizes[rest]) - sizes[rest]
+
+    while len(rest) > 1:
+        queue = [int(rest[0])]
+        leave(np.arange(len(rest)) > 0)
+        while queue and len(rest):
+            at = queue.pop()
+            mark[own[at]] = True
+            common = np.add.reduceat(mark[flat], starts, dtype=np.int64)
+            mark[own[at]] = False
+            close = common / (sizes[rest] + sizes[at] - common) >= similarity
+            if close.any():
+                found = rest[close]
+                leave(~close)
+                left.append(np.full(len(found), at))
+                right.append(found)
+                queue.extend(found.tolist())
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+
+
+def _verified(width: int, similarity: float):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted by group: the shingles of its texts are compared, and a forest of the links leaves it."""
+        last, nodes, sets = None, [], []
+
+        def linked() -> Iterator[pa.RecordBatch]:
+            left, right = exact_forest(sets, similarity)
+            if len(left):
+                found = np.array(nodes, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found[left]), pa.array(found[right])], names=["a", "b"])
+
+        for batch in pieces(batches, 256):
+            for *key, node, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != last:
+                    yield from linked()
+                    last, nodes, sets = key, [], []
+                if len(shingles := np.unique(shingle_hashes(words_of(text), width))):
+                    nodes.append(node)
+                    sets.append(shingles)
+        yield from linked()
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, component_id: documents linked by fingerprints as near as those of texts with `similarity` of their shingles.
+    """doc_id, component_id: documents linked by having `similarity` of their shingles in common (Jaccard of the sets).
 
-    The fingerprint is long enough for the bits of a pair to tell its similarity, and is cut into the blocks of `plan`;
-    pairs that share a block are compared in all bits. A pair at `similarity` shares no block once in a hundred times, a
-    nearer one more rarely. Rows, nulls and skew are treated as by `near_fingerprints`.
+    Long fingerprints of the shingle sets, cut into the blocks of `plan`, only propose: texts that share a block and are
+    near in all bits. What the proposals join is a loose group, and within it each pair is decided by the shingles
+    themselves, never by the bits. A loose group of more than GROUP sets is compared block by block, so one task has
+    the texts of one block. Texts with the same shingles are one node; those without a word are one component.
+    Rows, nulls and skew are treated as by `near_fingerprints`; one text for each node that has a proposal is shuffled.
     """
     shape = plan(docs.count(), similarity)
     words = shape.words
 
     def marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 256):
-            made = [wide_fingerprint(shingle_hashes(words_of(t.as_py()), width), words).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["doc_id", "fp"])
+            sets = [np.unique(shingle_hashes(words_of(t.as_py()), width)) for t in batch.column(2)]
+            node = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
+            made = [wide_fingerprint(x, words).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(made, pa.binary())],
+                                             names=["doc_id", "text_hash", "node", "fp"])
 
     def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = np.int64(1) << np.arange(shape.bits, dtype=np.int64)
@@ -288,11 +353,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, id
             yield pa.RecordBatch.from_arrays([pa.array(choice), pa.array(part.ravel()), batch.column(0).take(rows), batch.column(1).take(rows)],
                                              names=["choice", "part", "node", "fp"])
 
-    read = docs.select(plain(id).cast("long").alias("doc_id"), plain(text).alias("text"))
-    marked = cut(read.mapInArrow(marks, "doc_id bigint, fp binary").withColumn("node", F.xxhash64("fp")))
-    distinct = cut(marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("fp").alias("fp")))
-    dealt = distinct.select("node", "fp").mapInArrow(keyed, "choice int, part bigint, node bigint, fp binary")
-    links = dealt.repartition("choice", "part").sortWithinPartitions("choice", "part").mapInArrow(_wide_groups(shape), "a bigint, b bigint")
+    in_block, pair = "choice int, part bigint, node bigint, fp binary", "a bigint, b bigint"
+    read = docs.select(plain(id).cast("long").alias("doc_id"), F.xxhash64(plain(text)).alias("text_hash"), plain(text).alias("text"))
+    marked = cut(read.mapInArrow(marks, "doc_id bigint, text_hash bigint, node bigint, fp binary"))
+    distinct = cut(marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp")))
+    dealt = distinct.select("node", "fp").mapInArrow(keyed, in_block)
+    proposed = dealt.repartition("choice", "part").sortWithinPartitions("choice", "part").mapInArrow(_wide_groups(shape), pair)
+    loose = components(proposed.distinct()).select("node", F.col("root").alias("loose"))
+    loose = cut(loose.union(loose.select("loose", "loose")).distinct())
+    sizes = loose.groupBy("loose").agg(F.count(F.lit(1)).alias("n"))
+    asked = cut(distinct.join(loose, "node").join(sizes, "loose").select("loose", "n", "node", "text_hash", "fp"))
+    texts = cut(read.select("text_hash", "text").join(asked.drop("fp"), "text_hash").dropDuplicates(["node"]))
+    small = texts.where(F.col("n") <= GROUP).select("loose", F.lit(-1).alias("choice"), F.lit(0).cast("long").alias("part"), "node", "text")
+    blocks = asked.where(F.col("n") > GROUP).select("node", "fp").mapInArrow(keyed, in_block).drop("fp")
+    large = blocks.join(texts.where(F.col("n") > GROUP), "node").select("loose", "choice", "part", "node", "text")
+    group = ["loose", "choice", "part"]
+    links = small.union(large).repartition(*group).sortWithinPartitions(*group).mapInArrow(_verified(width, similarity), pair)
     roots = components(links.distinct())
     classes = distinct.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     least = classes.groupBy("root").agg(F.min("least_id").alias("component_id"))

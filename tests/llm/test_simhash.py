@@ -89,3 +89,50 @@ def test_near_copies_by_similarity(spark):
     twice = S.keep_one(docs.union(docs))
     assert sorted(r.doc_id for r in twice.collect()) == sorted(set(got.values()))
     assert S.near_duplicates(empty(docs)).collect() == [] and S.near_fingerprints(empty(docs)).collect() == []
+
+
+def jaccard(a, b):
+    a, b = ({tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def spoiled(text, rng, n):
+    """Words replaced near the end, one shingle for each, until `n` differ."""
+    words = text.split()
+    return " ".join(words[:len(words) - n] + [f"z{rng.randrange(10**9)}" for _ in range(n)])
+
+
+@pytest.mark.parametrize("group", [2, 256])
+def test_links_are_decided_by_the_shingles(spark, monkeypatch, group):
+    monkeypatch.setattr(S, "GROUP", group)
+    rng = random.Random(8)
+    texts, same = [], []
+    for k in range(120):  # pairs from 0.70 to 0.90, none nearer to 0.8 than half a shingle
+        base = prose(rng, 124, 10**6)
+        other = spoiled(base, rng, 7 + k % 15)
+        same.append(jaccard(base, other) >= 0.8)
+        texts += [base, other]
+    chain = [prose(rng, 124, 10**6)]
+    for _ in range(6):  # each near the last, far from the first
+        words = chain[-1].split()
+        chain.append(" ".join(words[8:] + [f"y{rng.randrange(10**9)}" for _ in range(8)]))
+    texts += chain
+    got = {r.doc_id: r.component_id for r in S.near_duplicates(documents(spark, texts)).collect()}
+    assert [got[2 * k] == got[2 * k + 1] for k in range(120)] == same and 30 < sum(same) < 90
+    assert {got[240 + k] for k in range(7)} == {240} and jaccard(chain[0], chain[6]) < 0.8
+
+
+def test_exact_forest_joins_what_all_links_join():
+    rng = np.random.default_rng(2)
+    sets = []
+    for _ in range(30):
+        base = rng.choice(10**6, 40, replace=False).astype(np.uint64)
+        sets += [np.unique(np.concatenate([base[int(rng.integers(0, 9)):], rng.integers(10**7, 10**8, int(rng.integers(0, 3))).astype(np.uint64)])) for _ in range(5)]
+    want = plain_components([set(x.tolist()) for x in sets], lambda a, b: len(a & b) / len(a | b) >= 0.8)
+    root = list(range(len(sets)))
+    left, right = S.exact_forest(sets, 0.8)
+    for a, b in zip(left.tolist(), right.tolist(), strict=True):
+        old, new = max(root[a], root[b]), min(root[a], root[b])
+        root = [new if r == old else r for r in root]
+    assert root == want and len(left) == len(sets) - len(set(want)) and 30 < len(set(want)) < 150
+    assert [len(x) for x in S.exact_forest([], 0.8)] == [0, 0]
