@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
+from math import lgamma
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ SEED = 42
 _CHUNK = 1 << 14
 #: Distinct texts of a loose group up to which it is compared as a whole.
 GROUP = 256
+#: Bits of a long fingerprint, the same for all inputs.
+BITS = 512
 
 
 def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
@@ -181,23 +184,41 @@ def bit_share(similarity: float) -> float:
 
 @dataclass(frozen=True)
 class Plan:
-    """A fingerprint of `count` blocks of `bits` bits, padded to whole words; links have at most `distance` bits."""
+    """How fingerprints of BITS bits are filed: under `count` choices of `bits` places. It changes what is compared, not what counts as near."""
 
     bits: int
     count: int
-    distance: int
 
     @property
-    def words(self) -> int:
-        return -(-self.bits * self.count // 64)
+    def places(self) -> np.ndarray:
+        """The places of each choice, the same for the same plan: whole shuffles of all places are dealt out in turn."""
+        rng = np.random.default_rng(SEED)
+        each = BITS // self.bits
+        return np.concatenate([rng.permutation(BITS)[:each * self.bits].reshape(each, self.bits) for _ in range(-(-self.count // each))])[:self.count]
 
 
-def plan(rows: int, similarity: float, slack: float = 0.25, missed: float = 0.0005) -> Plan:
-    """Blocks so wide that few unlike texts share one, and so many that a pair at `similarity` shares none with
-    probability `missed`. Proposals reach to the bits expected at `similarity - slack`, since the bits of a pair scatter."""
+def bit_limit(similarity: float, slack: float = 0.25) -> int:
+    """The differing bits up to which a pair is proposed: those expected at `similarity - slack`, since the bits of a pair scatter."""
+    return int(BITS * bit_share(max(0.0, similarity - slack)))
+
+
+def unproposed(shape: Plan, share: float, limit: int) -> float:
+    """The part of pairs whose bits differ with probability `share` that agree in no choice or differ in more than `limit` bits."""
+    differ = np.arange(BITS + 1)
+    ways = np.array([lgamma(BITS + 1) - lgamma(d + 1) - lgamma(BITS - d + 1) for d in differ])
+    found = np.exp(ways + differ * np.log(share) + (BITS - differ) * np.log(1 - share))
+    agree = np.prod([np.maximum(BITS - differ - k, 0) / (BITS - k) for k in range(shape.bits)], axis=0)
+    return float((found * np.where(differ > limit, 1.0, (1 - agree) ** shape.count)).sum())
+
+
+def plan(rows: int, similarity: float, missed: float = 0.0005) -> Plan:
+    """Choices of so many places that few unlike texts agree in one, and so many choices that at most `missed` of the pairs
+    at `similarity` are not proposed; nearer pairs are missed more rarely."""
     bits = int(min(32, max(12, np.ceil(np.log2(max(rows, 2))) - 5)))
-    count = int(np.ceil(np.log(missed) / np.log(1 - (1 - bit_share(similarity)) ** bits)))
-    return Plan(bits, count, int(64 * -(-bits * count // 64) * bit_share(similarity - slack)))
+    count = BITS // bits
+    while unproposed(Plan(bits, count), bit_share(similarity), bit_limit(similarity)) > missed:
+        count += max(1, count // 32)
+    return Plan(bits, count)
 
 
 def wide_fingerprint(hashes: np.ndarray, words: int) -> np.ndarray:
@@ -210,9 +231,9 @@ def wide_fingerprint(hashes: np.ndarray, words: int) -> np.ndarray:
     return np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")
 
 
-def _wide_groups(shape: Plan):
+def _wide_groups(limit: int):
     def linked(nodes: np.ndarray, values: np.ndarray) -> pa.RecordBatch | None:
-        left, right = wide_forest(values, shape.distance)
+        left, right = wide_forest(values, limit)
         return pa.RecordBatch.from_arrays([pa.array(nodes[left]), pa.array(nodes[right])], names=["a", "b"]) if len(left) else None
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +243,7 @@ def _wide_groups(shape: Plan):
             if not batch.num_rows:
                 continue
             choice, part, node = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            fp = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u8").reshape(-1, shape.words)
+            fp = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u8").reshape(-1, BITS // 64)
             edges = [0, *(np.flatnonzero((np.diff(choice) != 0) | (np.diff(part) != 0)) + 1).tolist(), batch.num_rows]
             for s, e in zip(edges, edges[1:], strict=False):
                 key = (int(choice[s]), int(part[s]))
@@ -325,29 +346,30 @@ def _verified(width: int, similarity: float):
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, component_id: documents linked by having `similarity` of their shingles in common (Jaccard of the sets).
 
-    Long fingerprints of the shingle sets, cut into the blocks of `plan`, only propose: texts that share a block and are
-    near in all bits. What the proposals join is a loose group, and within it each pair is decided by the shingles
+    Long fingerprints of the shingle sets, filed by the choices of `plan`, only propose: texts that agree in a choice and
+    differ in at most `bit_limit` of BITS bits. The number of rows sets the choices alone, and so the one thing that may differ
+    with it is which one in 2,000 of the pairs at `similarity` is not proposed. What the proposals join is a loose group, and within it each pair is decided by the shingles
     themselves, never by the bits. A loose group of more than GROUP sets is compared block by block, so one task has
     the texts of one block. Texts with the same shingles are one node; those without a word are one component.
     Rows, nulls and skew are treated as by `near_fingerprints`; one text for each node that has a proposal is shuffled.
     """
     shape = plan(docs.count(), similarity)
-    words = shape.words
+    places = shape.places
 
     def marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 256):
             sets = [np.unique(shingle_hashes(words_of(t.as_py()), width)) for t in batch.column(2)]
             node = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
-            made = [wide_fingerprint(x, words).tobytes() for x in sets]
+            made = [wide_fingerprint(x, BITS // 64).tobytes() for x in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(made, pa.binary())],
                                              names=["doc_id", "text_hash", "node", "fp"])
 
     def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = np.int64(1) << np.arange(shape.bits, dtype=np.int64)
-        for batch in pieces(batches, 1024):
+        for batch in pieces(batches, 256):
             raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            bits = np.unpackbits(raw, axis=1, bitorder="little")[:, :shape.bits * shape.count]
-            part = bits.reshape(batch.num_rows, shape.count, shape.bits).astype(np.int64) @ powers
+            bits = np.unpackbits(raw, axis=1, bitorder="little")
+            part = bits[:, places].astype(np.int64) @ powers
             rows = pa.array(np.repeat(np.arange(batch.num_rows), shape.count))
             choice = np.tile(np.arange(shape.count, dtype=np.int32), batch.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(choice), pa.array(part.ravel()), batch.column(0).take(rows), batch.column(1).take(rows)],
@@ -358,7 +380,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, id
     marked = cut(read.mapInArrow(marks, "doc_id bigint, text_hash bigint, node bigint, fp binary"))
     distinct = cut(marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp")))
     dealt = distinct.select("node", "fp").mapInArrow(keyed, in_block)
-    proposed = dealt.repartition("choice", "part").sortWithinPartitions("choice", "part").mapInArrow(_wide_groups(shape), pair)
+    proposed = dealt.repartition("choice", "part").sortWithinPartitions("choice", "part").mapInArrow(_wide_groups(bit_limit(similarity)), pair)
     loose = components(proposed.distinct()).select("node", F.col("root").alias("loose"))
     loose = cut(loose.union(loose.select("loose", "loose")).distinct())
     sizes = loose.groupBy("loose").agg(F.count(F.lit(1)).alias("n"))

@@ -136,3 +136,21 @@ def test_exact_forest_joins_what_all_links_join():
         root = [new if r == old else r for r in root]
     assert root == want and len(left) == len(sets) - len(set(want)) and 30 < len(set(want)) < 150
     assert [len(x) for x in S.exact_forest([], 0.8)] == [0, 0]
+
+
+def test_row_count_changes_no_bits_and_no_limit(spark, monkeypatch):
+    for rows in (0, 1, 10**5, 10**6, 10**7, 10**9):
+        shape = S.plan(rows, 0.8)
+        assert shape.places.shape == (shape.count, shape.bits) and shape.places.max() < S.BITS
+        assert all(len(set(p)) == shape.bits for p in shape.places.tolist())
+        assert S.unproposed(shape, S.bit_share(0.8), S.bit_limit(0.8)) <= 0.0005
+    rng, texts = random.Random(9), []
+    for k in range(100):
+        base = prose(rng, 124, 10**6)
+        texts += [base, spoiled(base, rng, 7 + k % 15)]
+    docs, given = documents(spark, texts), S.plan
+    found = []
+    for rows in (200, 10**7):
+        monkeypatch.setattr(S, "plan", lambda _, similarity, rows=rows: given(rows, similarity))
+        found.append(sorted(tuple(r) for r in S.near_duplicates(docs).collect()))
+    assert found[0] == found[1]
