@@ -155,7 +155,8 @@ class Block:
                 found.append((rows + q.start, columns + d.start, scores[rows, columns].astype(np.int64)))
                 if scores.shape[1] > k and len(rows):
                     others = np.where(own, scores.min(), scores)
-                    kth[a] = np.maximum(kth[a], np.partition(others, -k, axis=1)[:, -k].astype(float))
+                    raised = np.maximum(kth[a], np.partition(others, -k, axis=1)[:, -k].astype(float))
+                    kth[a] = np.where((~own).sum(axis=1) >= k, raised, kth[a])  # a query may have several own rows
         none = np.empty(0, np.int64)
         row, column, score = (np.concatenate([f[n] for f in found]) if found else none for n in range(3))
         keep = score >= kth[row]
@@ -246,14 +247,17 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0,
 
     Vectors that are null, or hold null or non-finite components, and rows without id take no part. Shorter vectors have
     zeros behind; a vector without components is zero. Repeated rows are candidates each; equal queries count once. Of
-    equal vectors the k + 1 with the smallest ids are indexed, which are all that any query can ask for, so a vector that
-    a third of all rows hold is no hot block. Fewer than k others give fewer rows; an empty table gives an empty table.
+    equal vectors the k + 1 smallest ids are indexed, each with at most k rows, which are all that any query can ask for
+    (it leaves out all rows of its own id), so a vector that a third of all rows hold is no hot block. Fewer than k others give fewer rows; an empty table gives an empty table.
     Scores beyond a long are its nearest end. Results of blocks, at most k each and not below a kth score that the query
     has already, are ranked by a window over the query.
     """
     same = Window.partitionBy("v").orderBy("vec_id")
     given = cut(scaled(vectors, scale, id, vector))
-    rows = given.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1).drop("n")
+    repeats = given.groupBy("v", "vec_id").agg(F.count(F.lit(1)).alias("rows"))
+    wanted_ids = repeats.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1)
+    copies = F.explode(F.sequence(F.lit(1), F.least("rows", F.lit(k)).cast("int")))
+    rows = wanted_ids.select("vec_id", "v", copies.alias("n")).drop("n")
     by_hash = given.select("v", F.xxhash64("v").alias("h")).distinct().orderBy("h", "v").limit(PIVOTS).collect()
     spread = given.orderBy(F.xxhash64("v", "vec_id"), "vec_id").limit(SAMPLE).collect()
     width = max([len(r["v"]) for r in [*by_hash, *spread]], default=0)

@@ -55,3 +55,20 @@ def test_products_beyond_a_double():
     assert K.products(a, a)[0, 0] == (1 << 63) - 1
     b = np.array([[(1 << 30) + 1, 1]], np.int64)
     assert K.products(b, b)[0, 0] == ((1 << 30) + 1) ** 2 + 1
+
+
+@pytest.mark.parametrize("repeats", [2, 6, 21])
+def test_repeated_query_id_beside_equal_vectors(spark, monkeypatch, repeats):
+    monkeypatch.setattr(K, "LEAF", 4)
+    rows = [(0, [2.0, 1.0])] * repeats + [(i, [2.0, 1.0]) for i in range(1, 31)] + [(100 + i, [1.0, i / 64]) for i in range(40)] + [(7, [2.0, 1.0])] * 9
+    assert run(spark, rows, 5, 10) == plain_top(rows, 5, 10)
+    few = rows[:repeats + 3] + rows[-49:-9]  # fewer than k others are equal
+    assert run(spark, few, 5, 10) == plain_top(few, 5, 10)
+
+
+def test_own_rows_raise_no_bound(monkeypatch):
+    monkeypatch.setattr(K, "LEAF", 6)
+    ids = np.array([0, 0, 1, 2, 3, 4, *range(10, 20)])
+    vectors = np.array([[9, 0]] * 6 + [[5, i] for i in range(10)])
+    _, near, score = K.Block(ids, vectors).search(np.array([0]), np.array([[9, 0]]), np.array([-1 << 62]), 5)
+    assert near.tolist() == [1, 2, 3, 4, 10] and score.tolist() == [81] * 4 + [45]
