@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -86,12 +85,18 @@ def plain(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def local_path(uri: str) -> str | None:
-    """The path of a `file:` address or of a plain path, None for other stores."""
-    if uri.startswith("file:"):
-        rest = uri[5:]
-        return "/" + rest.lstrip("/")
-    return uri if os.path.isabs(uri) else None
+def fresh(columns: Iterable[str], name: str) -> str:
+    """A column name that none of `columns` has, in whatever case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_hashes(docs: DataFrame) -> tuple[Column, Column]:
+    """Two hashes of a whole row, 128 bits together; columns that hold maps do not count."""
+    columns = [plain(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(F.lit(1), *columns), F.xxhash64(F.lit(2), *columns)
 
 
 def rows_where(docs: DataFrame, text: str, masks: Callable[[Iterable[pa.Array]], Iterator[pa.Array]]) -> DataFrame:

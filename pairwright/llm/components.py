@@ -26,9 +26,9 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the links (a, b) that reaches a smaller one; root is the smallest. The rest are roots.
 
     Each pass is two aggregations that combine before their shuffle and two plain joins with one row per node on one
-    side; each result is written. The passes end when the links stay the same; a check of two sums and a count tells.
+    side; the links and each result are written. The passes end when the links stay the same; a check of two sums and a count tells.
     """
-    state = cut(_small(links.where("a <> b").select("a", "b").distinct()))
+    state = cut(_small(cut(links.where("a <> b").select("a", "b").distinct())))
     mark = None
     while True:
         now = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

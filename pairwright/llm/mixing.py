@@ -14,20 +14,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from pairwright.llm.common import WORD, cut, plain, running_start
+from pairwright.llm.common import WORD, cut, fresh, plain, row_hashes, running_start
 
 #: Sizes up to this are rounded after the larger ones and take up their rest; a source has so many entries at most.
 SMALL = 1024
 #: Documents of one source and size are dealt to so many groups before they are ranked.
 GROUPS = 256
-_STEPS = 60
+#: Copies of one row that are written out by one task.
+PILE = 100_000
 
 
-def sized(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """(doc_id, source, size): the number of words, zero for a null text."""
+def sized(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text", *more: Column) -> DataFrame:
+    """(doc_id, source, size) and `more`: the number of words, zero for a null text."""
     return docs.select(
         plain(id).alias("doc_id"), plain(source).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(plain(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.coalesce(F.regexp_count(plain(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *more,
     )
 
 
@@ -72,7 +73,8 @@ def solve(cells: DataFrame, wanted: DataFrame, most: int) -> DataFrame:
     """(key, target, source_size, multiplier, scale, full): the multiplier of each source, by Newton steps.
 
     A step is one aggregation of the cells (key, size, count) by source, combined before its shuffle, and its result is
-    written. A source stops when its tokens are within half a word or a millionth of the target.
+    written. A source stops when its tokens are within half a word or a millionth of the target, or when its bracket,
+    which every step that is no Newton step halves, has no number left inside; steps go on until all sources have stopped.
     """
     documents = cells.where("size > 0").groupBy("key").agg(F.sum("count").alias("documents"))
     state = cut(
@@ -83,9 +85,7 @@ def solve(cells: DataFrame, wanted: DataFrame, most: int) -> DataFrame:
                 F.lit(1e6).alias("high"), (F.col("full") | (F.col("source_size") == 0)).alias("solved"))
     )
     rate = _rate(most)
-    for _ in range(_STEPS):
-        if not state.where("not solved").limit(1).count():
-            break
+    while state.where("not solved").limit(1).count():
         sums = (
             cells.join(state.where("not solved"), "key").withColumn("rate", rate)
             .groupBy("key").agg(
@@ -95,6 +95,7 @@ def solve(cells: DataFrame, wanted: DataFrame, most: int) -> DataFrame:
         )
         over = F.col("tokens") > F.col("target")
         near = F.abs(F.col("tokens") - F.col("target")) <= F.greatest(F.lit(0.5), F.col("target") * 1e-6)
+        near = near | (F.col("high") - F.col("low") <= 1e-14 * F.greatest(F.abs("high"), F.abs("low")))
         low = F.when(over, F.col("low")).otherwise(F.col("multiplier"))
         high = F.when(over, F.col("multiplier")).otherwise(F.col("high"))
         newton = F.col("multiplier") + (F.col("target") - F.col("tokens")) / F.col("slope")
@@ -162,8 +163,14 @@ def mix(docs: DataFrame, most: int = 3, weights: tuple[float, ...] = (1, 2, 3),
     gives an empty table, and further columns are ignored. One source or size may hold most rows: documents are ranked
     within GROUPS groups of a source and size, and the groups get their shares from their counts.
     """
-    rows = cut(sized(docs, id, source, text).withColumn("key", _key())
-               .withColumn("group", F.pmod(F.xxhash64("doc_id"), F.lit(GROUPS)).cast("int")))
+    return _mix(sized(docs, id, source, text), most, weights)
+
+
+def _mix(sizes: DataFrame, most: int, weights: tuple[float, ...]) -> DataFrame:
+    """`mix` of a table of (doc_id, source, size); further columns stay."""
+    more = [c for c in sizes.columns if c not in ("doc_id", "source", "size")]
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64(*more) if more else F.lit(0)).otherwise(F.xxhash64("doc_id"))
+    rows = cut(sizes.withColumn("key", _key()).withColumn("group", F.pmod(spread, F.lit(GROUPS)).cast("int")))
     grouped = cut(rows.groupBy("key", "size", "group").agg(F.count(F.lit(1)).alias("n")))
     cells = cut(grouped.groupBy("key", "size").agg(F.sum("n").alias("count")))
     wanted = cut(targets(cells.groupBy("key").agg(F.sum(F.col("size") * F.col("count")).alias("source_size")), most, weights))
@@ -180,29 +187,31 @@ def mix(docs: DataFrame, most: int = 3, weights: tuple[float, ...] = (1, 2, 3),
         .join(wanted.select("key", "source_size", "target"), "key")
         .select("key", "size", "group", "base", "in_group", "source_size", "target")
     )
-    rank = F.row_number().over(Window.partitionBy("key", "size", "group").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("key", "size", "group").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", *more))
     return (
         rows.withColumn("rank", rank).join(shares, ["key", "size", "group"])
         .withColumn("copies", (F.col("base") + F.when(F.col("rank") <= F.col("in_group"), 1).otherwise(0)).cast("long"))
-        .select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *more)
     )
 
 
 def mixed_rows(docs: DataFrame, most: int = 3, weights: tuple[float, ...] = (1, 2, 3), id: str = "doc_id", source: str = "source",
                text: str = "text") -> DataFrame:
-    """The rows of `docs`, each as often as the mix takes it. Of rows with one id, each gets the copies of one of them."""
-    order = lambda *last: Window.partitionBy("_id").orderBy("_source", "_size", *last)
-    copies = (
-        mix(docs, most, weights, id, source, text)
-        .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-        .withColumn("_n", F.row_number().over(order("_copies"))).select("_id", "_n", "_copies")
-    )
-    numbered = (
-        docs.withColumn("_id", plain(id)).withColumn("_source", plain(source).cast("string"))
-        .withColumn("_size", F.coalesce(F.regexp_count(plain(text), F.lit(WORD)), F.lit(0)).cast("long"))
-        .withColumn("_n", F.row_number().over(order(plain(text))))
-    )
-    joined = numbered.alias("d").join(
-        copies.alias("c"), F.col("d._id").eqNullSafe(F.col("c._id")) & (F.col("d._n") == F.col("c._n")))
-    each = F.sequence(F.lit(1).cast("long"), F.col("c._copies"))
-    return joined.where("c._copies > 0").withColumn("_copy", F.explode(each)).select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    """The rows of `docs`, each as often as `mix` takes it, all columns as they are.
+
+    Rows go by hashes of all their columns (maps aside), not by their id: rows that share an id, null ones too, each have
+    copies of their own, and rows equal in every column come together as often as they are taken together. Null and empty
+    texts stay once; an empty table stays empty; column names may clash with none used here. Only (hashes, id, source,
+    size) are ranked; texts pass one shuffle, repeats merged before it, and many copies of a row are written out in piles.
+    """
+    first, second = row_hashes(docs)
+    sizes = sized(docs, id, source, text, first.alias("first"), second.alias("second"))
+    taken = _mix(sizes, most, weights).groupBy("first", "second").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    piles = taken.withColumn("pile", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {PILE}"))))
+    wanted = cut(piles.select("first", "second", F.least(F.col("copies") - F.col("pile") * PILE, F.lit(PILE)).cast("int").alias("copies")))
+    columns = docs.columns
+    at, other, copy = (fresh(columns, c) for c in ("_first", "_second", "_copy"))
+    hashed = docs.withColumns({at: first, other: second}).dropDuplicates([at, other])
+    joined = hashed.join(wanted, (hashed[at] == wanted["first"]) & (hashed[other] == wanted["second"]))
+    each = F.explode(F.sequence(F.lit(1), wanted["copies"])).alias(copy)
+    return joined.select(*[hashed[f"`{c}`"] for c in columns], each).drop(copy)

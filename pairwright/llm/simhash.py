@@ -2,33 +2,26 @@
 
 Fingerprints are split into blocks. Two that differ in at most `distance` bits agree in all but `distance` blocks, so
 they agree in at least one choice of `blocks - distance` blocks; each choice is a key. The fingerprints of one key are
-compared within a task, and only a spanning forest of the links leaves it. `near_fingerprints` does this for 64 bits and a
-few differing ones, without missing a link; `near_duplicates` for a share of common shingles: longer fingerprints propose
-pairs, and the shingles of the texts decide them.
+compared within a task, and only a spanning forest of the links leaves it, so no link is missed and no pair of a group is
+written out. Components of the links are the groups of near copies.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 from itertools import combinations
-from math import lgamma
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pairwright.llm.common import cut, mixed, pieces, plain, words_of
+from pairwright.llm.common import cut, fresh, pieces, plain, row_hashes, words_of
 from pairwright.llm.components import components
 
 #: The hash and its seed are those of the query contract.
 SEED = 42
 _CHUNK = 1 << 14
-#: Distinct texts of a loose group up to which it is compared as a whole.
-GROUP = 256
-#: Bits of a long fingerprint, the same for all inputs.
-BITS = 512
 
 
 def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
@@ -86,23 +79,25 @@ def choose_blocks(rows: int, distance: int) -> int:
 
 
 def forest(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links among distinct values: each value found is linked to the one that found it.
+    """A spanning forest of the links among distinct values: each value found hangs on the smallest of its tree.
 
     A search in width: a value leaves the rest when it is found, and a search ends when no rest is left, so a dense
-    group of n costs about n comparisons times the few steps to its rim, not n squared.
+    group of n costs about n comparisons times the few steps to its rim, not n squared. A group that several keys find
+    whole gives the same links each time.
     """
-    rest = np.arange(len(values))
+    rest = np.argsort(values)
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     while len(rest) > 1:
-        queue, rest = [int(rest[0])], rest[1:]
+        root, rest = int(rest[0]), rest[1:]
+        queue = [root]
         while queue and len(rest):
             at = queue.pop()
             near = np.bitwise_count(values[rest] ^ values[at]) <= distance
             if near.any():
                 found = rest[near]
                 rest = rest[~near]
-                left.append(np.full(len(found), at))
+                left.append(np.full(len(found), root))
                 right.append(found)
                 queue.extend(found.tolist())
     none = np.empty(0, np.int64)
@@ -157,6 +152,12 @@ def near_links(distinct: DataFrame, distance: int, blocks: int) -> DataFrame:
     return dealt.select("fp", "choice", "part").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def _classes(distinct: DataFrame, distance: int, blocks: int | None) -> DataFrame:
+    """The rows of `distinct`, one for each `fp`, with `root`, which names their component."""
+    roots = components(near_links(distinct, distance, blocks or choose_blocks(distinct.count(), distance)))
+    return distinct.join(roots, distinct.fp == roots.node, "left").select(*distinct.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_fingerprints(docs: DataFrame, width: int = 4, distance: int = 4, id: str = "doc_id", text: str = "text",
                       blocks: int | None = None) -> DataFrame:
     """doc_id, fp, component_id: the smallest id reachable over links of at most `distance` bits, itself included.
@@ -168,239 +169,30 @@ def near_fingerprints(docs: DataFrame, width: int = 4, distance: int = 4, id: st
     fingerprints, links and roots are shuffled, never texts.
     """
     marked = cut(fingerprints(docs.select(plain(id).alias("doc_id"), plain(text).alias("text")), width))
-    distinct = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    chosen = blocks or choose_blocks(distinct.count(), distance)
-    roots = components(near_links(distinct, distance, chosen))
-    classes = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    classes = _classes(cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id"))), distance, blocks)
     least = classes.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_fp = cut(classes.join(least, "root").select("fp", "component_id"))
     return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def bit_share(similarity: float) -> float:
-    """The share of bits in which two texts differ that have this share of their shingles in common (Jaccard)."""
-    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-
-
-@dataclass(frozen=True)
-class Plan:
-    """How fingerprints of BITS bits are filed: under `count` choices of `bits` places. It changes what is compared, not what counts as near."""
-
-    bits: int
-    count: int
-
-    @property
-    def places(self) -> np.ndarray:
-        """The places of each choice, the same for the same plan: whole shuffles of all places are dealt out in turn."""
-        rng = np.random.default_rng(SEED)
-        each = BITS // self.bits
-        return np.concatenate([rng.permutation(BITS)[:each * self.bits].reshape(each, self.bits) for _ in range(-(-self.count // each))])[:self.count]
-
-
-def bit_limit(similarity: float, slack: float = 0.25) -> int:
-    """The differing bits up to which a pair is proposed: those expected at `similarity - slack`, since the bits of a pair scatter."""
-    return int(BITS * bit_share(max(0.0, similarity - slack)))
-
-
-def unproposed(shape: Plan, share: float, limit: int) -> float:
-    """The part of pairs whose bits differ with probability `share` that agree in no choice or differ in more than `limit` bits."""
-    differ = np.arange(BITS + 1)
-    ways = np.array([lgamma(BITS + 1) - lgamma(d + 1) - lgamma(BITS - d + 1) for d in differ])
-    found = np.exp(ways + differ * np.log(share) + (BITS - differ) * np.log(1 - share))
-    agree = np.prod([np.maximum(BITS - differ - k, 0) / (BITS - k) for k in range(shape.bits)], axis=0)
-    return float((found * np.where(differ > limit, 1.0, (1 - agree) ** shape.count)).sum())
-
-
-def plan(rows: int, similarity: float, missed: float = 0.0005) -> Plan:
-    """Choices of so many places that few unlike texts agree in one, and so many choices that at most `missed` of the pairs
-    at `similarity` are not proposed; nearer pairs are missed more rarely."""
-    bits = int(min(32, max(12, np.ceil(np.log2(max(rows, 2))) - 5)))
-    count = BITS // bits
-    while unproposed(Plan(bits, count), bit_share(similarity), bit_limit(similarity)) > missed:
-        count += max(1, count // 32)
-    return Plan(bits, count)
-
-
-def wide_fingerprint(hashes: np.ndarray, words: int) -> np.ndarray:
-    """Bits of as many words, each word from another hash of the shingles; zeros without shingles."""
-    counts = np.zeros(64 * words, np.int64)
-    salts = np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for start in range(0, len(hashes), 4096):
-        part = mixed(hashes[start:start + 4096, None] + salts[None, :])
-        counts += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
-    return np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")
-
-
-def _wide_groups(limit: int):
-    def linked(nodes: np.ndarray, values: np.ndarray) -> pa.RecordBatch | None:
-        left, right = wide_forest(values, limit)
-        return pa.RecordBatch.from_arrays([pa.array(nodes[left]), pa.array(nodes[right])], names=["a", "b"]) if len(left) else None
+def keep_one(docs: DataFrame, width: int = 4, distance: int = 4, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component of `near_fingerprints`, all columns as they are: the one with the smallest id.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted by block: fingerprints that agree in it are compared."""
-        last, nodes, values = None, [], []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            choice, part, node = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            fp = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u8").reshape(-1, BITS // 64)
-            edges = [0, *(np.flatnonzero((np.diff(choice) != 0) | (np.diff(part) != 0)) + 1).tolist(), batch.num_rows]
-            for s, e in zip(edges, edges[1:], strict=False):
-                key = (int(choice[s]), int(part[s]))
-                if key != last:
-                    if sum(map(len, nodes)) > 1 and (m := linked(np.concatenate(nodes), np.concatenate(values))) is not None:
-                        yield m
-                    last, nodes, values = key, [], []
-                nodes.append(node[s:e].copy())
-                values.append(fp[s:e].copy())
-        if sum(map(len, nodes)) > 1 and (m := linked(np.concatenate(nodes), np.concatenate(values))) is not None:
-            yield m
-
-    return run
-
-
-def _apart(values: np.ndarray, value: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(values ^ value).sum(axis=-1, dtype=np.int32)
-
-
-def wide_forest(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """As `forest`, for fingerprints of several words: small groups are compared at once, most of which have no link."""
-    n = len(values)
-    none = np.empty(0, np.int64)
-    if n <= 256:
-        near = _apart(values[:, None, :], values[None, :, :]) <= distance
-        if near.sum() == n:
-            return none, none
-    left, right, rest = [], [], np.arange(n)
-    while len(rest) > 1:
-        queue, rest = [int(rest[0])], rest[1:]
-        while queue and len(rest):
-            at = queue.pop()
-            close = near[at, rest] if n <= 256 else _apart(values[rest], values[at]) <= distance
-            if close.any():
-                found = rest[close]
-                rest = rest[~close]
-                left.append(np.full(len(found), at))
-                right.append(found)
-                queue.extend(found.tolist())
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
-
-
-def exact_forest(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """As `forest`, for sets without repeats, none of them empty: links are the pairs with a Jaccard similarity that is reached."""
-    none = np.empty(0, np.int64)
-    sizes = np.array([len(x) for x in sets], np.int64)
-    values, codes = np.unique(np.concatenate(sets), return_inverse=True) if sets else (none, none)
-    own = np.split(codes, np.cumsum(sizes)[:-1])
-    mark = np.zeros(len(values), bool)
-    left, right, rest = [], [], np.arange(len(sets))
-    flat, starts = codes, np.cumsum(sizes) - sizes
-
-    def leave(stay: np.ndarray) -> None:
-        nonlocal flat, starts, rest
-        flat, rest = flat[np.repeat(stay, sizes[rest])], rest[stay]
-        starts = np.cumsum(sizes[rest]) - sizes[rest]
-
-    while len(rest) > 1:
-        queue = [int(rest[0])]
-        leave(np.arange(len(rest)) > 0)
-        while queue and len(rest):
-            at = queue.pop()
-            mark[own[at]] = True
-            common = np.add.reduceat(mark[flat], starts, dtype=np.int64)
-            mark[own[at]] = False
-            close = common / (sizes[rest] + sizes[at] - common) >= similarity
-            if close.any():
-                found = rest[close]
-                leave(~close)
-                left.append(np.full(len(found), at))
-                right.append(found)
-                queue.extend(found.tolist())
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
-
-
-def _verified(width: int, similarity: float):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted by group: the shingles of its texts are compared, and a forest of the links leaves it."""
-        last, nodes, sets = None, [], []
-
-        def linked() -> Iterator[pa.RecordBatch]:
-            left, right = exact_forest(sets, similarity)
-            if len(left):
-                found = np.array(nodes, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(found[left]), pa.array(found[right])], names=["a", "b"])
-
-        for batch in pieces(batches, 256):
-            for *key, node, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != last:
-                    yield from linked()
-                    last, nodes, sets = key, [], []
-                if len(shingles := np.unique(shingle_hashes(words_of(text), width))):
-                    nodes.append(node)
-                    sets.append(shingles)
-        yield from linked()
-
-    return run
-
-
-def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, component_id: documents linked by having `similarity` of their shingles in common (Jaccard of the sets).
-
-    Long fingerprints of the shingle sets, filed by the choices of `plan`, only propose: texts that agree in a choice and
-    differ in at most `bit_limit` of BITS bits. The number of rows sets the choices alone, and so the one thing that may differ
-    with it is which one in 2,000 of the pairs at `similarity` is not proposed. What the proposals join is a loose group, and within it each pair is decided by the shingles
-    themselves, never by the bits. A loose group of more than GROUP sets is compared block by block, so one task has
-    the texts of one block. Texts with the same shingles are one node; those without a word are one component.
-    Rows, nulls and skew are treated as by `near_fingerprints`; one text for each node that has a proposal is shuffled.
+    Rows are told apart by hashes of all their columns (maps aside), not by their id: of several rows with the smallest
+    id, or of several without any id where there is no other, the one with the smallest hashes stays, the same on a
+    rerun; of rows equal in every column one stays. Rows whose texts are null, empty or without a word are one
+    component. An empty table stays empty; column names may clash with none used here. Texts pass one shuffle, by hash,
+    repeats merged before it.
     """
-    shape = plan(docs.count(), similarity)
-    places = shape.places
-
-    def marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 256):
-            sets = [np.unique(shingle_hashes(words_of(t.as_py()), width)) for t in batch.column(2)]
-            node = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
-            made = [wide_fingerprint(x, BITS // 64).tobytes() for x in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(made, pa.binary())],
-                                             names=["doc_id", "text_hash", "node", "fp"])
-
-    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = np.int64(1) << np.arange(shape.bits, dtype=np.int64)
-        for batch in pieces(batches, 256):
-            raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            bits = np.unpackbits(raw, axis=1, bitorder="little")
-            part = bits[:, places].astype(np.int64) @ powers
-            rows = pa.array(np.repeat(np.arange(batch.num_rows), shape.count))
-            choice = np.tile(np.arange(shape.count, dtype=np.int32), batch.num_rows)
-            yield pa.RecordBatch.from_arrays([pa.array(choice), pa.array(part.ravel()), batch.column(0).take(rows), batch.column(1).take(rows)],
-                                             names=["choice", "part", "node", "fp"])
-
-    in_block, pair = "choice int, part bigint, node bigint, fp binary", "a bigint, b bigint"
-    read = docs.select(plain(id).cast("long").alias("doc_id"), F.xxhash64(plain(text)).alias("text_hash"), plain(text).alias("text"))
-    marked = cut(read.mapInArrow(marks, "doc_id bigint, text_hash bigint, node bigint, fp binary"))
-    distinct = cut(marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp")))
-    dealt = distinct.select("node", "fp").mapInArrow(keyed, in_block)
-    proposed = dealt.repartition("choice", "part").sortWithinPartitions("choice", "part").mapInArrow(_wide_groups(bit_limit(similarity)), pair)
-    loose = components(proposed.distinct()).select("node", F.col("root").alias("loose"))
-    loose = cut(loose.union(loose.select("loose", "loose")).distinct())
-    sizes = loose.groupBy("loose").agg(F.count(F.lit(1)).alias("n"))
-    asked = cut(distinct.join(loose, "node").join(sizes, "loose").select("loose", "n", "node", "text_hash", "fp"))
-    texts = cut(read.select("text_hash", "text").join(asked.drop("fp"), "text_hash").dropDuplicates(["node"]))
-    small = texts.where(F.col("n") <= GROUP).select("loose", F.lit(-1).alias("choice"), F.lit(0).cast("long").alias("part"), "node", "text")
-    blocks = asked.where(F.col("n") > GROUP).select("node", "fp").mapInArrow(keyed, in_block).drop("fp")
-    large = blocks.join(texts.where(F.col("n") > GROUP), "node").select("loose", "choice", "part", "node", "text")
-    group = ["loose", "choice", "part"]
-    links = small.union(large).repartition(*group).sortWithinPartitions(*group).mapInArrow(_verified(width, similarity), pair)
-    roots = components(links.distinct())
-    classes = distinct.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
-    least = classes.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return marked.join(cut(classes.join(least, "root").select("node", "component_id")), "node").select("doc_id", "component_id")
-
-
-def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Of each component the row with its smallest id, all columns as they are. Of repeated rows one stays; a row with a
-    null id stays. Texts pass one shuffle, by id."""
-    groups = near_duplicates(docs, width, similarity, id, text)
-    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(stay, docs[f"`{id}`"] == stay["_id"], "left_semi").dropDuplicates([id])
-    return kept.union(docs.where(plain(id).isNull()))
+    first, second = row_hashes(docs)
+    named = docs.select(plain(id).isNull().alias("no_id"), plain(id).alias("doc_id"), first.alias("first"), second.alias("second"),
+                        plain(text).alias("text"))
+    order = ("no_id", "doc_id", "first", "second")
+    marked = cut(fingerprints(named, width, keep=order))
+    classes = _classes(cut(marked.groupBy("fp").agg(F.min(F.struct(*order)).alias("least"))), distance, None)
+    stay = classes.groupBy("root").agg(F.min("least").alias("least")).select("least.first", "least.second")
+    columns = docs.columns
+    at, other = fresh(columns, "_first"), fresh(columns, "_second")
+    hashed = docs.withColumns({at: first, other: second}).dropDuplicates([at, other])
+    same = (hashed[at] == stay["first"]) & (hashed[other] == stay["second"])
+    return hashed.join(stay, same, "left_semi").select(*[plain(c) for c in columns])

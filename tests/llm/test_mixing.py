@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from pairwright.llm import mixing
 from tests.llm.hostile import documents, empty, hostile_texts, prose
@@ -74,3 +75,31 @@ def test_no_python_in_the_plan(spark):
     docs = documents(spark, ["a b", "c d e"], ["x", "y"])
     plan = mixing.mix(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "InArrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_rows_that_share_an_id_and_names_used_inside(spark):
+    rng = random.Random(3)
+    names = ("_id", "_n", "_source", "_size", "_copies", "_copy", "_first", "_second", "first", "second", "more", "copies", "pile")
+    rows = [(None if k % 5 == 0 else k % 7, prose(rng, 1 + k % 40), "s" if k % 3 else None, *[k + j for j in range(len(names))]) for k in range(60)]
+    rows += rows[:4] + [(3, None, "s", *range(len(names))), (3, "", "s", *range(len(names)))]
+    extra = ", ".join(f"`{c}` int" for c in names)
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, source string, {extra}")
+    made = [tuple(r) for r in mixing.mixed_rows(docs).collect()]
+    assert set(made) <= set(rows) and {r for r in rows if not (r[1] or "").split()} <= set(made)
+    assert all(made.count(r) <= 3 * rows.count(r) for r in set(made))
+    wanted, size = defaultdict(int), lambda r: len((r[1] or "").split())
+    for r in mixing.mix(docs).collect():
+        wanted[r.source] += r.taken
+    taken = defaultdict(int)
+    for r in made:
+        taken[r[2]] += size(r)
+    assert taken == wanted
+    assert sorted(map(repr, made)) == sorted(repr(tuple(r)) for r in mixing.mixed_rows(docs.repartition(3)).collect())
+
+
+def test_many_copies_are_written_in_piles(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PILE", 7)
+    docs = documents(spark, ["a b c"] * 3, ["x"] * 3).select("text", "source", F.lit(1).cast("long").alias("doc_id"))
+    docs = docs.union(docs).union(docs)
+    rows = mixing.mixed_rows(docs).collect()
+    assert len(rows) == sum(r.copies for r in mixing.mix(docs).collect()) and {tuple(r) for r in rows} == {("a b c", "x", 1)}

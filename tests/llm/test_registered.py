@@ -81,7 +81,7 @@ def test_pipeline_stages(spark, sf_dir, texts):
     model = toxicity.train(before, toxicity.grades_of(spark.read.parquet(f"{sf_dir}/labels.parquet")))
     assert sorted(ids(after)) == sorted(ids(toxicity.score(before, model).where("not toxic")))
     before, after = out["simhash_near_dedup"]
-    assert sorted(ids(after)) == sorted(set(r.component_id for r in simhash.near_duplicates(before).collect()))
+    assert sorted(ids(after)) == sorted(set(r.component_id for r in simhash.near_fingerprints(before, width=4, distance=4).collect()))
     before, after = out["benchmark_decontamination"]
     items = {r.item_id: decontaminate.normal(r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
     bad = {r.doc_id for r in decontaminate.contaminated(before, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).collect()}
