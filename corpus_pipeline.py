@@ -26,9 +26,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shingles of five words, a similarity of 0.8; the smallest id of a group stays."""
+    """Fingerprints of four-word shingles, linked at four differing bits or fewer; the smallest id of a group stays."""
     ship_package(spark)
-    return simhash.keep_one(docs, width=5, similarity=0.8)
+    return simhash.keep_one(docs, width=4, distance=4)
 
 
 def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
