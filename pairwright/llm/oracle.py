@@ -28,4 +28,27 @@ ORACLE = {
                    + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
         FROM given GROUP BY conv_id
     """,
+    "op13_infill": r"""
+        WITH given AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+        ), units AS (
+            SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS u, ('0x' || h[1:8])::UBIGINT AS h1,
+                   ('0x' || h[9:16])::UBIGINT AS h2, ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4
+            FROM given
+        ), cuts AS (
+            SELECT *, len(u)::BIGINT AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1))::BIGINT AS a,
+                   greatest(h1 % (len(u) + 1), h2 % (len(u) + 1))::BIGINT AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                        WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM units
+        ), parts AS (
+            SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM cuts
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
 }
