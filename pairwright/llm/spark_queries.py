@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairwright.llm import chat, decontaminate, infill, mixing, multi_index, pages, repeats, secrets, simhash, tokens, topk, toxicity
+from pairwright.llm import alignment, chat, decontaminate, infill, mixing, multi_index, pages, repeats, secrets, simhash, tokens, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +65,11 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_read(spark, sf_dir, "documents"))
 
 
+def q_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(_read(spark, sf_dir, "documents"), *paths)
+
+
 def q_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(_read(spark, sf_dir, "embeddings"))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": q_topk,
     "op9_chat": q_chat,
     "op10_secrets": q_secrets,
+    "op11_alignment": q_alignment,
     "op12_nearest": q_nearest,
     "op13_infill": q_infill,
 }
