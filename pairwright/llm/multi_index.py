@@ -10,7 +10,7 @@
 3. A query probes its shells in order. What they find is checked by its full distance, and its inner product is taken.
    The radius of a query starts from its kth best score in the sample and shrinks as better ones are found.
 
-Codes are dealt over blocks of bounded size, and queries, a stated set, meet every block.
+Codes are dealt over blocks of about BLOCK rows, one task each, and queries, a stated set, meet every block.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pairwright.llm.common import cut, plain
 
 #: Vectors that the rotations are learned from and that bound the radius; rows of a block; queries probed at once.
 SAMPLE = 4_096
-BLOCK = 16_384
+BLOCK = 8_192
 BATCH = 512
 BITS = 256
 #: Shells probed before the radius is looked at again, and the spread of bits (in standard deviations) a radius allows for.
@@ -76,40 +76,44 @@ def radius_of(least: np.ndarray, norms: np.ndarray, longest: float, bits: int) -
     return np.where(np.isfinite(least) & np.isfinite(wide), np.minimum(wide, bits), bits).astype(np.int64)
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of rows in double, added in order of the components, so that equal vectors have equal scores."""
-    out = np.zeros(len(a))
+def products(a: np.ndarray, b: np.ndarray, row_a: np.ndarray | slice = slice(None), row_b: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """Inner products of columns in double, added in order of the components, so that equal vectors have equal scores."""
+    out = 0.0
     with np.errstate(all="ignore"):
-        for x, y in zip(a.T, b.T, strict=True):
-            out += x * y
+        for x, y in zip(a, b, strict=True):
+            out = out + x[row_a] * y[row_b]
     return np.where(np.isnan(out), -np.inf, out)
 
 
+def distances(a: np.ndarray, b: np.ndarray, row_a: np.ndarray, row_b: np.ndarray) -> np.ndarray:
+    """Hamming distances of columns of words."""
+    return sum(np.bitwise_count(x[row_a] ^ y[row_b]).astype(np.int16) for x, y in zip(a, b, strict=True))
+
+
 class Block:
-    """The index of one block: for each byte of the codes, the rows of each value."""
+    """The index of one block: for each byte of the codes and each of its values, the rows as a bitmap."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray):
-        self.ids, self.vectors, self.codes = ids, vectors, codes
-        self.words = codes.view(np.uint64)
-        self.order = [np.argsort(c, kind="stable") for c in codes.T]
-        self.first = [np.concatenate([[0], np.cumsum(np.bincount(c, minlength=256))]) for c in codes.T]
+        self.ids, self.vectors, self.words = ids, np.ascontiguousarray(vectors.T), np.ascontiguousarray(codes.view(np.uint64).T)
+        self.maps = [np.packbits(np.arange(256, dtype=np.uint8)[:, None] == c[None, :], axis=1) for c in codes.T]
 
     def probe(self, codes: np.ndarray, asked: np.ndarray, shell: int, hit: np.ndarray) -> None:
-        """Marks in `hit` the rows that the shell of the queries `asked` holds."""
+        """Adds to `hit` (a bitmap for each query) the rows that the shell of the queries `asked` holds."""
         apart, byte = divmod(shell, codes.shape[1])
-        own, order, first = codes[asked, byte], self.order[byte], self.first[byte]
-        for value in np.unique(own).tolist():
-            near = _NEAR[value, _FROM[apart]:_FROM[apart + 1]]
-            found = np.concatenate([order[first[b]:first[b + 1]] for b in near.tolist()])
-            if len(found):
-                hit[np.ix_(asked[own == value], found)] = True
+        values, own = np.unique(codes[asked, byte], return_inverse=True)
+        near = _NEAR[values, _FROM[apart]:_FROM[apart + 1]]
+        found = self.maps[byte][near[:, 0]]
+        for k in range(1, near.shape[1]):
+            found |= self.maps[byte][near[:, k]]
+        hit[asked] |= found[own]
 
     def search(self, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, radius: np.ndarray, k: int, longest: float
                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, row, score) of the k best found for each query, without rows of its own id, ties to the smaller id."""
         bits, n = 8 * codes.shape[1], len(self.ids)
-        words, norms, radius = codes.view(np.uint64), np.sqrt(products(vectors, vectors)), radius.copy()
-        seen = ids[:, None] == self.ids[None, :]
+        words, vectors = np.ascontiguousarray(codes.view(np.uint64).T), np.ascontiguousarray(vectors.T)
+        norms, radius = np.sqrt(products(vectors, vectors)), radius.copy()
+        seen = np.packbits(ids[:, None] == self.ids[None, :], axis=1)
         best = np.full((len(ids), k), -np.inf)
         row_of = np.full((len(ids), k), n)
         id_of = np.append(self.ids, np.iinfo(np.int64).max)
@@ -118,22 +122,20 @@ class Block:
             hit = np.zeros_like(seen)
             for t in range(shell, min(shell + STEP, bits + 1)):
                 if t == bits:  # the one code that no shell holds is the complement of the query's
-                    hit[radius >= t] = True
+                    hit[radius >= t] = 255
                 elif len(asked := np.flatnonzero(radius >= t)):
                     self.probe(codes, asked, t, hit)
             shell += STEP
             hit &= ~seen
             seen |= hit
-            q, row = np.nonzero(hit)
+            q, row = np.nonzero(np.unpackbits(hit, axis=1, count=n))
             if not len(q):
                 continue
-            near = np.concatenate([
-                np.bitwise_count(words[q[s:s + (1 << 20)]] ^ self.words[row[s:s + (1 << 20)]]).sum(axis=1, dtype=np.int64) for s in range(0, len(q), 1 << 20)
-            ]) <= radius[q]
+            near = distances(words, self.words, q, row) <= radius[q]
             q, row = q[near], row[near]
             if not len(q):
                 continue
-            score = np.concatenate([products(vectors[q[s:s + (1 << 17)]], self.vectors[row[s:s + (1 << 17)]]) for s in range(0, len(q), 1 << 17)])
+            score = products(vectors, self.vectors, q, row)
             above = score >= best[q, k - 1]  # the kth so far, or nothing
             q, row, score = q[above], row[above], score[above]
             order = np.lexsort((self.ids[row], -score, q))
@@ -192,7 +194,7 @@ def _asked(codes: Codes, width: int, sample_ids: np.ndarray, sample: np.ndarray,
                 q = matrix(part.column(1), width)
                 with np.errstate(all="ignore"):
                     scores = np.nan_to_num(q @ sample.T, nan=-np.inf)
-                    norms = np.sqrt(products(q, q))
+                    norms = np.sqrt(products(q.T, q.T))
                 scores[part.column(0).to_numpy(zero_copy_only=False)[:, None] == sample_ids[None, :]] = -np.inf
                 least = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] >= k else np.full(len(q), -np.inf)
                 made = [c.tobytes() for c in codes.of(q, queries=True)]
@@ -263,8 +265,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, bits: int = BITS,
     indexed = few.select("vec_id", "v", copies).drop("copy").mapInArrow(_coded(codes, size), "vec_id bigint, v array<double>, code binary")
     asked = given.where(F.col("vec_id") % every == 0).select("vec_id", "v").distinct()
     queries = cut(asked.mapInArrow(_asked(codes, size, sample_ids, sample, k, bits), "vec_id bigint, v array<double>, code binary, radius bigint"))
-    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = max(tasks, -(-rows // BLOCK))
+    blocks = -(-rows // BLOCK)
     none = F.lit(None).cast("bigint")
     index = cut(indexed.select(F.pmod(F.xxhash64("v", "vec_id"), F.lit(blocks)).alias("block"), F.lit(0).alias("kind"), "vec_id", "v", "code",
                                none.alias("radius"), none.alias("query_key")))
@@ -272,7 +273,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, bits: int = BITS,
     def found(queries: DataFrame, radius: Column) -> DataFrame:
         every_block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block")
         sent = queries.select(every_block, F.lit(1).alias("kind"), "vec_id", "v", "code", radius.alias("radius"), F.xxhash64("v").alias("query_key"))
-        met = index.union(sent).repartition(tasks, "block").sortWithinPartitions("block", "kind")
+        met = index.union(sent).repartitionById(blocks, F.col("block").cast("int")).sortWithinPartitions("block", "kind")
         return cut(met.mapInArrow(_search(size, k, longest), "query_id bigint, query_key bigint, vec_id bigint, score double"))
 
     key = ["query_id", "query_key"]
