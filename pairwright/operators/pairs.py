@@ -60,13 +60,22 @@ def with_context_group(df: DataFrame) -> DataFrame:
 
 
 def load_pairs(df: DataFrame, settings: LabelSettings) -> DataFrame:
-    """Checked, filtered and keyed pairs. Codes stay text in normal form; an empty code is null."""
-    rows = ensure_columns(require_columns(df, REQUIRED), OPTIONAL).select(*REQUIRED, *OPTIONAL)
+    """Checked, filtered and keyed pairs. Codes stay text in normal form; an empty code is null.
+
+    Where the first targets are asked for and the rows have an `input_order`, `target_order` is the place of the first row
+    of a code that passes the filters. With `top_n` there is none: rows then come in order of their code.
+    """
+    by_place = settings.first_targets is not None and settings.top_n is None and "input_order" in df.columns
+    place = [F.col("input_order")] if by_place else []
+    rows = ensure_columns(require_columns(df, REQUIRED), OPTIONAL).select(*REQUIRED, *OPTIONAL, *place)
     rows = keep_passed(rows)
     code = normalize_code(F.col("target_code"))
     rows = rows.withColumn("target_code", F.when(code != "", code))
     if settings.target_codes is not None:
         rows = with_codes(rows, "target_code", settings.target_codes)
+    if by_place:
+        first = rows.where("target_code IS NOT NULL").groupBy("target_code").agg(F.min("input_order").alias("target_order"))
+        rows = rows.drop("input_order")
     rows = rows.withColumns({
         "score": to_number(F.col("score")),
         "target_rank": to_number(F.col("target_rank")),
@@ -76,7 +85,8 @@ def load_pairs(df: DataFrame, settings: LabelSettings) -> DataFrame:
         rows = top_per_target(rows, settings.top_n)
     numbers = [F.round(F.col(c) * _SCALE).try_cast("decimal(38,0)") for c in ("score", "target_rank")]
     rows = with_content_key(rows, IDENTITY, "row_key", [*numbers, F.col("passed"), F.col("pass_label")])
-    return with_context_group(rows)
+    rows = with_context_group(rows)
+    return rows.join(first, "target_code", "left") if by_place else rows
 
 
 def first_targets(df: DataFrame, n: int, order: Column | None = None) -> DataFrame:

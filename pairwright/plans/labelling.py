@@ -22,8 +22,9 @@ _ORDER = ("target_code", "final_rank", "row_key")
 
 
 def open_requests(pairs: DataFrame, log: DataFrame, settings: LabelSettings) -> DataFrame:
-    """Requests for the pairs that still need a label."""
-    rows = pairs if settings.first_targets is None else first_targets(pairs, settings.first_targets)
+    """Requests for the pairs that still need a label: of the first targets by their place in the file, where it is known."""
+    order = F.col("target_order") if "target_order" in pairs.columns else None
+    rows = pairs if settings.first_targets is None else first_targets(pairs, settings.first_targets, order)
     rows = cut(pending(rows, log, settings))
     return build_requests(assign_batches(rows, settings), target_headers(rows), settings)
 
@@ -81,7 +82,7 @@ def run_labelling(selected: DataFrame, settings: LabelSettings, out: str,
     log_left_over(spark, settings, out)
     run_seq = next_run_seq(read_log(spark, log_path))
     requests = write_requests(selected, settings, out)
-    pairs = spark.read.parquet(f"{out}/pairs")
+    pairs = spark.read.parquet(f"{out}/pairs").drop("target_order")
     slices = max(1, -(-requests.count() // settings.batches_per_commit))
     for k in range(slices):
         part = requests.where(F.pmod(F.xxhash64(*BATCH), F.lit(slices)) == k)

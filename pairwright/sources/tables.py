@@ -10,47 +10,62 @@ from pyspark.sql import functions as F
 
 from pairwright.functions.codes import with_codes
 from pairwright.functions.text import blank_missing
+from pairwright.operators.numbering import with_file_position
 from pairwright.settings import MISSING_TOKENS
 from pairwright.sources.names import ALL_HEADERS, CANDIDATE_HEADERS, LABEL_HEADERS, TARGET_HEADERS
+from pairwright.sources.split_csv import records
 
 LOG_SCHEMA = ("row_key string, label_category string, label_relation string, label_keep boolean, "
               "label_priority int, label_reason string, label_status string, label_error string, run_seq bigint")
 
 
-def read_csv(spark: SparkSession, path: str, headers: dict[str, str], tokens: Iterable[str] = MISSING_TOKENS,
-             multi_line: bool = True) -> DataFrame:
-    """A CSV file with a header: all columns as text, known headers renamed, missing tokens blanked.
+_CSV = {"quote": '"', "escape": '"'}
 
-    Cells may hold line breaks; such a file is read by one task, and `input_order` grows with the position in it. With
-    `multi_line=False` files are split over tasks, and there is no `input_order`: ids then come from the content, so they
-    do not depend on the splits.
-    """
-    raw = (spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
-           .option("inferSchema", False).csv(path))
-    columns = [blank_missing(F.coalesce(F.col(f"`{c}`"), F.lit("")), tuple(tokens)).alias(headers.get(c, c))
-               for c in raw.columns]
-    return raw.select(*columns, *([F.monotonically_increasing_id().alias("input_order")] if multi_line else []))
 
+def read_csv(spark: SparkSession, path: str, headers: dict[str, str], tokens: Iterable[str] = MISSING_TOKENS,
+             multi_line: bool = True, split: bool = True) -> DataFrame:
+    """CSV files with a header: all columns as text, known headers renamed, missing tokens blanked, and `input_order`.
 
-def _read_inputs(spark: SparkSession, path: str, fmt: str, headers: dict[str, str], multi_line: bool) -> DataFrame:
+    Cells may hold line breaks. Files are read by byte ranges in parallel all the same, and `input_order` counts the
+    records of all files, the same for any ranges. `split=False` reads each file in one task, for files whose quotes do not
+    follow RFC 4180. With `multi_line=False` no cell may hold a line break, and there is no `input_order`.
+    """
+    reader = spark.read.option("header", True).options(**_CSV).option("multiLine", multi_line).option("inferSchema", False)
+    raw = reader.csv(path)
+    names = raw.columns
+    if multi_line and split:
+        schema = ", ".join(f"c{k} string" for k in range(len(names)))
+        cells = F.from_csv("record", schema, {**_CSV, "multiLine": "true"}).alias("cells")
+        rows = records(spark, path).select(F.col("position").alias("input_order"), cells)
+        raw = rows.select(*[F.col(f"cells.c{k}").alias(c) for k, c in enumerate(names)], "input_order")
+    elif multi_line:
+        raw = raw.withColumn("input_order", F.monotonically_increasing_id())
+    columns = [blank_missing(F.coalesce(F.col(f"`{c}`"), F.lit("")), tuple(tokens)).alias(headers.get(c, c)) for c in names]
+    return raw.select(*columns, *(["input_order"] if multi_line else []))
+
+
+def _read_inputs(spark: SparkSession, path: str, fmt: str, headers: dict[str, str], multi_line: bool, split: bool) -> DataFrame:
     if fmt == "csv":
-        return read_csv(spark, path, headers, multi_line=multi_line)
+        return read_csv(spark, path, headers, multi_line=multi_line, split=split)
     raw = spark.read.parquet(path)
     return raw.select(*[F.col(f"`{c}`").alias(headers.get(c, c)) for c in raw.columns])
 
 
-def read_targets(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
+def read_targets(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True, split: bool = True) -> DataFrame:
     """The target file, as CSV or as Parquet with either set of names."""
-    return _read_inputs(spark, path, fmt, TARGET_HEADERS, multi_line)
+    return _read_inputs(spark, path, fmt, TARGET_HEADERS, multi_line, split)
 
 
-def read_candidates(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
-    return _read_inputs(spark, path, fmt, CANDIDATE_HEADERS, multi_line)
+def read_candidates(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True, split: bool = True) -> DataFrame:
+    return _read_inputs(spark, path, fmt, CANDIDATE_HEADERS, multi_line, split)
 
 
-def read_selected(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Stage-one rows: Parquet between the stages, or a CSV file of them."""
-    return spark.read.parquet(path) if fmt == "parquet" else read_csv(spark, path, ALL_HEADERS)
+def read_selected(spark: SparkSession, path: str, fmt: str = "parquet", ordered: bool = False, split: bool = True) -> DataFrame:
+    """Stage-one rows: Parquet between the stages, or a CSV file of them. `ordered` adds `input_order` to Parquet rows too."""
+    if fmt != "parquet":
+        return read_csv(spark, path, ALL_HEADERS, split=split)
+    raw = spark.read.parquet(path)
+    return with_file_position(raw) if ordered else raw
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", file_headers: bool = False, order: Iterable[str] = ()) -> None:
