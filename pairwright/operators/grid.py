@@ -14,10 +14,13 @@ from math import ceil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairwright.operators.numbering import sums_before
 from pairwright.plans.lineage import cut
 from pairwright.settings import RetrievalSettings
 
 CELL = ("part", "chunk")
+#: Groups up to which one task adds up their sizes; beyond, ranges of groups do. The numbers are the same.
+_GROUPS_IN_A_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -81,11 +84,10 @@ def plan_grid(targets: DataFrame, candidates: DataFrame, settings: RetrievalSett
     n_targets = targets.count()
     width = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = max(1, min(cell_rows, ceil(row.small_rows / (3 * width))))
-    before = Window.partitionBy(hot).orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    rows_before = F.coalesce(F.sum("n").over(before), F.lit(0))
-    cells_before = F.coalesce(F.sum("salts").over(before), F.lit(0))
-    part = F.when(hot, cells_before).otherwise(F.floor(rows_before / share)).cast("int")
-    places = cut(sizes.withColumn("part", part))
+    places = _numbered(sizes.withColumns({
+        "_rows": F.when(hot, F.lit(0)).otherwise(F.col("n")), "_cells": F.when(hot, F.col("salts")).otherwise(F.lit(0))}), row.groups)
+    part = F.when(hot, F.col("_cells_before")).otherwise(F.floor(F.col("_rows_before") / share)).cast("int")
+    places = places.select(*sizes.columns, part.alias("part"))
     kept = F.sum(F.least("n", F.lit(settings.max_candidates)))
     most = places.where("salts = 1").groupBy("part").agg(kept.alias("kept")).agg(F.max("kept"), F.max("part")).first()
     chunks = lambda out: max(ceil(n_targets / cell_targets), ceil(n_targets * out / settings.cell_output), 1)
@@ -104,6 +106,15 @@ def plan_grid(targets: DataFrame, candidates: DataFrame, settings: RetrievalSett
     )
 
 
+def _numbered(sizes: DataFrame, groups: int) -> DataFrame:
+    """Adds the rows of whole groups and the cells of split ones before each group, in order of the groups."""
+    amounts = {"_rows": "_rows_before", "_cells": "_cells_before"}
+    if groups > _GROUPS_IN_A_TASK:
+        return cut(sums_before(sizes, ["group"], amounts))
+    before = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumns({name: F.coalesce(F.sum(c).over(before), F.lit(0)) for c, name in amounts.items()})
+
+
 def _places(grid: Grid, settings: RetrievalSettings, hot: bool) -> DataFrame:
     """(group, salts, part) of the split groups or of the others; broadcast only while there are few of them."""
     found = grid.places.where("salts > 1" if hot else "salts = 1").select("group", "salts", F.col("part").alias("first"))

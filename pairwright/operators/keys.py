@@ -13,15 +13,28 @@ _COPIES_PER_PILE = 100_000
 def with_content_key(df: DataFrame, identity: Sequence[str], name: str, variant: Sequence[Column] | None = None) -> DataFrame:
     """Adds a key: SHA-2 over the identity columns, the variant and the copy number.
 
-    Rows that agree in every column are interchangeable copies: they are counted (combined before the one wide shuffle)
-    and written out again with copy numbers, large numbers of them in piles spread over the tasks. Rows that agree in the
-    identity only are variants, told apart by the texts in `variant` (all other columns if none are given), so the key
+    Rows are counted by a hash of all columns, eight bytes each, combined before the shuffle. Those whose hash comes once,
+    in general nearly all, are keyed in the scan; what is told to them is the list of the repeated hashes. The rest are
+    counted by all columns, as interchangeable copies, and written out again with copy numbers, large numbers of them in
+    piles spread over the tasks. Rows that agree in the identity only are variants, told apart by the texts in `variant` (all other columns if none are given), so the key
     of a row does not depend on which other rows there are.
     """
     columns = df.columns
     rest = [F.col(c) for c in columns if c not in identity] if variant is None else list(variant)
-    rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    rows = rows.withColumns({"_identity": F.sha2(_joined(map(F.col, identity)), 256), "_variant": F.sha2(_joined(rest), 256)})
+    hashes = {"_identity": F.sha2(_joined(map(F.col, identity)), 256), "_variant": F.sha2(_joined(rest), 256)}
+    address = F.xxhash64(*columns)
+    twice = df.groupBy(address.alias("_address")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_address")
+    marked = df.withColumn("_address", address)
+    single = marked.join(twice, "_address", "left_anti").drop("_address").withColumns(hashes).withColumn("_copy", F.lit(1).cast("bigint"))
+    several = marked.join(twice, "_address", "left_semi").drop("_address")
+    rows = single.unionByName(_copies(several, hashes, columns))
+    key = F.sha2(F.concat_ws(":", "_identity", "_variant", "_copy"), 256)
+    return rows.select(*columns, key.alias(name))
+
+
+def _copies(df: DataFrame, hashes: dict[str, Column], columns: Sequence[str]) -> DataFrame:
+    """Rows that may be repeated, counted as a whole and written out again with copy numbers."""
+    rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumns(hashes)
     few, many = F.col("_copies") <= _COPIES_PER_PILE, F.col("_copies") > _COPIES_PER_PILE
     one = rows.where(few).withColumn("_pile", F.lit(0).cast("bigint"))
     piles = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {_COPIES_PER_PILE}"))
@@ -29,9 +42,7 @@ def with_content_key(df: DataFrame, identity: Sequence[str], name: str, variant:
     rows = one.unionByName(several)
     first = F.col("_pile") * _COPIES_PER_PILE + 1
     last = F.least(F.col("_copies"), (F.col("_pile") + 1) * _COPIES_PER_PILE)
-    rows = rows.withColumn("_copy", F.explode(F.sequence(first, last)))
-    key = F.sha2(F.concat_ws(":", "_identity", "_variant", "_copy"), 256)
-    return rows.select(*columns, key.alias(name))
+    return rows.withColumn("_copy", F.explode(F.sequence(first, last))).drop("_copies", "_pile")
 
 
 def _joined(columns: Iterable[Column]) -> Column:

@@ -11,6 +11,8 @@ from pairwright.settings import LabelSettings
 
 BATCH = ("target_code", "batch_no")
 _BINS = 2_048
+#: Batches of one code that meet one copy of its header.
+_BATCHES_PER_COPY = 1_000
 
 # The fields of a candidate in a request, as (field, column).
 REQUEST_FIELDS = (
@@ -92,16 +94,20 @@ def assign_batches(pending: DataFrame, settings: LabelSettings) -> DataFrame:
 
 
 def target_headers(pending: DataFrame) -> DataFrame:
-    """Name and category of a code, from its best-scored pending row."""
+    """Name and category of a code, from its best-scored pending row, and how many rows are pending."""
     place = F.struct(F.coalesce(-F.col("score"), F.lit(float("inf"))), F.col("row_key"))
     head = F.min_by(F.struct("target_name", "target_category"), place)
-    return pending.where(F.col("target_code").isNotNull()).groupBy("target_code").agg(head.alias("head")).select(
-        "target_code", "head.*")
+    return pending.where(F.col("target_code").isNotNull()).groupBy("target_code").agg(
+        head.alias("head"), F.count(F.lit(1)).alias("n_pending")).select("target_code", "head.*", "n_pending")
 
 
 def build_requests(batched: DataFrame, headers: DataFrame, settings: LabelSettings,
                    template: str = REQUEST_TEMPLATE) -> DataFrame:
-    """One row per batch: its row keys, the candidates as JSON and the request text."""
+    """One row per batch: its row keys, the candidates as JSON and the request text.
+
+    The header of a code is copied once for every so many of its batches, and batches meet the copies in turn, so a code
+    that holds a third of all rows is spread like any other.
+    """
     fields = [(F.col(c).cast(_NUMBERS[c]) if c in _NUMBERS else clean(F.col(c))).alias(name)
               for name, c in REQUEST_FIELDS]
     rows = batched.select(*BATCH, F.struct("position", "row_key", F.struct(*fields).alias("item")).alias("row"))
@@ -109,7 +115,10 @@ def build_requests(batched: DataFrame, headers: DataFrame, settings: LabelSettin
     payload = F.to_json(F.col("rows.item"), {"ignoreNullFields": "false"})
     requests = grouped.select(*BATCH, F.size("rows").cast("bigint").alias("n_rows"),
                               F.col("rows.row_key").alias("row_keys"), payload.alias("payload"))
-    requests = requests.join(headers, "target_code")
+    last = F.floor(F.col("n_pending") / (settings.batch_size * _BATCHES_PER_COPY)).cast("bigint")
+    copies = headers.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("n_pending")
+    requests = requests.withColumn("_copy", F.floor(F.col("batch_no") / _BATCHES_PER_COPY).cast("bigint"))
+    requests = requests.join(copies, ["target_code", "_copy"]).drop("_copy")
     return requests.withColumn("request", _fill_template(template, settings))
 
 

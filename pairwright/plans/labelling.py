@@ -22,11 +22,16 @@ _ORDER = ("target_code", "final_rank", "row_key")
 
 
 def open_requests(pairs: DataFrame, log: DataFrame, settings: LabelSettings) -> DataFrame:
-    """Requests for the pairs that still need a label: of the first targets by their place in the file, where it is known."""
+    """Requests for the pairs that still need a label, in slices of about `batches_per_commit`; of the first targets by
+    their place in the file, where it is known."""
     order = F.col("target_order") if "target_order" in pairs.columns else None
     rows = pairs if settings.first_targets is None else first_targets(pairs, settings.first_targets, order)
     rows = cut(pending(rows, log, settings))
-    return build_requests(assign_batches(rows, settings), target_headers(rows), settings)
+    headers = cut(target_headers(rows))
+    batches = headers.agg(F.coalesce(F.sum(F.ceil(F.col("n_pending") / settings.batch_size)), F.lit(0))).first()[0]
+    slices = max(1, -(-int(batches) // settings.batches_per_commit))
+    requests = build_requests(assign_batches(rows, settings), headers, settings)
+    return requests.withColumn("slice", F.pmod(F.xxhash64(*BATCH), F.lit(slices)).cast("int"))
 
 
 def label(pairs: DataFrame, log: DataFrame, settings: LabelSettings) -> DataFrame:
@@ -41,8 +46,9 @@ def write_requests(selected: DataFrame, settings: LabelSettings, out: str) -> Da
     write_table(load_pairs(selected, settings), f"{out}/pairs")
     pairs = selected.sparkSession.read.parquet(f"{out}/pairs")
     path = f"{out}/requests/run_seq={next_run_seq(log)}"
-    write_table(open_requests(pairs, log, settings), path)
-    return selected.sparkSession.read.parquet(path)
+    requests = open_requests(pairs, log, settings)
+    requests.repartition("slice").write.mode("overwrite").partitionBy("slice").parquet(path)
+    return selected.sparkSession.read.schema(requests.schema).parquet(path)
 
 
 def log_left_over(spark: SparkSession, settings: LabelSettings, out: str) -> None:
@@ -72,7 +78,7 @@ def run_labelling(selected: DataFrame, settings: LabelSettings, out: str,
     """Load, ask for what is pending, log, merge, rank and write under `out`.
 
     Answers come from `load_classifier` or from `replies`, which turns the requests into a reply table. They are
-    asked for, written and logged in slices of about `batches_per_commit` batches, so a run that dies loses one slice at
+    asked for, written and logged in slices of about `batches_per_commit` batches, each read from its own files, so a run that dies loses one slice at
     most, and what it wrote without logging is logged by the next run.
     """
     spark = selected.sparkSession
@@ -83,9 +89,8 @@ def run_labelling(selected: DataFrame, settings: LabelSettings, out: str,
     run_seq = next_run_seq(read_log(spark, log_path))
     requests = write_requests(selected, settings, out)
     pairs = spark.read.parquet(f"{out}/pairs").drop("target_order")
-    slices = max(1, -(-requests.count() // settings.batches_per_commit))
-    for k in range(slices):
-        part = requests.where(F.pmod(F.xxhash64(*BATCH), F.lit(slices)) == k)
+    for k in sorted(r["slice"] for r in requests.select("slice").distinct().collect()):
+        part = requests.where(F.col("slice") == k).drop("slice")  # a folder of its own: no other slice is read
         path = f"{out}/replies/run_seq={run_seq}/slice={k}"
         write_table(replies(part) if replies is not None else ask(part, load_classifier), path)
         append_log(classify(part, spark.read.parquet(path), settings), log_path, run_seq)
