@@ -10,7 +10,9 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
+
+from pairwright.plans.lineage import cut
 
 Encode = Callable[[Sequence[str]], np.ndarray]
 
@@ -35,18 +37,26 @@ def embed(df: DataFrame, column: str, model: PipelineModel) -> DataFrame:
 
 
 def embed_with(df: DataFrame, column: str, load: Callable[[], Encode], batch: int = 32) -> DataFrame:
-    """Adds `embedding` from any encoder. `load` runs once per task; `encode` gets `batch` texts at a time."""
-    schema = T.StructType([*df.schema.fields, T.StructField("embedding", T.ArrayType(T.FloatType()))])
+    """Adds `embedding` from any encoder. `load` runs once per task; `encode` gets `batch` texts at a time.
+
+    Texts are addressed by 128 bits of hashes, and each different one is encoded once, null as the empty text: only
+    (address, text) goes to Python, and the vectors, which are written, are joined to the rows by address.
+    """
+    text = F.coalesce(F.col(column), F.lit(""))
+    address = {"_text_a": F.xxhash64(F.lit(1), text), "_text_b": F.xxhash64(F.lit(2), text)}
+    texts = df.select(text.alias("text"), *[c.alias(name) for name, c in address.items()])
+    texts = texts.groupBy(*address).agg(F.min("text").alias("text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = load()
         for frame in frames:
-            texts = frame[column].fillna("").tolist()
+            given = frame["text"].tolist()
             rows: list[np.ndarray] = []
-            for start in range(0, len(texts), batch):
-                vectors = np.asarray(encode(texts[start:start + batch]), dtype=np.float64)
+            for start in range(0, len(given), batch):
+                vectors = np.asarray(encode(given[start:start + batch]), dtype=np.float64)
                 sizes = np.linalg.norm(vectors, axis=1, keepdims=True)
                 rows.extend((vectors / np.where(sizes == 0, 1, sizes)).astype(np.float32))
-            yield frame.assign(embedding=rows)
+            yield frame.drop(columns="text").assign(embedding=rows)
 
-    return df.mapInPandas(run, schema)
+    encoded = cut(texts.mapInPandas(run, "_text_a bigint, _text_b bigint, embedding array<float>"))
+    return df.withColumns(address).join(encoded, list(address)).select(*df.columns, "embedding")

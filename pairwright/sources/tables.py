@@ -12,7 +12,7 @@ from pairwright.functions.codes import with_codes
 from pairwright.functions.text import blank_missing
 from pairwright.operators.numbering import with_file_position
 from pairwright.settings import MISSING_TOKENS
-from pairwright.sources.names import ALL_HEADERS, CANDIDATE_HEADERS, LABEL_HEADERS, TARGET_HEADERS
+from pairwright.sources.names import ALL_HEADERS, CANDIDATE_HEADERS, LABEL_HEADERS, TARGET_HEADERS, header_of
 from pairwright.sources.split_csv import records
 
 LOG_SCHEMA = ("row_key string, label_category string, label_relation string, label_keep boolean, "
@@ -116,8 +116,11 @@ def next_run_seq(log: DataFrame) -> int:
 
 
 def write_inspection(ranked: DataFrame, path: str, codes: Iterable[str]) -> None:
-    """One folder per wanted target, rows in order of rank; targets without rows get none."""
+    """One folder per wanted target with CSV files under the headers of the files, the code among them; targets without
+    rows get none. Rows are dealt out by ranges of (code, rank), so a code with many rows is written by several tasks, and
+    its files in turn are in order of rank."""
     rows = with_codes(ranked, "target_code", codes)
-    if "final_rank" in rows.columns:
-        rows = rows.repartition("target_code").sortWithinPartitions("target_code", "final_rank")
-    rows.write.mode("overwrite").partitionBy("target_code").option("header", True).option("escape", '"').csv(path)
+    order = [F.col(c).asc_nulls_last() for c in ("target_code", "final_rank") if c in rows.columns]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    named = rows.select(*[F.col(c).alias(header_of(c)) for c in rows.columns], F.col("target_code").alias("target_code"))
+    named.write.mode("overwrite").partitionBy("target_code").option("header", True).option("escape", '"').csv(path)

@@ -273,6 +273,13 @@ ranked AS (SELECT *, CASE WHEN target_code IS NOT NULL THEN row_number() OVER (P
                ORDER BY label_priority, relation_rank, category_rank, score DESC NULLS LAST, target_rank, row_key)
                END AS final_rank FROM merged)"""
 
+#: After a second run over what failed or was missing in the first, answered soundly.
+AGAIN = MERGED.replace(ANSWERS, ANSWERS + f""",
+again AS (SELECT row_key, cat AS label_category, rel AS label_relation, rel IN ({_KEPT}) AS label_keep,
+                 {priority('rel')} AS label_priority, 'doc ' || doc_id AS label_reason, 'ok' AS label_status, '' AS label_error,
+                 CAST(CASE WHEN status = 'ok' THEN 0 ELSE 1 END AS BIGINT) AS run_seq FROM judged)""").replace(
+    "LEFT JOIN results r", "LEFT JOIN again r")
+
 _RESULT = ("target_code, batch_no, row_key, label_category, label_relation, label_keep, label_priority, label_reason, "
            "label_status, label_error")
 _DOC_LABELS = "FROM documents d LEFT JOIN labels l USING (doc_id)"
@@ -405,6 +412,9 @@ ORACLE: dict[str, str] = {
         CAST(label_priority AS BIGINT) AS label_priority, label_reason, label_status, label_error, label,
         is_exact_diagnosis, is_related_lab, is_related_medication, CAST(relation_rank AS BIGINT) AS relation_rank,
         CAST(category_rank AS BIGINT) AS category_rank, CAST(final_rank AS DOUBLE) AS final_rank FROM ranked""",
+    "label_pipeline": f"""WITH {AGAIN} SELECT row_key, target_code, label, label_status, label_reason, label_error,
+        CAST(final_rank AS DOUBLE) AS final_rank, a.run_seq, CAST(coalesce(a.run_seq + 1, 0) AS BIGINT) AS n_logged
+        FROM ranked LEFT JOIN (SELECT row_key, run_seq FROM again) a USING (row_key)""",
     "label_counts": f"WITH {MERGED} " + _counts(
         ("label_category", "label_relation", "label", "label_keep", "label_status"), "merged"),
     "label_totals": f"""WITH {MERGED} SELECT count(*) FILTER (is_exact_diagnosis) AS is_exact_diagnosis,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -26,11 +27,13 @@ from pairwright.operators.summary import (
     count_buckets, count_describe, count_quantiles, group_buckets, group_summary, inspect_by_group, inspect_top,
     target_summary, top_groups, top_targets, value_counts,
 )
+from pairwright.plans.labelling import label, open_requests
 from pairwright.plans.lineage import cut
 from pairwright.plans.retrieval import retrieve
 from pairwright.settings import CATEGORY_RANKS, RELATION_RANKS, UNKNOWN_RANK, LabelSettings, RetrievalSettings
 from pairwright.sources.names import CANDIDATE_COLUMNS, LABEL_COLUMNS, TARGET_COLUMNS
-from pairwright.streaming.runlog import latest_per_key, pending
+from pairwright.sources.tables import append_log, read_log
+from pairwright.streaming.runlog import latest_per_key, latest_results, pending
 from registry import fragments as frag
 
 MAD = RetrievalSettings(min_candidates=10, max_candidates=30)
@@ -244,8 +247,8 @@ def loaded(spark, sf):
     return cut(load_pairs(raw_pairs(spark, sf), LABEL))
 
 
-def stand_in_replies(spark, sf, rows):
-    """A reply text per batch, from the given labels, in eight kinds."""
+def stand_in_replies(spark, sf, rows, sound=False):
+    """A reply text per batch, from the given labels, in eight kinds; all sound ones on request."""
     facts = rows.select(*BATCH, "position", "row_key", F.substring("accession", 4, 20).cast("bigint").alias("doc_id"))
     facts = facts.join(table(spark, sf, "labels"), "doc_id", "left")
     item = F.to_json(F.struct(
@@ -261,7 +264,8 @@ def stand_in_replies(spark, sf, rows):
              .when(F.col("kind") == 5, F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]")))
              .when(F.col("kind") == 6, F.lit('{"results": null}'))
              .otherwise(body))
-    return groups.withColumn("kind", F.expr(frag.REPLY_KIND)).select(*BATCH, reply.alias("reply"))
+    kind = F.lit(0) if sound else F.expr(frag.REPLY_KIND)
+    return groups.withColumn("kind", kind).select(*BATCH, reply.alias("reply"))
 
 
 def asked(spark, sf):
@@ -428,6 +432,25 @@ def q_label_run(spark, sf):
     return rounded(rows.withColumns(ints), "score")
 
 
+def q_label_pipeline(spark, sf):
+    """Two runs over one log. Some replies of the first fail or leave rows out; the second asks for just these rows again."""
+    pairs = loaded(spark, sf)
+    path = f"{spark.sparkContext.getCheckpointDir()}/label-log-{uuid.uuid4().hex}"
+    for run_seq, sound in enumerate((False, True)):
+        log = read_log(spark, path)
+        requests = cut(open_requests(pairs, log, LABEL))
+        place = F.posexplode("row_keys").alias("position", "row_key")
+        asked_for = requests.select(*BATCH, place).join(pairs.select("row_key", "accession"), "row_key")
+        replies = stand_in_replies(spark, sf, asked_for, sound)
+        append_log(classify(requests, replies, LABEL), path, run_seq)
+    log = read_log(spark, path)
+    rows = label(pairs, log, LABEL).join(latest_results(log).select("row_key", "run_seq"), "row_key", "left")
+    counted = log.groupBy("row_key").agg(F.count(F.lit(1)).alias("n_logged"))
+    return rows.join(counted, "row_key", "left").select(
+        "row_key", "target_code", "label", "label_status", "label_reason", "label_error", F.col("final_rank").cast("double").alias("final_rank"),
+        "run_seq", F.coalesce("n_logged", F.lit(0)).cast("bigint").alias("n_logged"))
+
+
 def q_label_counts(spark, sf):
     return label_counts(merged(spark, sf))
 
@@ -528,6 +551,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_ranks": q_label_ranks,
     "final_rank": q_final_rank,
     "label_run": q_label_run,
+    "label_pipeline": q_label_pipeline,
     "label_counts": q_label_counts,
     "label_totals": q_label_totals,
     "target_label_rollup": q_target_label_rollup,

@@ -294,3 +294,16 @@ def test_merge_and_final_rank(spark):
     assert {r.accession: r.score for r in filled.collect()}["a4"] == -999.0
     bare = merge_labels(loaded, labels.select("row_key", "label_category", "label_relation", "label_keep", "label_reason"), S)
     assert {r.label_status for r in bare.collect()} == {"unknown"}
+
+
+def test_headers_of_a_code_with_many_batches(spark, monkeypatch):
+    from pairwright.operators import requests
+
+    monkeypatch.setattr(requests, "_BATCHES_PER_COPY", 3)
+    rows = spark.range(90).select(F.concat(F.lit("k"), F.col("id")).alias("row_key"), F.when(F.col("id") < 60, "8").otherwise("9").alias("target_code"),
+                                  F.lit("n").alias("target_name"), F.lit("c").alias("target_category"), (F.col("id") / 100).alias("score"),
+                                  F.lit(1).alias("target_rank"), *[F.lit("").alias(c) for _, c in requests.REQUEST_FIELDS if c not in ("row_key", "score", "target_rank")])
+    settings = LabelSettings(batch_size=2)
+    made = build_requests(assign_batches(rows, settings), target_headers(rows), settings).collect()
+    assert sorted((r.target_code, r.batch_no) for r in made) == [("8", k) for k in range(30)] + [("9", k) for k in range(15)]
+    assert sum(r.n_rows for r in made) == 90 and all("Target name: n" in r.request for r in made)

@@ -225,6 +225,45 @@ def test_custom_encoder(spark):
         assert abs(sum(x * x for x in r.embedding) - 1) < 1e-6
 
 
+def test_each_text_is_encoded_once(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load():
+        import uuid
+
+        import numpy as np
+
+        def encode(texts):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write("".join(f"{t}\n" for t in texts))
+            return np.array([[len(t), 1.0] for t in texts])
+        return encode
+
+    texts = ["a", "bb", None, "", "a", "ccc"] * 50
+    df = spark.createDataFrame([(k, t, k) for k, t in enumerate(texts)], "id long, text string, more int").repartition(6)
+    rows = embed_with(df, "text", load).collect()
+    seen = [x for p in glob.glob(f"{folder}/*") for x in open(p).read().split("\n")[:-1]]
+    assert sorted(seen) == ["", "a", "bb", "ccc"] and sorted(r.id for r in rows) == list(range(300))
+    for r in rows:
+        n = len(r.text or "")
+        assert r.text == texts[r.id] and r.more == r.id and r.embedding == pytest.approx([n / (n * n + 1) ** 0.5, 1 / (n * n + 1) ** 0.5], abs=1e-6)
+
+
+def test_inspection_of_a_code_with_many_rows(spark, tmp_path):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, "8").otherwise("9.1").alias("target_code"), (F.col("id") + 1).alias("final_rank"),
+                                  F.lit('a "b", c').alias("target_name")).repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_inspection(df, str(tmp_path / "i"), ["8.0", "77"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = sorted(glob.glob(str(tmp_path / "i" / "target_code=8" / "part-*")))
+    rows = [r for p in found for r in csv.DictReader(open(p, newline=""))]
+    assert len(found) > 1 and [int(r["step2_rank"]) for r in rows] == [k + 1 for k in range(3000) if k % 3]
+    assert {(r["phecode"], r["phenotype"]) for r in rows} == {("8", 'a "b", c')}
+    assert not glob.glob(str(tmp_path / "i" / "target_code=9*"))
+
+
 def test_cut_keeps_rows(spark):
     df = cut(spark.range(10))
     assert df.count() == 10 and spark.sparkContext.getCheckpointDir() is not None

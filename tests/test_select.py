@@ -194,3 +194,21 @@ def test_last_pass_limits_within_groups(spark):
     targets = spark.range(3).select(F.col("id").alias("target_id"), F.array(F.lit(0.5), F.lit(0.5)).cast("array<float>").alias("embedding"))
     found = adaptive_select(targets, candidates, RetrievalSettings(cell_rows=100))
     assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cells_are_numbered_alike_in_one_task_and_by_ranges(spark, monkeypatch):
+    from pairwright.operators import grid
+    from pairwright.settings import RetrievalSettings
+
+    settings = RetrievalSettings(cell_rows=16)
+    rows = spark.range(20_000).select(F.col("id").alias("cand_id"), F.when(F.col("id") < 3000, F.concat(F.lit("hot"), F.col("id") % 3)).otherwise(
+        F.concat(F.lit("g"), F.col("id") % 5000)).alias("group"), F.array(F.lit(1.0)).alias("embedding"))
+    targets = spark.range(5).select(F.col("id").alias("target_id"), F.array(F.lit(1.0)).alias("embedding"))
+    found = []
+    for limit in (100_000, 0):
+        monkeypatch.setattr(grid, "_GROUPS_IN_A_TASK", limit)
+        made = grid.plan_grid(targets, rows, settings)
+        found.append((made, sorted(tuple(r) for r in made.places.collect())))
+    assert found[0] == found[1] and found[0][0].n_hot_groups == 3
+    cells = sorted(p + k for g, n, salts, p in found[0][1] if salts > 1 for k in range(salts))
+    assert cells == list(range(found[0][0].hot_parts))
