@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pairwright.operators.requests import CATEGORY_NOTES, REQUEST_TEMPLATE
+from pairwright.settings import CATEGORY_RANKS, RELATION_RANKS
 from registry import fragments as frag
 
 # Python's white space as a character class.
@@ -296,6 +298,16 @@ def _counts(dimensions: tuple[str, ...], source: str) -> str:
         for d, e in ((d, '"database"' if d == "group" else d) for d in dimensions))
 
 
+def _request_head() -> str:
+    """The fixed wording with the values of a batch in place, as one SQL expression."""
+    text = lambda value: "'" + value.replace("'", "''") + "'"
+    notes = "\n".join(f"  {name}: {CATEGORY_NOTES[name]}." for name in CATEGORY_RANKS if name in CATEGORY_NOTES)
+    values = {"code": "target_code", "name": "head_name", "category": "head_category", "variables": "''",
+              "categories": text(", ".join(CATEGORY_RANKS)), "relations": text(", ".join(RELATION_RANKS)), "definitions": text(notes)}
+    parts = REQUEST_TEMPLATE.format(**{name: f"\x00{name}\x00" for name in values}).split("\x00")
+    return " || ".join(values[p] if k % 2 else text(p) for k, p in enumerate(parts))
+
+
 ORACLE: dict[str, str] = {
     "targets": f"WITH {TARGETS} SELECT * FROM targets_text",
     "candidates": f"""WITH {CANDIDATES} SELECT cand_id, "database" AS "group", {', '.join(_CAND)}, "database",
@@ -372,6 +384,12 @@ ORACLE: dict[str, str] = {
     "first_n_targets": f"""WITH {pairs()}, firsts AS (SELECT target_code, min(target_rank) AS first FROM pairs
         WHERE target_code IS NOT NULL GROUP BY ALL ORDER BY first, target_code LIMIT 5)
         SELECT target_code, count(*) AS n FROM pairs JOIN firsts USING (target_code) GROUP BY ALL""",
+    "first_targets_by_place": f"""WITH {pairs()}, firsts AS (
+            SELECT target_code, min(CAST(substr(accession, 4) AS BIGINT)) AS first FROM pairs
+            WHERE target_code IS NOT NULL GROUP BY ALL ORDER BY first, target_code LIMIT 3)
+        SELECT target_code, CAST(count(*) AS BIGINT) AS n FROM pairs JOIN firsts USING (target_code) GROUP BY ALL""",
+    "request_head": f"""WITH {BATCHED} SELECT DISTINCT target_code, batch_no, md5({_request_head()}) AS head_md5
+        FROM batched JOIN heads USING (target_code)""",
     "assign_batches": f"WITH {BATCHED} SELECT target_code, row_key, position, batch_no FROM batched",
     "build_requests": f"""WITH {BATCHED} SELECT target_code, batch_no, count(*) AS n_rows,
         string_agg(row_key, ',' ORDER BY position) AS row_keys, max(head_name) AS target_name,

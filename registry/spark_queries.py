@@ -17,6 +17,7 @@ from pairwright.functions.vectors import cosine, norm
 from pairwright.operators.columns import clean_columns, fill_group
 from pairwright.operators.embed import embed, fit_encoder
 from pairwright.operators.merge import final_rank, merge_labels
+from pairwright.operators.numbering import with_file_position
 from pairwright.operators.pairs import first_targets, keep_passed, load_pairs, top_per_target, with_context_group
 from pairwright.operators.prepare import first_rows, prepare_candidates, prepare_targets
 from pairwright.operators.replies import classify, parse_replies, stray_items, validate_items
@@ -32,7 +33,7 @@ from pairwright.plans.lineage import cut
 from pairwright.plans.retrieval import retrieve
 from pairwright.settings import CATEGORY_RANKS, RELATION_RANKS, UNKNOWN_RANK, LabelSettings, RetrievalSettings
 from pairwright.sources.names import CANDIDATE_COLUMNS, LABEL_COLUMNS, TARGET_COLUMNS
-from pairwright.sources.tables import append_log, read_log
+from pairwright.sources.tables import LOG_SCHEMA, append_log, read_log
 from pairwright.streaming.runlog import latest_per_key, latest_results, pending
 from registry import fragments as frag
 
@@ -336,6 +337,23 @@ def q_assign_batches(spark, sf):
     return assign_batches(loaded(spark, sf), LABEL).select("target_code", "row_key", "position", "batch_no")
 
 
+def q_first_targets_by_place(spark, sf):
+    """The rows that stage two would ask for, of the first three targets by their place in the file."""
+    settings = LabelSettings(first_targets=3)
+    place = with_file_position(table(spark, sf, "documents").select("doc_id")).select(
+        F.concat(F.lit("acc"), "doc_id").alias("accession"), "input_order")
+    pairs = cut(load_pairs(raw_pairs(spark, sf).join(place, "accession"), settings))
+    made = open_requests(pairs, spark.createDataFrame([], LOG_SCHEMA), settings)
+    return made.groupBy("target_code").agg(F.sum("n_rows").alias("n"))
+
+
+def q_request_head(spark, sf):
+    """All of every request text but the list of variables, which `request_text` has."""
+    requests = asked(spark, sf)[1]
+    head = F.expr("substring(request, 1, length(request) - length(payload))")
+    return requests.select("target_code", "batch_no", F.md5(head).alias("head_md5"))
+
+
 def q_build_requests(spark, sf):
     rows = asked(spark, sf)[1]
     return rows.select(*BATCH, "n_rows", F.array_join("row_keys", ",").alias("row_keys"), "target_name",
@@ -535,7 +553,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topn_per_target": q_topn_per_target,
     "first_n_targets": q_first_n_targets,
     "assign_batches": q_assign_batches,
+    "first_targets_by_place": q_first_targets_by_place,
     "build_requests": q_build_requests,
+    "request_head": q_request_head,
     "request_text": q_request_text,
     "parse_replies": q_parse_replies,
     "reply_status": q_reply_status,
