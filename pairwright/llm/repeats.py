@@ -1,7 +1,8 @@
-"""Removal of long repeated byte strings, by buckets of q-grams refined at later offsets.
+"""Removal of long repeated byte strings, filed under their least q-gram and compared by hashes.
 
-A string of `length` bytes is repeated if it starts at two places of the corpus. Suffixes are not sorted one by one;
-places fall into buckets, and buckets are refined:
+A string of `length` bytes is repeated if it starts at two places of the corpus. This is winnowing, not the refinement of
+buckets of all suffixes in rounds, which needs a row for each byte and round (25 times the input in one shuffle). Places
+fall into buckets, and buckets are split:
 
 1. Every place has the identifier of its q-gram. A string of `length` bytes is filed under the least identifier within
    it, so equal strings are filed under the same bucket at the same offset, and neighbouring strings that are filed at
