@@ -307,3 +307,15 @@ def test_headers_of_a_code_with_many_batches(spark, monkeypatch):
     made = build_requests(assign_batches(rows, settings), target_headers(rows), settings).collect()
     assert sorted((r.target_code, r.batch_no) for r in made) == [("8", k) for k in range(30)] + [("9", k) for k in range(15)]
     assert sum(r.n_rows for r in made) == 90 and all("Target name: n" in r.request for r in made)
+
+
+def test_keys_of_small_and_large_tables_agree(spark, monkeypatch):
+    from pairwright.operators import keys
+
+    rows = [(f"k{i % 40}", f"v{i % 7}", "long text" if i % 3 else f"d{i}") for i in range(200)] + [("x", None, None)] * 5
+    df = spark.createDataFrame(rows, "k string, v string, description string")
+    found = []
+    for limit in (1 << 30, 0):
+        monkeypatch.setattr(keys, "_SMALL_BYTES", limit)
+        found.append(sorted(map(repr, with_content_key(df, ["k", "description"], "key").collect())))
+    assert found[0] == found[1] and len(set(found[0])) == 205
