@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from decimal import Decimal
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,9 @@ from pairwright.settings import RetrievalSettings
 _SLAB = 1_048_576  # scores held at once
 _COLUMNS = 1_024
 _SCALE = float(1 << 40)
+_FEW = 16  # one score in so many may be computed by itself
+_GATHER = 1_024
+_WIDEST = 65_536  # the error bound holds far beyond; vectors are never that wide
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
@@ -42,6 +46,219 @@ def _scores(targets: np.ndarray, columns: np.ndarray) -> Iterator[tuple[int, np.
         yield row, out
 
 
+class Slab:
+    """Scores of some targets with all columns of a part, all computed in order."""
+
+    def __init__(self, scores: np.ndarray):
+        self.scores = scores
+
+    def __len__(self) -> int:
+        return len(self.scores)
+
+    def best(self) -> np.ndarray:
+        return self.scores.max(axis=1)
+
+    def mad(self) -> np.ndarray:
+        return _median(np.abs(self.scores - _median(self.scores)[:, None]))
+
+    def reaching(self, threshold: np.ndarray) -> np.ndarray:
+        return (self.scores >= threshold[:, None]).sum(axis=1)
+
+    def top(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, column, rank, score) of the k[row] best scores per row, ties by column."""
+        rows, cols, rank = _top(self.scores, k)
+        return rows, cols, rank, self.scores[rows, cols]
+
+    def bins(self, unit: int) -> np.ndarray:
+        return np.floor(self.scores * unit).astype(np.int64)
+
+    def within(self, wanted: list[list[int]], unit: int) -> Iterator[np.ndarray]:
+        """For each row its scores in the wanted bins of width 1/unit."""
+        bins = self.bins(unit)
+        for i, own in enumerate(wanted):
+            yield self.scores[i][np.isin(bins[i], own)]
+
+
+def _places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the few set places of a matrix, in order, found eight at a time."""
+    flat = mask.ravel()
+    whole = flat.size // 8 * 8
+    found = np.flatnonzero(flat[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)
+    found = np.concatenate([found.ravel(), np.arange(whole, flat.size)])
+    return np.divmod(found[flat[found]], mask.shape[1])
+
+
+class BoundedSlab(Slab):
+    """The same answers, bit for bit, from a matrix product and a bound of its error.
+
+    Whatever the order of its sums, a product of vectors of `width` elements is off by at most
+    width x unit roundoff x |target| x |column|, nearly. So a score can only matter for a maximum, a middle, a threshold, a bin
+    edge or the k-th place if its estimate is within twice the bound of that of the place; those scores alone are
+    computed in order, equal columns once. Where they are many, all are, once. `first` tells the first equal column.
+    """
+
+    def __init__(self, targets: np.ndarray, columns: np.ndarray, estimates: np.ndarray, slack: np.ndarray, first: Callable):
+        self.targets, self.columns, self.estimates, self.slack, self.first = targets, columns, estimates, slack, first
+        self.full: Slab | None = None
+        self.left = estimates.size // _FEW
+
+    @property
+    def scores(self) -> np.ndarray:
+        return self.all().scores
+
+    def __len__(self) -> int:
+        return len(self.estimates)
+
+    def all(self) -> Slab:
+        if self.full is None:
+            self.full = Slab(np.vstack([part for _, part in _scores(self.targets, self.columns)]))
+        return self.full
+
+    def exact(self, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+        if self.full is None and len(rows) > self.left:
+            cols = self.first()[cols]
+            asked = np.zeros(self.estimates.shape, bool)
+            asked[rows, cols] = True
+            places = _places(asked)
+            if len(places[0]) <= self.left:
+                held = np.empty(asked.shape)
+                held[places] = self._in_order(*places)
+                return held[rows, cols]
+        if self.full is not None or len(rows) > self.left:
+            return self.all().scores[rows, cols]
+        return self._in_order(rows, cols)
+
+    def _in_order(self, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+        self.left -= len(rows)
+        out = np.zeros(len(rows))
+        for at in range(0, len(rows), _GATHER):
+            part = slice(at, at + _GATHER)
+            products = np.take(self.targets, rows[part], axis=0).T.astype(np.float64, order="C")
+            products *= np.take(self.columns, cols[part], axis=1)
+            for line in products:
+                out[part] += line
+        return out
+
+    def _down(self, edge: np.ndarray) -> np.ndarray:
+        return np.nextafter(edge.astype(self.estimates.dtype), self.estimates.dtype.type(-np.inf))[:, None]
+
+    def _up(self, edge: np.ndarray) -> np.ndarray:
+        return np.nextafter(edge.astype(self.estimates.dtype), self.estimates.dtype.type(np.inf))[:, None]
+
+    def _middle(self, estimates: np.ndarray, slack: np.ndarray, value: Callable) -> np.ndarray:
+        """Row medians of `value(rows, cols)`, from estimates of it."""
+        n = estimates.shape[1]
+        half = n // 2
+        split = np.partition(estimates, half, axis=1)
+        upper = split[:, half].astype(np.float64)
+        lower = upper if n % 2 else split[:, :half].max(axis=1).astype(np.float64)
+        low = self._down(lower - 2 * slack)
+        rows, cols = _places((estimates >= low) & (estimates <= self._up(upper + 2 * slack)))
+        found = value(rows, cols)
+        found = found[np.lexsort((found, rows))]
+        place = np.searchsorted(rows, np.arange(len(estimates))) + half - (estimates < low).sum(axis=1)
+        return found[place] if n % 2 else (found[place - 1] + found[place]) / 2
+
+    def best(self) -> np.ndarray:
+        if self.full is not None:
+            return self.full.best()
+        rows, cols = _places(self.estimates >= self._down(self.estimates.max(axis=1) - 2 * self.slack))
+        return np.maximum.reduceat(self.exact(rows, cols), np.searchsorted(rows, np.arange(len(self))))
+
+    def mad(self) -> np.ndarray:
+        if self.full is not None:
+            return self.full.mad()
+        middle = self._middle(self.estimates, self.slack, self.exact)
+        # rounding the middle and the differences adds less than the bound itself
+        apart = np.abs(self.estimates - middle.astype(self.estimates.dtype)[:, None])
+        return self._middle(apart, 2 * self.slack, lambda rows, cols: np.abs(self.exact(rows, cols) - middle[rows]))
+
+    def reaching(self, threshold: np.ndarray) -> np.ndarray:
+        if self.full is not None:
+            return self.full.reaching(threshold)
+        low, high = self._down(threshold - self.slack), self._up(threshold + self.slack)
+        sure = self.estimates > high
+        rows, cols = _places((self.estimates >= low) & ~sure)
+        reached = rows[self.exact(rows, cols) >= threshold[rows]]
+        return sure.sum(axis=1) + np.bincount(reached, minlength=len(self))
+
+    def top(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        n = self.estimates.shape[1]
+        most = int(min(k.max(initial=0), n))
+        if self.full is not None or most == 0 or most * len(self) > self.left:
+            return self.all().top(k)
+        floor = np.partition(self.estimates, n - most, axis=1)[:, n - most]
+        rows, cols = _places(self.estimates >= self._down(floor - 2 * self.slack))
+        scores = self.exact(rows, cols)
+        order = np.lexsort((cols, -scores, rows))
+        rows, cols, scores = rows[order], cols[order], scores[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, rows) + 1
+        keep = rank <= np.minimum(k, most)[rows]
+        return rows[keep], cols[keep], rank[keep], scores[keep]
+
+    def _edges(self, unit: int) -> tuple[np.ndarray, np.ndarray]:
+        """The least and the greatest bin that a score can be in; the slack has room for the rounding here."""
+        wide = self._up(self.slack)
+        return (np.floor((self.estimates + side) * self.estimates.dtype.type(unit)) for side in (-wide, wide))
+
+    def bins(self, unit: int) -> np.ndarray:
+        if self.full is not None:
+            return self.full.bins(unit)
+        low, high = self._edges(unit)
+        rows, cols = _places(low != high)
+        out = low.astype(np.int64)
+        out[rows, cols] = np.floor(self.exact(rows, cols) * unit).astype(np.int64)
+        return out
+
+    def within(self, wanted: list[list[int]], unit: int) -> Iterator[np.ndarray]:
+        low, high = self._edges(unit) if self.full is None else (None, None)
+        if low is None or (high - low).max() > 1:
+            yield from self.all().within(wanted, unit)
+            return
+        near = np.array([np.isin(a, own) | np.isin(b, own) for a, b, own in zip(low, high, wanted, strict=True)])
+        rows, cols = _places(near)
+        scores = self.exact(rows, cols)
+        ends = np.searchsorted(rows, np.arange(len(self) + 1))
+        for i, own in enumerate(wanted):
+            mine = scores[ends[i]:ends[i + 1]]
+            yield mine[np.isin(np.floor(mine * unit).astype(np.int64), own)]
+
+
+def _first_equal(columns: np.ndarray) -> np.ndarray:
+    """For each column the first one with the same bytes."""
+    rows = np.ascontiguousarray(columns.T)
+    _, first, which = np.unique(rows.view(np.dtype((np.void, rows.itemsize * rows.shape[1]))).ravel(), return_index=True,
+                                return_inverse=True)
+    return first[which]
+
+
+def _norms(vectors: np.ndarray) -> np.ndarray:
+    wide = vectors.astype(np.float64)
+    return np.sqrt(np.einsum("ik,ik->i", wide, wide))
+
+
+def _slabs(targets: np.ndarray, columns: np.ndarray, estimate: type | None) -> Iterator[tuple[int, Slab]]:
+    """(first row, scores of some targets). Where few scores are wanted themselves, from estimates: in single precision,
+    or in double where bins ask for many edges. Vectors of doubles, whose products are not exact, and scores beyond
+    single precision are computed in order in any case."""
+    width, n = columns.shape
+    if estimate is None or targets.dtype != np.float32 or columns.dtype != np.float32 or width > _WIDEST:
+        for row, scores in _scores(targets, columns):
+            yield row, Slab(scores)
+        return
+    far, step = _norms(columns.T).max(), max(1, _SLAB // n)
+    off = 2 * (width + 8) * float(np.finfo(estimate).eps) / 2 * far
+    wide, first = columns.astype(estimate, copy=False), cache(partial(_first_equal, columns))
+    for row in range(0, len(targets), step):
+        part = targets[row:row + step]
+        with np.errstate(over="ignore", invalid="ignore"):
+            estimates = part.astype(estimate, copy=False) @ wide
+        if np.isfinite(estimates).all():
+            yield row, BoundedSlab(part, columns, estimates, off * _norms(part) + width * 2.0**-120, first)
+        else:
+            yield row, Slab(np.vstack([scores for _, scores in _scores(part, columns)]))
+
+
 def _groups(table: pa.Table) -> Iterator[tuple[pa.Scalar, pa.Array, np.ndarray]]:
     """(group, candidate ids, vectors as columns), candidates in id order."""
     order = pc.sort_indices(table, sort_keys=[("group", "ascending"), ("cand_id", "ascending")])
@@ -136,20 +353,18 @@ def whole_groups(settings: RetrievalSettings, types: dict[str, pa.DataType], pai
             ids, vectors = targets.column("target_id").combine_chunks(), _matrix(targets)
             for group, cand_ids, columns in _groups(candidates):
                 n = columns.shape[1]
-                for row, scores in _scores(vectors, columns):
-                    best = scores.max(axis=1)
-                    if settings.spread == "sd":
-                        spread = _deviation(scores)
-                    else:
-                        spread = _median(np.abs(scores - _median(scores)[:, None]))
+                few = not pairs or n >= 2 * _FEW * settings.max_candidates
+                for row, slab in _slabs(vectors, columns, np.float32 if settings.spread != "sd" and few else None):
+                    best = slab.best()
+                    spread = _deviation(slab.scores) if settings.spread == "sd" else slab.mad()
                     delta = settings.scale * spread
                     threshold = best - delta
-                    above = (scores >= threshold[:, None]).sum(axis=1)
+                    above = slab.reaching(threshold)
                     if pairs:
                         k = np.minimum(np.maximum(above, min(settings.min_candidates, n)), settings.max_candidates)
-                        rows, cols, rank = _top(scores, k)
+                        rows, cols, rank, scores = slab.top(k)
                     else:
-                        rows, cols, rank = np.arange(len(scores)), None, None
+                        rows, cols, rank, scores = np.arange(len(slab)), None, None, None
                     line = {
                         "target_id": ids.take(pa.array(rows + row)),
                         "group": _fill(group, len(rows)),
@@ -160,8 +375,7 @@ def whole_groups(settings: RetrievalSettings, types: dict[str, pa.DataType], pai
                         "threshold": threshold[rows],
                     }
                     if pairs:
-                        line |= {"cand_id": cand_ids.take(pa.array(cols)), "score": scores[rows, cols],
-                                 "rank_in_group": rank}
+                        line |= {"cand_id": cand_ids.take(pa.array(cols)), "score": scores, "rank_in_group": rank}
                     out.append(line)
         return _collect(out, types)
 
@@ -176,15 +390,15 @@ def profile(settings: RetrievalSettings, types: dict[str, pa.DataType]) -> Calla
         if candidates.num_rows and targets.num_rows:
             ids, vectors = targets.column("target_id").combine_chunks(), _matrix(targets)
             for group, _, columns in _groups(candidates):
-                for row, scores in _scores(vectors, columns):
-                    best = scores.max(axis=1)
+                for row, slab in _slabs(vectors, columns, np.float64 if settings.spread != "sd" else None):
+                    best = slab.best()
                     if settings.spread == "sd":
-                        rows = np.arange(len(scores))
-                        first, second = _sums(scores)
-                        line = {"n": np.full(len(scores), scores.shape[1]), "s1": [Decimal(x) for x in first],
+                        rows = np.arange(len(slab))
+                        first, second = _sums(slab.scores)
+                        line = {"n": np.full(len(slab), columns.shape[1]), "s1": [Decimal(x) for x in first],
                                 "s2": [Decimal(x) for x in second]}
                     else:
-                        bins = np.floor(scores * settings.bins_per_unit).astype(np.int64)
+                        bins = slab.bins(settings.bins_per_unit)
                         low = bins.min()
                         span = int(bins.max() - low) + 1
                         flat = np.arange(len(bins))[:, None] * span + (bins - low)
@@ -198,15 +412,15 @@ def profile(settings: RetrievalSettings, types: dict[str, pa.DataType]) -> Calla
     return run
 
 
-def _per_target(candidates: pa.Table, bounds: pa.Table, use: Callable) -> list[dict]:
-    """Score each group against its own rows of `bounds`."""
+def _per_target(candidates: pa.Table, bounds: pa.Table, use: Callable, estimate: type, wanted: int = 0) -> list[dict]:
+    """Score each group against its own rows of `bounds`; about `wanted` scores are returned for each."""
     out: list[dict] = []
     if candidates.num_rows and bounds.num_rows:
         for group, cand_ids, columns in _groups(candidates):
             mine = bounds.filter(pc.equal(bounds.column("group"), group))
             if mine.num_rows:
-                for row, scores in _scores(_matrix(mine), columns):
-                    out.append(use(group, cand_ids, scores, mine.slice(row, len(scores))))
+                for row, slab in _slabs(_matrix(mine), columns, estimate if len(cand_ids) >= 2 * _FEW * wanted else None):
+                    out.append(use(group, cand_ids, slab, mine.slice(row, len(slab))))
     return out
 
 
@@ -216,19 +430,18 @@ def _carry(bounds: pa.Table, rows: np.ndarray) -> pa.Array:
     return bounds.column("carry").combine_chunks().take(pa.array(rows, mask=repeat))
 
 
-def _wanted(scores: np.ndarray, bounds: pa.Table, unit: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _wanted(slab: Slab, bounds: pa.Table, unit: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(row, distinct scores in the wanted bins of width 1/unit, their counts)."""
-    bins = np.floor(scores * unit).astype(np.int64)
-    for i, wanted in enumerate(bounds.column("bins").to_pylist()):
-        yield i, *np.unique(scores[i][np.isin(bins[i], wanted)], return_counts=True)
+    for i, scores in enumerate(slab.within(bounds.column("bins").to_pylist(), unit)):
+        yield i, *np.unique(scores, return_counts=True)
 
 
 def finer_bins(unit: int, finer: int, types: dict[str, pa.DataType]) -> Callable:
     """Part of a split group: the wanted bins counted again in finer ones, with the number of distinct scores."""
 
-    def use(group: pa.Scalar, _: pa.Array, scores: np.ndarray, bounds: pa.Table) -> dict:
+    def use(group: pa.Scalar, _: pa.Array, slab: Slab, bounds: pa.Table) -> dict:
         rows, bins, counts, distinct = [], [], [], []
-        for i, values, n in _wanted(scores, bounds, unit):
+        for i, values, n in _wanted(slab, bounds, unit):
             found, first, several = np.unique(np.floor(values * finer).astype(np.int64), return_index=True,
                                               return_counts=True)
             rows.append(np.full(len(found), i))
@@ -240,32 +453,32 @@ def finer_bins(unit: int, finer: int, types: dict[str, pa.DataType]) -> Callable
                 "bin": np.concatenate(bins), "n": np.concatenate(counts), "several": np.concatenate(distinct),
                 "carry": _carry(bounds, where)}
 
-    return lambda candidates, bounds: _collect(_per_target(candidates, bounds, use), types)
+    return lambda candidates, bounds: _collect(_per_target(candidates, bounds, use, np.float64), types)
 
 
 def wanted_values(unit: int, types: dict[str, pa.DataType]) -> Callable:
     """Part of a split group: the distinct scores in the wanted bins, with their counts."""
 
-    def use(group: pa.Scalar, _: pa.Array, scores: np.ndarray, bounds: pa.Table) -> dict:
-        found = list(_wanted(scores, bounds, unit))
+    def use(group: pa.Scalar, _: pa.Array, slab: Slab, bounds: pa.Table) -> dict:
+        found = list(_wanted(slab, bounds, unit))
         where = np.concatenate([np.full(len(values), i) for i, values, _ in found])
         return {"target_id": bounds.column("target_id").take(pa.array(where)), "group": _fill(group, len(where)),
                 "value": np.concatenate([values for _, values, _ in found]),
                 "n": np.concatenate([n for _, _, n in found]), "carry": _carry(bounds, where)}
 
-    return lambda candidates, bounds: _collect(_per_target(candidates, bounds, use), types)
+    return lambda candidates, bounds: _collect(_per_target(candidates, bounds, use, np.float64), types)
 
 
 def best_of_part(limit: int, types: dict[str, pa.DataType]) -> Callable:
     """Part of a split group: its best `limit` pairs per target, and on the first of them how many scores of the
     part reach the threshold. The best `limit` of a group are among the best `limit` of its parts."""
 
-    def use(group: pa.Scalar, cand_ids: pa.Array, scores: np.ndarray, bounds: pa.Table) -> dict:
+    def use(group: pa.Scalar, cand_ids: pa.Array, slab: Slab, bounds: pa.Table) -> dict:
         threshold = bounds.column("carry").combine_chunks().field("threshold").to_numpy()
-        above = (scores >= threshold[:, None]).sum(axis=1)
-        rows, cols, rank = _top(scores, np.full(len(scores), limit))
+        above = slab.reaching(threshold)
+        rows, cols, rank, scores = slab.top(np.full(len(slab), limit))
         return {"target_id": bounds.column("target_id").take(pa.array(rows)), "group": _fill(group, len(rows)),
-                "cand_id": cand_ids.take(pa.array(cols)), "score": scores[rows, cols],
+                "cand_id": cand_ids.take(pa.array(cols)), "score": scores,
                 "above": np.where(rank == 1, above[rows], 0), "carry": _carry(bounds, rows)}
 
-    return lambda candidates, bounds: _collect(_per_target(candidates, bounds, use), types)
+    return lambda candidates, bounds: _collect(_per_target(candidates, bounds, use, np.float32, limit), types)
