@@ -1,3 +1,7 @@
+import time
+
+import pytest
+
 from pairwright.llm.pages import extract, main_text
 
 LONG = "The story of the day is that it was in the town and that all of them were there for the first time in a long year of work."
@@ -19,6 +23,51 @@ def test_density_without_marks():
     assert main_text(html) == f"Title\n{LONG} {LONG}\nOk then"
 
 
+@pytest.mark.parametrize("names", ['class="long-form"', 'class="social-policy"', 'id="legal-news"', 'class="search-and-rescue-report"',
+                                   'class="panel-discussion x"', 'id="has-sidebar"', 'class="labelLess"'])
+def test_a_word_in_a_name_does_not_drop_an_article(names):
+    around = "<nav><a href=/>Home</a></nav>{}<footer>&copy; Site</footer>"
+    assert main_text(around.format(f"<div {names}><p>{LONG}</p><p>{LONG} {LONG}</p></div>")) == f"{LONG}\n{LONG} {LONG}"
+    assert main_text(around.format(f"<article><p>{LONG}</p><div {names}>{LONG} {LONG}</div></article>")) == f"{LONG}\n{LONG} {LONG}"
+
+
+@pytest.mark.parametrize("names", ['class="ad"', 'id="ad-1"', 'class="x cookie-notice"', 'class="siteHeader"', 'class="page-footer"', 'id="related-articles"',
+                                   'class="main-nav"', 'class="post-comments"', 'id="comments_2"', 'class="comment-form"', 'class="reader-feedback"'])
+def test_names_of_what_is_no_article(names):
+    assert main_text(f"<div {names}>{LONG} {LONG}</div><div>{LONG}</div>") == LONG
+    assert main_text(f"<article><p>{LONG}</p><div {names}>{LONG} {LONG}</div></article>") == LONG
+
+
+@pytest.mark.parametrize("text", [
+    "Сегодня в городе открылась новая библиотека, и жители пришли посмотреть на неё вместе с детьми и друзьями из соседних домов.",
+    "Új könyvtár nyílt ma városunkban, ahová gyerekekkel és barátokkal együtt érkeztek a környékbeli házak lakói megnézni mindent.",
+    "今日、町に新しい図書館が開館し、近所の人々が子供や友人と一緒に見に来ました。",
+])
+def test_languages_without_stop_words(text):
+    body = f"<div><p>{text * 3}</p><p>{text}</p></div>"
+    assert main_text(f"<div><a href=1>{text[:9]}</a> <a href=2>{text[:7]}</a></div>{body}<footer>{text * 3}</footer>") == f"{text * 3}\n{text}"
+
+
+def test_a_long_block_is_never_lost_with_its_page():
+    long = f"{LONG} {LONG}"
+    assert main_text(f'<form id="aspnetForm"><div>{long}</div><div class="sidebar">{LONG}</div></form>') == long
+    assert main_text(f'<div class="content-1 widget">{long}</div>') == long
+    assert main_text(f'<div>{"lorem ipsum dolor " * 20}</div><nav>{LONG}</nav>') == ("lorem ipsum dolor " * 20).strip()
+    assert main_text(f"<footer>{long}</footer><aside>{long}</aside>") == ""
+    assert main_text(f'<div>{"<a href=1>word word</a> " * 40}</div>') == ""
+
+
+@pytest.mark.parametrize("part", ["<div>", "<span>", "<p><button><ul>", "<h1><b>", "<article><header>", "<a><form>", "<b></i>"])
+def test_deep_pages_take_time_in_proportion(part):
+    def seconds(n):
+        start = time.perf_counter()
+        main_text(part * n + LONG)
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(32_000) < 12 * seconds(8_000)
+
+
 def test_hostile_pages(spark):
     deep = "<div>" * 3000 + LONG
     pages = [None, "", "   ", "<p>unclosed", "<", "<![foo[x]]>", "<article>", "a & b < c", deep, f"<p>{LONG}</p>" * 2000]
