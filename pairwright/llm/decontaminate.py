@@ -24,6 +24,8 @@ from pairwright.llm.common import pieces, plain, rows_where
 WIDTH, NEIGHBOURS, BLOCK_GRAMS = 3, 4, 200_000
 #: Alignment: a word that agrees, one that differs, one that is missing on either side.
 MATCH, MISMATCH, GAP = 1, -1, -1
+#: A stretch of an item with this score is a leak of it, however long the item is. Unrelated texts of the test tables reach 6.
+STRETCH = 13
 _CELLS = 1 << 20
 _NONWORD = re.compile(r"[\W_]+")
 
@@ -42,9 +44,9 @@ def grams(words: list[str], width: int = WIDTH) -> list[str]:
 
 
 def seeds(of: list[str], frequency: Counter, neighbours: int = NEIGHBOURS) -> set[str]:
-    """The rarest of each `neighbours` n-grams in a row; of equal ones, the first in order of text."""
-    last = max(1, len(of) - neighbours + 1)
-    return {min(of[k:k + neighbours], key=lambda g: (frequency[g], g)) for k in range(last)} if of else set()
+    """The rarest of each `neighbours` n-grams in a row that occur at all; of equal ones, the first in order of text."""
+    windows = [[g for g in of[k:k + neighbours] if frequency[g]] for k in range(max(1, len(of) - neighbours + 1))]
+    return {min(own, key=lambda g: (frequency[g], g)) for own in windows if own}
 
 
 @dataclass
@@ -109,8 +111,8 @@ def _windows(text: str, hits: list[int], reach: int) -> Iterator[tuple[int, int]
 class Finder:
     """Looks for the items of a block in batches of texts."""
 
-    def __init__(self, block: Items, threshold: float, least: int):
-        self.block, self.threshold, self.least = block, threshold, least
+    def __init__(self, block: Items, threshold: float, least: int, stretch: int):
+        self.block, self.threshold, self.least, self.stretch = block, threshold, least, stretch
         self.automaton = block.automaton()
         self.codes = {k: {w: c for c, w in enumerate(dict.fromkeys(own))} for k, own in block.words.items()}
         self.coded = {k: np.array([self.codes[k][w] for w in own], np.int32) for k, own in block.words.items()}
@@ -137,7 +139,7 @@ class Finder:
                 for r, (_, words) in enumerate(part):
                     table[r, :len(words)] = [code.get(w, -1) for w in words]
                 for (row, _), score in zip(part, align(self.coded[k], table).tolist(), strict=True):
-                    if score >= self.threshold * size and score >= min(self.least, size):
+                    if score >= self.stretch or score >= self.threshold * size and score >= min(self.least, size):
                         best[row, k] = max(score, best.get((row, k), 0))
         return [(row, k, score) for (row, k), score in sorted(best.items())]
 
@@ -145,12 +147,12 @@ class Finder:
 def _blocks(docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, block_grams: int) -> Iterator[Items]:
     """The items in blocks of bounded size, with the seeds of each. The texts are read once for each, to count n-grams."""
     context = docs.sparkSession.sparkContext
-    given = items.where(plain(item_id).isNotNull()).select(plain(item_id).cast("long").alias("item_id"), plain(item_text).alias("text"))
+    given = items.select(plain(item_id).cast("long").alias("item_id"), plain(item_text).alias("text"))
     size = given.select(F.coalesce(F.sum(F.greatest(F.lit(1), F.size(F.split("text", " ")))), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_grams))
     for b in range(blocks if size else 0):
-        rows = given.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).distinct().collect()
-        rows = sorted((r for r in rows if normal(r["text"]).split()), key=lambda r: (r["item_id"], r["text"]))
+        rows = given.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).distinct().collect()
+        rows = sorted((r for r in rows if normal(r["text"]).split()), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
         if not rows:
             continue
         words = {k: normal(r["text"]).split() for k, r in enumerate(rows)}
@@ -162,18 +164,20 @@ def _blocks(docs: DataFrame, items: DataFrame, text: str, item_id: str, item_tex
         for k, own in of.items():
             for g in seeds(own, frequency):
                 patterns[g].append(k)
-        yield Items(words, dict(patterns), [r["item_id"] for r in rows])
+        if patterns:  # else no n-gram of the block is in any text
+            yield Items(words, dict(patterns), [r["item_id"] for r in rows])
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, least: int = 6, id: str = "doc_id", text: str = "text",
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, least: int = 6, stretch: int = STRETCH, id: str = "doc_id", text: str = "text",
                  item_id: str = "item_id", item_text: str = "text", block_grams: int = BLOCK_GRAMS) -> DataFrame:
-    """doc_id, item_id, words (score of the best alignment), score (its share of the item), where score >= threshold.
+    """doc_id, item_id, words (score of the best alignment), score (its share of the item), where score >= threshold and words >= least, or
+    words >= stretch: an excerpt of a long item, or an edited copy of it, is found by what is there.
 
-    The items are the stated queries: they are read in blocks of about `block_grams` n-grams, by a hash of their id, and
+    The items are the stated queries: they are read in blocks of about `block_grams` n-grams, by a hash, and
     each block is sent to all tasks and looked for in all texts, in two passes (counting, finding) without any shuffle
     of texts. Null and empty texts and items match nothing; an item of fewer than WIDTH words matches as a whole; very
     long texts are read whole; repeated rows of documents each give rows, repeated items give one; an item that a third
-    of all texts hold costs one alignment in each. A null id of a document stays null; items with a null id are left out.
+    of all texts hold costs one alignment in each. A null id of a document stays null, and so does that of an item.
     Empty tables give an empty table; further columns are ignored.
     """
     context = docs.sparkSession.sparkContext
@@ -182,7 +186,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, leas
 
     def finder(held):
         def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            look = Finder(held.value, threshold, least)
+            look = Finder(held.value, threshold, least, stretch)
             for batch in pieces(batches, 256):
                 found = look(batch.column(1))
                 yield pa.RecordBatch.from_arrays([
@@ -202,15 +206,20 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5, leas
     return reduce(DataFrame.union, parts) if parts else none
 
 
-def clean(docs: DataFrame, items: DataFrame, threshold: float = 0.5, least: int = 6, text: str = "text", item_id: str = "item_id",
+def clean(docs: DataFrame, items: DataFrame, threshold: float = 0.5, least: int = 6, stretch: int = STRETCH, text: str = "text", item_id: str = "item_id",
           item_text: str = "text", block_grams: int = BLOCK_GRAMS) -> DataFrame:
-    """The rows of `docs` that hold no item, all columns as they are. No shuffle."""
+    """The rows of `docs` that hold no item by the rule of `contaminated`, all columns as they are. No shuffle.
+
+    Null and empty texts stay; very long ones are read whole; repeated rows stay or go alike; items without an id are looked
+    for too; null and empty items match nothing. Empty tables: none of documents gives none, none of items keeps all.
+    No column is added, so none can clash.
+    """
     out = docs
     for block in _blocks(docs, items, text, item_id, item_text, block_grams):
         held = docs.sparkSession.sparkContext.broadcast(block)
 
         def masks(texts: Iterable[pa.Array], held=held) -> Iterator[pa.Array]:
-            look = Finder(held.value, threshold, least)
+            look = Finder(held.value, threshold, least, stretch)
             for part in texts:
                 mask = np.ones(len(part), bool)
                 mask[[f[0] for f in look(part)]] = False
