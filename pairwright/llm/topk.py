@@ -1,9 +1,10 @@
 """Exact top-k by inner product: dual-tree search over cover trees.
 
-Vectors are dealt to the cells of a few pivots, and large cells to blocks; a block is what one tree indexes. Queries go
-to the blocks whose cell can hold a score that their cell of queries still needs. Within a block, the tree of the data
-and trees of batches of queries are descended together: a pair of nodes is dropped when the best inner product that their
-centres and covering radii allow is below the worst kth score of the queries in the node.
+Vectors are dealt to the cells of pivots that lie far apart, large cells to shells by the distance from their pivot, and
+large shells to blocks; a block is what one tree indexes. A query first searches the shell it lies in, which gives it a
+kth score; then it goes to the other shells, each with a radius of its own, that can hold a score as high. Within a block,
+the tree of the data and trees of batches of queries are descended together: a pair of nodes is dropped when the best inner
+product that their centres and covering radii allow is below the worst kth score of the queries in the node.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from pyspark.sql.window import Window
 
 from pairwright.llm.common import cut, plain
 
-#: Pivots, and rows against which a first kth score of each query is found: bounded samples by a hash of the vector.
-PIVOTS, SAMPLE = 16, 2048
+#: Pivots: one for each BLOCK rows within these numbers, chosen among SPARE times as many rows; shells of a cell.
+PIVOTS, MOST_PIVOTS, SPARE, SHELLS = 16, 1024, 4, 16
+#: Rows against which a first kth score of each query is found. Like the pivots, a bounded sample by a hash of the vector.
+SAMPLE = 2048
 #: Vectors of a block, queries of a tree, points of a leaf, children of a node.
 BLOCK, BATCH, LEAF, CHILDREN = 4096, 1024, 192, 16
 _EXACT = float(1 << 53)
@@ -136,7 +139,7 @@ class Block:
 
         def bound(q: Node, d: Node) -> float:
             best = float(q.center @ d.center) + q.radius * d.norm + d.radius * q.norm + q.radius * d.radius
-            return best + 1 + 1e-9 * (q.norm + q.radius) * (d.norm + d.radius)
+            return max(best + 1 + 1e-9 * (q.norm + q.radius) * (d.norm + d.radius), float(-_LONG))
 
         todo = [(bound(root, self.root), root, self.root)]
         while todo:
@@ -167,19 +170,49 @@ class Block:
         return order[row[keep]], self.ids[column[keep]], score[keep]
 
 
+def far_apart(points: np.ndarray, count: int) -> np.ndarray:
+    """At most `count` different points: the first one, then always the farthest from those taken."""
+    x = points.astype(float)
+    taken, nearest = [0], np.sqrt(((x - x[0]) ** 2).sum(axis=1))
+    while len(taken) < count and nearest[far := int(nearest.argmax())] > 0:
+        taken.append(far)
+        nearest = np.minimum(nearest, np.sqrt(((x - x[far]) ** 2).sum(axis=1)))
+    return points[taken]
+
+
 def _cells(pivots: np.ndarray):
     """Adds the nearest pivot and the distance from it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
                 x = matrix(part.column(1), pivots.shape[1]).astype(float)
                 p = widen(pivots, x.shape[1]).astype(float)
-                away = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (p**2).sum(1)[None, :] - 2 * x @ p.T, 0))
-                cell = away.argmin(axis=1)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell.astype(np.int64)), pa.array(away[np.arange(len(cell)), cell])],
-                                                 names=["vec_id", "v", "cell", "away"])
+                cell = ((p**2).sum(1)[None, :] - 2 * x @ p.T).argmin(axis=1)
+                away = np.sqrt(((x - p[cell]) ** 2).sum(axis=1))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell.astype(np.int64)), pa.array(away)], names=["vec_id", "v", "cell", "away"])
+
+    return run
+
+
+def _reach(pivots: np.ndarray, shells: np.ndarray, radii: np.ndarray):
+    """Adds the shells, but a query's own, that can hold a score as high as the query still needs."""
+    of = shells // SHELLS
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 128):
+                part = batch.slice(start, 128)
+                q = matrix(part.column(1), pivots.shape[1]).astype(float)
+                p = widen(pivots, q.shape[1]).astype(float)
+                own, least = (part.column(c).to_numpy(zero_copy_only=False) for c in (2, 3))
+                long, far = np.sqrt((q**2).sum(axis=1))[:, None], np.sqrt((p**2).sum(axis=1))[of]
+                best = (q @ p.T)[:, of] + long * radii + 1e-9 * long * (far + radii) + 2
+                to = (np.maximum(best, float(-_LONG)) >= least[:, None]) & (own[:, None] != shells[None, :])
+                ends = np.concatenate([[0], np.cumsum(to.sum(axis=1))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(shells[np.nonzero(to)[1]]))],
+                                                 names=["vec_id", "v", "shell", "least", "key", "to"])
 
     return run
 
@@ -241,54 +274,79 @@ def _search(k: int):
     return run
 
 
-def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: the k vectors with the highest integer inner product for each query, ties to the
-    smaller id. Queries are the vectors whose id is divisible by `every`; candidates all vectors with another id.
-
-    Vectors that are null, or hold null or non-finite components, and rows without id take no part. Shorter vectors have
-    zeros behind; a vector without components is zero. Repeated rows are candidates each; equal queries count once. Of
-    equal vectors the k + 1 smallest ids are indexed, each with at most k rows, which are all that any query can ask for
-    (it leaves out all rows of its own id), so a vector that a third of all rows hold is no hot block. Fewer than k others give fewer rows; an empty table gives an empty table.
-    Scores beyond a long are its nearest end. Results of blocks, at most k each and not below a kth score that the query
-    has already, are ranked by a window over the query.
-    """
+def found_and_sent(vectors: DataFrame, k: int, every: int, scale: float, id: str, vector: str) -> tuple[DataFrame, DataFrame] | None:
+    """What the searches find for the queries (query_id, query_key, vec_id, score), a superset of each query's k best, and
+    the queries with the shells `to` which they are sent after their own. None without a vector."""
     same = Window.partitionBy("v").orderBy("vec_id")
     given = cut(scaled(vectors, scale, id, vector))
     repeats = given.groupBy("v", "vec_id").agg(F.count(F.lit(1)).alias("rows"))
     wanted_ids = repeats.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1)
     copies = F.explode(F.sequence(F.lit(1), F.least("rows", F.lit(k)).cast("int")))
     rows = wanted_ids.select("vec_id", "v", copies.alias("n")).drop("n")
-    by_hash = given.select("v", F.xxhash64("v").alias("h")).distinct().orderBy("h", "v").limit(PIVOTS).collect()
+    count = min(MOST_PIVOTS, max(PIVOTS, given.count() // BLOCK))
+    by_hash = given.select("v", F.xxhash64("v").alias("h")).distinct().orderBy("h", "v").limit(SPARE * count).collect()
+    if not by_hash:
+        return None
     spread = given.orderBy(F.xxhash64("v", "vec_id"), "vec_id").limit(SAMPLE).collect()
-    width = max([len(r["v"]) for r in [*by_hash, *spread]], default=0)
+    width = max(len(r["v"]) for r in [*by_hash, *spread])
     padded = lambda found: np.array([[*r["v"], *[0] * (width - len(r["v"]))] for r in found], np.int64).reshape(len(found), width)
-    pivots, sample = padded(by_hash), padded(spread)
+    pivots, sample = far_apart(padded(by_hash), count), padded(spread)
     sample_ids = np.array([r["vec_id"] for r in spread], np.int64)
-    out = "query_id bigint, query_key bigint, vec_id bigint, score bigint"
-    if not by_hash:
-        return given.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    spark = given.sparkSession
+
     in_cell = "vec_id bigint, v array<bigint>, cell bigint, away double"
     data = cut(rows.mapInArrow(_cells(pivots), in_cell))
     asked = given.where(F.col("vec_id") % every == 0).distinct()
     queries = cut(asked.mapInArrow(_cells(pivots), in_cell).mapInArrow(_first_kth(sample_ids, sample, k), in_cell + ", least bigint"))
-    cells = {r["cell"]: r for r in data.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")).collect()}
-    groups = queries.groupBy("cell").agg(F.max("away").alias("radius"), F.min("least").alias("worst")).collect()
-    p = pivots.astype(float)
-    norm = np.sqrt((p**2).sum(axis=1))
-    wanted = [  # at most PIVOTS squared
-        (g["cell"], c, max(1, -(-r["n"] // BLOCK)))
-        for g in groups for c, r in cells.items()
-        if (float(p[g["cell"]] @ p[c]) + g["radius"] * norm[c] + r["radius"] * norm[g["cell"]] + g["radius"] * r["radius"]) * (1 + 1e-9) + 2 >= g["worst"]
-    ]
-    pairs = given.sparkSession.createDataFrame(wanted, "cell bigint, to_cell bigint, parts bigint")
-    parts = given.sparkSession.createDataFrame([(c, max(1, -(-r["n"] // BLOCK))) for c, r in cells.items()], "cell bigint, parts bigint")
+    steps = [n / SHELLS for n in range(1, SHELLS)]
+    sizes = data.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("away", steps, 1000).alias("at")).collect()  # at most MOST_PIVOTS
+    edges = dict.fromkeys(range(len(pivots)), [])
+    for r in sizes:
+        shells = min(SHELLS, -(-r["n"] // BLOCK))
+        edges[r["cell"]] = [r["at"][n * SHELLS // shells - 1] for n in range(1, shells)]
+    cuts = F.broadcast(spark.createDataFrame(list(edges.items()), "cell bigint, edges array<double>"))
+    shell = F.col("cell") * SHELLS + F.size(F.filter("edges", lambda e: e < F.col("away")))
+    data = data.join(cuts, "cell").select("vec_id", "v", "away", shell.alias("shell"))
+    queries = queries.join(cuts, "cell").select("vec_id", "v", shell.alias("shell"), "least", F.xxhash64("v").alias("key"))
+    held = sorted(tuple(r) for r in data.groupBy("shell").agg(F.count(F.lit(1)), F.max("away")).collect())  # at most SHELLS for each pivot
+    parts = F.broadcast(spark.createDataFrame([(s, -(-n // BLOCK)) for s, n, _ in held], "shell bigint, parts bigint"))
+
     none = F.lit(None).cast("bigint")
-    blocks = data.join(F.broadcast(parts), "cell").select(
-        "cell", F.pmod(F.xxhash64("v", "vec_id"), "parts").alias("part"), F.lit(0).alias("kind"), "vec_id", "v", none.alias("least"), none.alias("key"))
-    sent = queries.join(F.broadcast(pairs), "cell").select(
-        F.col("to_cell").alias("cell"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.lit(1).alias("kind"),
-        "vec_id", "v", "least", F.xxhash64("v").alias("key"))
-    tasks = max(1, int(given.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # the work is in the pairs, not in the bytes
-    found = blocks.union(sent).repartition(tasks, "cell", "part").sortWithinPartitions("cell", "part", "kind").mapInArrow(_search(k), out)
+    blocks = data.join(parts, "shell").select(
+        "shell", F.pmod(F.xxhash64("v", "vec_id"), "parts").alias("part"), F.lit(0).alias("kind"), "vec_id", "v", none.alias("least"), none.alias("key"))
+    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))  # the work is in the pairs, not in the bytes
+
+    def search(sent: DataFrame) -> DataFrame:
+        copied = sent.join(parts, "shell").select(
+            "shell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.lit(1).alias("kind"), "vec_id", "v", "least", "key")
+        dealt = blocks.union(copied).repartition(tasks, "shell", "part").sortWithinPartitions("shell", "part", "kind")
+        return dealt.mapInArrow(_search(k), "query_id bigint, query_key bigint, vec_id bigint, score bigint")
+
+    near = cut(search(queries))
+    best = Window.partitionBy("query_id", "query_key").orderBy(F.col("score").desc())
+    kth = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select(
+        F.col("query_id").alias("vec_id"), F.col("query_key").alias("key"), F.col("score").alias("kth"))
+    needing = queries.join(kth, ["vec_id", "key"], "left").select(
+        "vec_id", "v", "shell", F.greatest("least", "kth").alias("least"), "key")  # greatest skips nulls
+    reach = _reach(pivots, np.array([s for s, _, _ in held], np.int64), np.array([r for _, _, r in held], float))
+    sent = cut(needing.mapInArrow(reach, "vec_id bigint, v array<bigint>, shell bigint, least bigint, key bigint, to array<bigint>"))
+    return near.union(search(sent.withColumn("shell", F.explode("to")).drop("to"))), sent
+
+
+def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """query_id, rank, vec_id, score: the k vectors with the highest integer inner product for each query, ties to the
+    smaller id. Queries are the vectors whose id is divisible by `every`; candidates all vectors with another id.
+
+    Vectors that are null, or hold null or non-finite components, and rows without id take no part. Shorter vectors have
+    zeros behind; a vector without components is zero. Repeated rows are candidates each; equal queries count once. Of
+    equal vectors the k + 1 smallest ids are indexed, each with at most k rows, which are all that any query can ask for
+    (it leaves out all rows of its own id), so a vector that a third of all rows hold is no hot block. Fewer than k others give fewer rows; an empty table gives an empty table.
+    Scores beyond a long are its nearest end. Pivots and shells decide what is searched, never what is found. Results of blocks, at most k each and not below a kth score that the query
+    has already, are ranked by a window over the query.
+    """
+    got = found_and_sent(vectors, k, every, scale, id, vector)
+    if got is None:
+        return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = got[0].withColumn("rank", F.row_number().over(best))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -72,3 +72,38 @@ def test_own_rows_raise_no_bound(monkeypatch):
     vectors = np.array([[9, 0]] * 6 + [[5, i] for i in range(10)])
     _, near, score = K.Block(ids, vectors).search(np.array([0]), np.array([[9, 0]]), np.array([-1 << 62]), 5)
     assert near.tolist() == [1, 2, 3, 4, 10] and score.tolist() == [81] * 4 + [45]
+
+
+def test_shells_of_large_cells(spark, monkeypatch):
+    """Cells above a block, cut by distance, on vectors with ties and of uneven width."""
+    for name, value in (("BLOCK", 24), ("LEAF", 8), ("PIVOTS", 2), ("MOST_PIVOTS", 3), ("SAMPLE", 30)):
+        monkeypatch.setattr(K, name, value)
+    rng = random.Random(5)
+    rows = [(i, [rng.choice([0.0, 0.5, 2.0, 40.0]) for _ in range(rng.randrange(1, 5))]) for i in range(700)]
+    assert run(spark, rows, 6, 5) == plain_top(rows, 6, 5)
+
+
+def clustered(n, of=200, width=12):
+    rng = np.random.default_rng(n)
+    centers = rng.normal(size=(n // of, width))
+    centers /= np.linalg.norm(centers, axis=1)[:, None]
+    return [(i, (centers[i % len(centers)] + 0.01 * rng.normal(size=width)).tolist()) for i in range(n)]
+
+
+def test_queries_go_where_the_bound_allows(spark, monkeypatch):
+    """Copies of queries over clustered vectors grow about as the rows do, not as their square."""
+    for name, value in (("BLOCK", 64), ("SAMPLE", 64)):
+        monkeypatch.setattr(K, name, value)
+    sent = {}
+    for n in (1600, 6400):
+        table = spark.createDataFrame(clustered(n), "vec_id long, embedding array<double>")
+        rows = K.found_and_sent(table, 5, 5, 64.0, "vec_id", "embedding")[1].collect()
+        sent[n] = sum(len(r.to) for r in rows) + len(rows)
+    assert sent[6400] < sent[1600] * 4**1.5
+    rows = clustered(1600)
+    assert run(spark, rows, 5, 5) == plain_top([(i, np.float32(v)) for i, v in rows], 5, 5)
+
+
+def test_far_apart():
+    points = np.array([[0, 0], [1, 0], [10, 0], [10, 1], [0, 0]])
+    assert K.far_apart(points, 3).tolist() == [[0, 0], [10, 1], [1, 0]] and len(K.far_apart(points, 9)) == 4

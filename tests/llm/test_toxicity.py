@@ -30,6 +30,32 @@ def test_likelihood_gradient_points_down():
     assert (np.diff(model.above(np.array([0.3])), axis=1) < 0).all()
 
 
+def test_fit_equals_a_plain_fit_of_the_likelihood():
+    """Three dense features, the likelihood written out, its gradient by differences, steps that only go down."""
+    rng = np.random.default_rng(4)
+    x = rng.uniform(0, 0.1, (300, 3)).astype("f4")
+    grades = np.searchsorted([1.0, 2.5], x @ np.array([60.0, -30.0, 10.0]) + rng.logistic(size=300))
+
+    def loss(p):
+        edges = np.array([-1e3, p[3], p[3] + np.exp(p[4]), 1e3])
+        below = 1 / (1 + np.exp(np.clip((x @ p[:3])[:, None] - edges[None, :], -500, 500)))
+        at = np.arange(len(x))
+        return -np.log(below[at, grades + 1] - below[at, grades]).mean()
+
+    plain, step = np.zeros(5), np.full(5, 1.0)
+    for _ in range(400):  # one coordinate at a time
+        for c in range(5):
+            tries = [plain + d * step[c] * np.eye(5)[c] for d in (-1, 0, 1)]
+            best = int(np.argmin([loss(t) for t in tries]))
+            plain, step[c] = tries[best], step[c] * (0.7 if best == 1 else 1.3)
+        if step.max() < 1e-3:
+            break
+    weights, thresholds = T.fit(np.full(300, 3), np.tile([7, 8, 9], 300), x.ravel(), grades, 2)
+    fitted = np.array([*weights[7:10], thresholds[0], np.log(thresholds[1] - thresholds[0])])
+    assert abs(loss(fitted) - loss(plain)) < 0.01 and loss(fitted) < loss(np.zeros(5)) - 0.05
+    assert np.corrcoef(x @ fitted[:3], x @ plain[:3])[0, 1] > 0.99
+
+
 def test_held_out_accuracy_and_rejection(spark):
     rng = random.Random(11)
     bad = [k % 5 == 0 for k in range(800)]
