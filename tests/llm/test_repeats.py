@@ -71,3 +71,18 @@ def test_long_texts_are_cut_into_stretches(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert run(spark, [], 40, 20) == []
+
+
+def test_texts_are_shuffled_once(spark):
+    """Both joins read the one shuffle of the packed texts."""
+    rows = spark.range(400).selectExpr("id as doc_id", "concat(repeat('shared text ', 10), sha2(string(id % 50), 512), id) as text")
+    found = remove_repeats(rows, 40, 20)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().finalPhysicalPlan().treeString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    texts = [line for line in plan.splitlines() if "Exchange" in line and "packed" in line]
+    assert sum("ReusedExchange" in line for line in texts) == 1
+    assert plan.count("MapInArrow _pack(") == 1
