@@ -212,3 +212,14 @@ def test_cells_are_numbered_alike_in_one_task_and_by_ranges(spark, monkeypatch):
     assert found[0] == found[1] and found[0][0].n_hot_groups == 3
     cells = sorted(p + k for g, n, salts, p in found[0][1] if salts > 1 for k in range(salts))
     assert cells == list(range(found[0][0].hot_parts))
+
+
+def test_targets_go_to_cells_with_candidates_only(spark):
+    """Groups above the share of a cell leave no empty cells between them."""
+    rng = np.random.default_rng(3)
+    targets = targets_df(spark, rng.normal(size=(20, 4)))
+    candidates = candidates_df(spark, [(i, "abc"[i % 3], v) for i, v in enumerate(rng.normal(size=(300, 4)))])
+    grid = plan_grid(targets, candidates, RetrievalSettings())
+    used = {r.part for r in grid.places.collect()}
+    assert used == set(range(grid.parts)) and grid.parts == 3
+    assert place_targets(targets, grid, hot=False).count() == 3 * 20 * grid.chunks
