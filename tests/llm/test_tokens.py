@@ -1,4 +1,5 @@
 import io
+import json
 import random
 import zlib
 
@@ -9,7 +10,8 @@ import pytest
 import zstandard
 from tokenizers import Tokenizer
 
-from pairwright.llm import tokens as T
+from pairwright.llm import encoding, tokens as T
+from pairwright.llm.alignment import PlainEncoder
 from pairwright.llm.common import shared_dir
 from pairwright.llm.encoding import BatchEncoder
 from tests.llm.hostile import documents, empty, hostile_texts
@@ -40,6 +42,46 @@ def test_other_tokenizers_get_whole_texts():
     assert [x.tolist() for x in np.split(made, np.cumsum(counts)[:-1])] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_new_words_of_a_large_batch_are_given_together():
+    """Measured: word by word, Python around the library took most of a task."""
+    encoder, calls = BatchEncoder(PATH), []
+    model = encoder._model
+    encoder._model = lambda part: calls.append(part) or model(part)
+    texts = [" ".join(f"{chr(97 + k % 26)}{k:x},x" for k in range(n, n + 1000)) for n in range(0, 110_000, 1000)]
+    made, counts = encoder.encode(pa.array(texts))
+    assert [x.tolist() for x in np.split(made, np.cumsum(counts)[:-1])] == ids_of(texts)
+    assert len(calls) < 2000
+
+
+@pytest.mark.parametrize(("words", "joined"), [(800_000, 4096), (40, 3), (0, 1)])
+def test_large_batches_encode_as_the_whole(monkeypatch, words, joined):
+    """Words that start or end with white space, special strings, and words held that are full again and again."""
+    monkeypatch.setattr(encoding, "MANY", 0)
+    monkeypatch.setattr(encoding, "WORDS", words)
+    monkeypatch.setattr(encoding, "JOINED", joined)
+    rng = random.Random(8)
+    some = ["a", "\nb", "c\n", "\n", "\x85d\u2028", "é\xa0", "\x1ce", "<|endoftext|>", "f<|endoftext|>g", "", "'s", "12ab!?", "日本語", "😀", "Ġ", "h\r\n\r\n", "\t"]
+    for encoder in (BatchEncoder(PATH), PlainEncoder(PATH)):
+        for n in (0, 1, 7, 200, 200):
+            texts = [" ".join(rng.choice(some) for _ in range(rng.randrange(8))) for _ in range(n)] + [None, "", " ", "a ", " a"] * min(n, 1)
+            made, counts = encoder.encode(pa.array(texts, pa.string()))
+            whole = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+            assert [made[e - c:e].tolist() for e, c in zip(np.cumsum(counts), counts, strict=True)] == whole
+            assert len(encoder._sizes) <= max(words, 0) and len(encoder._words) == len(encoder._sizes) == len(encoder._again)
+
+
+def test_a_vocabulary_without_a_space(tmp_path, monkeypatch):
+    monkeypatch.setattr(encoding, "MANY", 0)
+    spec = json.loads(Tokenizer.from_file(PATH).to_str())
+    letters = {c: k for k, c in enumerate("abc")}
+    spec["model"] |= {"vocab": letters, "merges": []}
+    spec["added_tokens"], spec["post_processor"] = [], None
+    (tmp_path / "few.json").write_text(json.dumps(spec))
+    library, texts = Tokenizer.from_file(str(tmp_path / "few.json")), ["ab c a", "c b", "", "xa b"]
+    made, counts = BatchEncoder(str(tmp_path / "few.json")).encode(pa.array(texts))
+    assert [made[e - c:e].tolist() for e, c in zip(np.cumsum(counts), counts, strict=True)] == [library.encode(t).ids for t in texts]
+
+
 @pytest.mark.parametrize("width", [2, 4])
 def test_files_read_only_what_is_asked_for(width):
     rng = np.random.default_rng(1)
