@@ -120,3 +120,51 @@ def test_whole_groups(monkeypatch, kind, pairs):
     got = run(candidates, targets)
     monkeypatch.setattr(cells, "_WIDEST", 0)
     assert got.equals(run(candidates, targets))
+
+
+def table_of(vectors, **columns):
+    return pa.table(columns | {"embedding": pa.array(list(vectors), pa.list_(pa.float32()))})
+
+
+STATS = {"target_id": pa.int64(), "group": pa.string(), "n_pool": pa.int64(), "n_above": pa.int64(), "max_in_group": pa.float64(),
+         "delta": pa.float64(), "threshold": pa.float64()}
+
+
+@pytest.mark.parametrize("kind", ["units", "copies", "near", "grid", "zero"])
+def test_deviation_needs_no_score_in_order(monkeypatch, kind):
+    """The deviation of a large group comes from the moments of its vectors; the scores themselves are estimates."""
+    vectors, given = MAKERS[kind](3_000, 16), units(40, 16)
+    scores = given.astype(float) @ vectors.T.astype(float)
+
+    def no(*_):
+        raise AssertionError("all scores were summed")
+
+    monkeypatch.setattr(cells, "_sums", no)
+    run = cells.whole_groups(RetrievalSettings(spread="sd", scale=1.5), STATS, False)
+    got = run(table_of(vectors, cand_id=np.arange(3_000), group=["g"] * 3_000), table_of(given, target_id=np.arange(40)))
+    assert np.allclose(got.column("delta").to_numpy(), 1.5 * scores.std(axis=1), rtol=0, atol=1e-7 if kind == "near" else 1e-12)
+    assert np.allclose(got.column("max_in_group").to_numpy(), scores.max(axis=1), rtol=0, atol=1e-12)
+    reached = (scores >= got.column("threshold").to_numpy()[:, None] - 1e-12).sum(axis=1)
+    if kind in ("units", "copies"):
+        assert got.column("n_above").to_pylist() == reached.tolist()
+
+
+@pytest.mark.parametrize("kind", MAKERS)
+def test_moments_are_exact_and_add_up(kind):
+    columns = np.ascontiguousarray(MAKERS[kind](90, 5).T)
+    columns[0, 3], columns[1, 7] = 100, -6_000
+    whole = cells._moments(columns)
+    parts = [cells._moments(np.ascontiguousarray(columns[:, part])) for part in (slice(0, 1), slice(1, 50), slice(50, 90))]
+    assert [list(x) for x in whole] == [list(sum(x)) for x in zip(*parts, strict=True)]
+    steps = [[round(float(x) * 2**40) for x in line] for line in columns]
+    assert list(whole[0]) == [sum(line) for line in steps]
+    assert list(whole[1]) == [sum(a * b for a, b in zip(steps[i], steps[k], strict=True)) for i in range(5) for k in range(i, 5)]
+
+
+def test_vectors_far_from_unit_norm_have_no_deviation():
+    for n in (20, 600):
+        far = table_of(3 * units(n, 4), cand_id=np.arange(n), group=["g"] * n)
+        for run in (cells.whole_groups(RetrievalSettings(spread="sd"), STATS, False),
+                    cells.profile(RetrievalSettings(spread="sd"), {"target_id": pa.int64(), "group": pa.string()})):
+            with pytest.raises(ValueError, match="unit norm"):
+                run(far, table_of(4 * units(300, 4), target_id=np.arange(300)))
