@@ -168,3 +168,22 @@ def test_vectors_far_from_unit_norm_have_no_deviation():
                     cells.profile(RetrievalSettings(spread="sd"), {"target_id": pa.int64(), "group": pa.string()})):
             with pytest.raises(ValueError, match="unit norm"):
                 run(far, table_of(4 * units(300, 4), target_id=np.arange(300)))
+
+
+def test_selection_by_deviation_sums_few_scores_in_order(monkeypatch):
+    """Only the covariance and the best pairs are summed in order, and a sum down the rows has their order."""
+    vectors, given, widths, plain = units(4_000, 16), units(30, 16), [], cells._scores
+    monkeypatch.setattr(cells, "_scores", lambda targets, columns: widths.append(columns.shape[1]) or plain(targets, columns))
+    run = cells.whole_groups(RetrievalSettings(spread="sd", min_candidates=3, max_candidates=20), STATS | {
+        "cand_id": pa.int64(), "score": pa.float64(), "rank_in_group": pa.int64()}, True)
+    got = run(table_of(vectors, cand_id=np.arange(4_000), group=["g"] * 4_000), table_of(given, target_id=np.arange(30)))
+    assert set(widths) == {16}
+    scores = np.vstack([part for _, part in plain(given, np.ascontiguousarray(vectors.T))])
+    for t in range(30):
+        mine = got.filter(pa.compute.equal(got.column("target_id"), t))
+        order = np.argsort(-scores[t], kind="stable")[:mine.num_rows]
+        assert mine.num_rows == 20 and mine.column("cand_id").to_pylist() == order.tolist()
+        assert mine.column("score").to_pylist() == scores[t][order].tolist()
+    for n in (1, 2, 3, 1_024):
+        products = RNG.normal(size=(64, n))
+        assert np.array_equal(cells._down_the_rows(products), np.add.accumulate(products, axis=0)[-1])
